@@ -105,16 +105,14 @@ def numeric_sanity_filter(df: DataFrame, time_col: str = "time") -> DataFrame:
 
 
 def rules_table(spark) -> DataFrame:
-    """C11 rules as a lookup: (kind, key, rule_no, to_id, to_name), one row per key."""
-    rows = []
+    """C11 rules as a lookup: (kind, key, rule_no, to_id, to_name), one row per key
+    (a key listed twice keeps its first rule).  Fixed size: a local relation."""
+    first: dict[tuple[str, str], tuple] = {}
     for no, (ids, names, to_id, to_name) in enumerate(C.STANDARDIZATION_RULES, start=1):
-        rows += [("id", k, no, to_id, to_name) for k in ids]
-        rows += [("name", k.strip().upper(), no, to_id, to_name) for k in names]
-    df = spark.createDataFrame(rows, "kind string, key string, rule_no int, to_id string, to_name string")
-    # a key listed twice keeps its first rule
-    return df.groupBy("kind", "key").agg(
-        F.min_by(F.struct("rule_no", "to_id", "to_name"), "rule_no").alias("r")
-    ).select("kind", "key", "r.*")
+        for kind, keys in (("id", ids), ("name", [n.strip().upper() for n in names])):
+            for k in keys:
+                first.setdefault((kind, k), (kind, k, no, to_id, to_name))
+    return spark.createDataFrame(list(first.values()), "kind string, key string, rule_no int, to_id string, to_name string")
 
 
 def standardize_products(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name") -> DataFrame:

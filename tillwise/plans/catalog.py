@@ -31,7 +31,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    return Warehouse.open(spark, sf_dir)
 
 
 # --- 2.5 aggregations / KPI views ------------------------------------------------
@@ -119,3 +119,125 @@ def top_products_revenue(spark, sf_dir):
 def top_products_quantity(spark, sf_dir):
     w = wh(spark, sf_dir)
     return D.top_products(w.fact, w.current, "quantity")
+
+
+# --- 2.9 market basket ----------------------------------------------------------
+from ..operators import baskets as B  # noqa: E402
+from .oracle_sql import basket_ctes, rules_ctes  # noqa: E402
+
+#: Query parameters for the synthetic data (items are independent there, so the
+#: library defaults 0.15 / 1.0 leave almost no rules): confidence 0.03, lift 0.5.
+Q_SUPPORT, Q_CONF, Q_LIFT = 0.003, 0.03, 0.5
+
+
+@register("bundle_rules", q(rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT) + """,
+scored AS (SELECT *, lift * 0.7 + support / max(support) OVER (PARTITION BY run) * 30.0 AS combined_score FROM rules),
+dedup AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run, least(antecedents_names, consequents_names),
+                 greatest(antecedents_names, consequents_names)
+                 ORDER BY round(combined_score, 9) DESC, confidence DESC, antecedents_names) AS m FROM scored) WHERE m = 1
+),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY round(combined_score, 9) DESC, confidence DESC, lift DESC,
+         antecedents_names) AS rk FROM dedup
+)""", """
+SELECT printf('%s%02d', CASE run WHEN 'FOOD' THEN 'BF' WHEN 'DRINK' THEN 'BD' ELSE 'BM' END, rk) AS bundle_id,
+       antecedents_names, consequents_names, support, confidence, lift, leverage, conviction, combined_score,
+       run AS category
+FROM top WHERE rk <= 5"""))
+def bundle_rules(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return B.bundle_rules(w.baskets, w.current, Q_SUPPORT, Q_CONF, Q_LIFT)
+
+
+@register("pair_rules", q(rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT), """
+SELECT run, antecedents_names, consequents_names, support, confidence, lift, leverage, conviction FROM rules"""))
+def pair_rules(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current)
+    r = B.pair_rules(ri, Q_SUPPORT, Q_CONF, Q_LIFT)
+    r = B.translate(B.translate(r, w.current, "ant", "antecedents_names"), w.current, "con", "consequents_names")
+    return r.select("run", "antecedents_names", "consequents_names", "support", "confidence", "lift",
+                    "leverage", "conviction")
+
+
+@register("rules_exclude_categories", q(rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, runs=("ALL",)) + """,
+kept AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY least(antecedents_names, consequents_names),
+                 greatest(antecedents_names, consequents_names) ORDER BY confidence DESC, lift DESC, antecedents_names) AS m
+                 FROM rules WHERE cat_a NOT IN ('EXTRA', 'OTHERS') AND cat_c NOT IN ('EXTRA', 'OTHERS')) WHERE m = 1
+)""", """
+SELECT antecedents_names, consequents_names, support, confidence, lift, leverage, conviction,
+       lift * 0.7 + support / max(support) OVER () * 30.0 AS combined_score
+FROM kept"""))
+def rules_exclude_categories(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return B.rules_exclude_categories(w.baskets, w.current, Q_SUPPORT, Q_CONF, Q_LIFT)
+
+
+@register("frequent_itemsets", q(basket_ctes(Q_SUPPORT) + """,
+sets AS (
+  SELECT s.run, 1 AS size, s.n_i / s.n AS support, coalesce(nm.nname, s.item) AS itemsets_names
+  FROM fs s LEFT JOIN names nm ON nm.nid = s.item
+  UNION ALL
+  SELECT p.run, 2 AS size, p.n_ab / p.n AS support,
+         coalesce(na.nname, p.a) || ', ' || coalesce(nb.nname, p.b) AS itemsets_names
+  FROM fp p LEFT JOIN names na ON na.nid = p.a LEFT JOIN names nb ON nb.nid = p.b
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY support DESC, size, itemsets_names) AS rank FROM sets)""",
+"SELECT run AS category, CAST(rank AS INTEGER) AS rank, itemsets_names, support FROM ranked WHERE rank <= 5"))
+def frequent_itemsets(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return B.frequent_itemsets(w.baskets, w.current, Q_SUPPORT)
+
+
+@register("frequent_itemsets_fpgrowth")
+def frequent_itemsets_fpgrowth(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return B.frequent_itemsets_fpgrowth(w.baskets, w.current, Q_SUPPORT)
+
+
+@register("map_sku_to_product", q(basket_ctes(Q_SUPPORT), "SELECT receipt_no, item FROM items"))
+def map_sku_to_product(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return B.basket_items(w.baskets, w.current)
+
+
+@register("mba_category_baskets", q(basket_ctes(Q_SUPPORT), """
+SELECT run, count(DISTINCT receipt_no) AS receipts, count(*) AS item_rows FROM ri WHERE run IN ('FOOD', 'DRINK') GROUP BY run"""))
+def mba_category_baskets(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current, runs=("FOOD", "DRINK"))
+    return ri.groupBy("run").agg(F.count_distinct("receipt_no").alias("receipts"), F.count(F.lit(1)).alias("item_rows"))
+
+
+@register("mba_meal_baskets", q(basket_ctes(Q_SUPPORT), """
+SELECT receipt_no, CAST(count(*) FILTER (WHERE category = 'FOOD') AS BIGINT) AS food_items,
+       CAST(count(*) FILTER (WHERE category = 'DRINK') AS BIGINT) AS drink_items
+FROM ri WHERE run = 'MEAL' GROUP BY receipt_no"""))
+def mba_meal_baskets(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current, runs=("MEAL",))
+    return ri.groupBy("receipt_no").agg(
+        F.count_if(F.col("category") == "FOOD").alias("food_items"),
+        F.count_if(F.col("category") == "DRINK").alias("drink_items"))
+
+
+@register("pair_support", q(basket_ctes(Q_SUPPORT), """
+SELECT p.run, coalesce(na.nname, p.a) AS item_a, coalesce(nb.nname, p.b) AS item_b, p.n_ab AS receipts, p.n_ab / p.n AS support
+FROM fp p LEFT JOIN names na ON na.nid = p.a LEFT JOIN names nb ON nb.nid = p.b"""))
+def pair_support(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current)
+    _, _, pairs = B.itemset_counts(ri, Q_SUPPORT)
+    p = B.translate(B.translate(pairs, w.current, "a", "item_a"), w.current, "b", "item_b")
+    return p.select("run", "item_a", "item_b", F.col("n_ab").alias("receipts"), (F.col("n_ab") / F.col("n")).alias("support"))
+
+
+@register("transaction_records", q("""
+bl AS (
+  SELECT d.receipt_no, coalesce(c.parent_sku, d.product_id) AS sku, d.seq
+  FROM dlines d LEFT JOIN cur c ON d.product_id = c.product_id
+)""", "SELECT receipt_no, string_agg(sku, ',' ORDER BY seq) AS sku FROM bl GROUP BY receipt_no"))
+def transaction_records(spark, sf_dir):
+    return wh(spark, sf_dir).transaction_records

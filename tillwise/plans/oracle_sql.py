@@ -115,3 +115,80 @@ def q(body_ctes: str, select: str) -> str:
     if body_ctes.strip():
         return "WITH " + BASE.strip() + ",\n" + body_ctes.strip() + "\n" + select.strip()
     return "WITH " + BASE.strip() + "\n" + select.strip()
+
+
+# --- basket mining CTEs --------------------------------------------------------
+def basket_ctes(min_support: float, runs=("FOOD", "DRINK", "MEAL")) -> str:
+    """bl: basket lines (receipt, sku); skumap; items; ri: run rows; nrun; fs: frequent
+    singles; fp: frequent pairs."""
+    parts = []
+    if "FOOD" in runs or "DRINK" in runs:
+        parts += [f"SELECT '{r}' AS run, receipt_no, item, category FROM fd WHERE category = '{r}'"
+                  for r in ("FOOD", "DRINK") if r in runs]
+    if "MEAL" in runs:
+        parts.append("SELECT 'MEAL' AS run, receipt_no, item, category FROM fd "
+                     "WHERE receipt_no IN (SELECT receipt_no FROM meal_r)")
+    if "ALL" in runs:
+        parts.append("SELECT 'ALL' AS run, receipt_no, item, category FROM ic")
+    ri = "\n  UNION ALL ".join(parts)
+    return f"""
+bl AS (
+  SELECT d.receipt_no, coalesce(c.parent_sku, d.product_id) AS sku
+  FROM dlines d LEFT JOIN cur c ON d.product_id = c.product_id
+),
+skumap AS (
+  SELECT sku, arg_max(pid, pri) AS pid FROM (
+    SELECT trim(product_id) AS sku, trim(product_id) AS pid, 0 AS pri FROM cur
+    UNION ALL
+    SELECT sku, max(pid) AS pid, 1 AS pri FROM (
+      SELECT trim(s) AS sku, trim(product_id) AS pid
+      FROM (SELECT product_id, unnest(string_split(parent_sku, ',')) AS s FROM cur
+            WHERE parent_sku IS NOT NULL AND parent_sku <> '')
+    ) WHERE sku <> '' GROUP BY sku
+  ) GROUP BY sku
+),
+items AS (
+  SELECT DISTINCT b.receipt_no, m.pid AS item
+  FROM (SELECT receipt_no, trim(unnest(string_split(sku, ','))) AS s FROM bl) b JOIN skumap m ON b.s = m.sku
+),
+ic AS (SELECT i.receipt_no, i.item, c.category FROM items i JOIN cur c ON i.item = trim(c.product_id)),
+fd AS (SELECT * FROM ic WHERE category IN ('FOOD', 'DRINK')),
+meal_r AS (SELECT receipt_no FROM fd GROUP BY receipt_no HAVING bool_or(category = 'FOOD') AND bool_or(category = 'DRINK')),
+ri AS (
+  {ri}
+),
+nrun AS (SELECT run, count(DISTINCT receipt_no) AS n FROM ri GROUP BY run),
+fs AS (
+  SELECT s.run, s.item, s.category, s.n_i, r.n FROM (SELECT run, item, category, count(*) AS n_i FROM ri GROUP BY ALL) s
+  JOIN nrun r USING (run) WHERE s.n_i / r.n >= {min_support}
+),
+pr AS (SELECT ri.* FROM ri JOIN fs USING (run, item)),
+fp AS (
+  SELECT p.*, r.n FROM (
+    SELECT a.run, a.item AS a, b.item AS b, count(*) AS n_ab FROM pr a JOIN pr b
+    ON a.run = b.run AND a.receipt_no = b.receipt_no AND a.item < b.item GROUP BY ALL
+  ) p JOIN nrun r USING (run) WHERE p.n_ab / r.n >= {min_support}
+),
+names AS (SELECT trim(product_id) AS nid, product_name AS nname FROM cur)"""
+
+
+def rules_ctes(min_support: float, min_conf: float, min_lift: float, runs=("FOOD", "DRINK", "MEAL")) -> str:
+    """rules: both directions with metrics, thresholds, MEAL crossing, names."""
+    return basket_ctes(min_support, runs) + f""",
+dirs AS (
+  SELECT run, a AS ant, b AS con, n_ab, n FROM fp UNION ALL SELECT run, b AS ant, a AS con, n_ab, n FROM fp
+),
+rules0 AS (
+  SELECT d.run, d.ant, d.con, sa.category AS cat_a, sc.category AS cat_c,
+         d.n_ab / d.n AS support, d.n_ab / sa.n_i AS confidence,
+         (d.n_ab / sa.n_i) / (sc.n_i / d.n) AS lift,
+         d.n_ab / d.n - (sa.n_i / d.n) * (sc.n_i / d.n) AS leverage,
+         CASE WHEN d.n_ab / sa.n_i = 1.0 THEN CAST('inf' AS DOUBLE)
+              ELSE (1.0 - sc.n_i / d.n) / (1.0 - d.n_ab / sa.n_i) END AS conviction
+  FROM dirs d JOIN fs sa ON sa.run = d.run AND sa.item = d.ant JOIN fs sc ON sc.run = d.run AND sc.item = d.con
+),
+rules AS (
+  SELECT r.*, coalesce(na.nname, r.ant) AS antecedents_names, coalesce(nc.nname, r.con) AS consequents_names
+  FROM rules0 r LEFT JOIN names na ON na.nid = r.ant LEFT JOIN names nc ON nc.nid = r.con
+  WHERE r.confidence >= {min_conf} AND r.lift >= {min_lift} AND (r.run <> 'MEAL' OR r.cat_a <> r.cat_c)
+)"""

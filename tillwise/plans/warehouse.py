@@ -1,12 +1,17 @@
 """Warehouse build from the point-of-sale reports (the ETL stage).
 
-``Warehouse`` holds lazily built DataFrames; nothing runs until an action.
-The fact table is laid out by month on write so that month filters (latest
-month exclusion, period queries) prune partitions.
+``Warehouse`` holds lazily built DataFrames over the raw reports.
+``Warehouse.open`` runs the ETL once per input folder and session: it writes
+the fact, both product dimensions and the long basket table as parquet under
+the shared ``spark.checkpoint.dir`` (cutting lineage; surviving executor loss)
+and returns a warehouse that reads those tables.  The fact is partitioned by
+month so month filters prune files.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +19,10 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import (
     canonical_product_id,
-    normalize_names,
-    standardize_products,
     exclude_latest_month,
     fact_projection,
+    normalize_names,
+    standardize_products,
 )
 from ..operators.dimensions import product_dim_current, product_dim_history
 from ..operators.facts import (
@@ -27,16 +32,51 @@ from ..operators.facts import (
     join_header_lines,
     transaction_records,
 )
+from ..session import shared_path
 from ..sources.pos import line_report, receipt_report
 
+_OPENED: dict[tuple, "Warehouse"] = {}
+
+#: Tables the ETL stage writes (name -> partition columns).
+STORED = {"distinct_lines": ("month",), "current": (), "history": (), "baskets": ()}
+
 
 class Warehouse:
-    """Lazily built warehouse tables for one input folder."""
+    """Warehouse tables for one input folder (lazy, or read back from parquet)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-
+        self.root = root
+
+    # -- ETL stage --------------------------------------------------------------
+    @classmethod
+    def open(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """Build (once) and read back the stored warehouse for ``sf_dir``."""
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        w = _OPENED.get(key)
+        if w is not None:
+            return w
+        tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
+        root = shared_path(spark, "warehouse", tag)
+        built = cls(spark, sf_dir)
+        for name, parts in STORED.items():
+            df = getattr(built, name)
+            if parts:
+                df = df.withColumn("month", F.trunc("date", "MM"))
+            writer = df.write.mode("overwrite")
+            if parts:
+                writer = writer.partitionBy(*parts)
+            writer.parquet(f"{root}/{name}")
+        w = cls(spark, sf_dir, root)
+        _OPENED[key] = w
+        return w
+
+    def _stored(self, name: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.root}/{name}")
+        return df.drop("month") if STORED[name] else df
+
+    # -- tables -------------------------------------------------------------------
     @cached_property
     def lines(self) -> DataFrame:
         """Line report after standardisation (C11), canonical ids (C12), names."""
@@ -57,6 +97,8 @@ class Warehouse:
     @cached_property
     def distinct_lines(self) -> DataFrame:
         """Fact projection (C5) + full-row distinct (W1), latest month included."""
+        if self.root:
+            return self._stored("distinct_lines")
         return distinct_rows(fact_projection(self.combined))
 
     @cached_property
@@ -66,15 +108,21 @@ class Warehouse:
 
     @cached_property
     def current(self) -> DataFrame:
+        if self.root:
+            return self._stored("current")
         return product_dim_current(self.combined)
 
     @cached_property
     def history(self) -> DataFrame:
+        if self.root:
+            return self._stored("history")
         return product_dim_history(self.combined)
 
     @cached_property
     def baskets(self) -> DataFrame:
         """Long basket form (receipt_no, sku, seq), latest month included."""
+        if self.root:
+            return self._stored("baskets")
         return basket_lines(self.distinct_lines, self.current)
 
     @cached_property

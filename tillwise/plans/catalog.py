@@ -241,3 +241,122 @@ bl AS (
 )""", "SELECT receipt_no, string_agg(sku, ',' ORDER BY seq) AS sku FROM bl GROUP BY receipt_no"))
 def transaction_records(spark, sf_dir):
     return wh(spark, sf_dir).transaction_records
+
+
+# --- 2.10 / 2.11 elasticity and pricing ------------------------------------------
+from ..operators import elasticity as EL  # noqa: E402
+from ..operators import pricing as PR  # noqa: E402
+from .oracle_sql import elasticity_ctes, pricing_ctes  # noqa: E402
+
+#: Combined prices are binned to 10,000 for the synthetic data (line totals are
+#: near-unique there, so unbinned points carry one receipt each).
+PRICE_BIN = 10000
+
+
+def rules_table(spark, sf_dir) -> DataFrame:
+    w = wh(spark, sf_dir)
+    return w.result("association_rules", lambda: B.bundle_rules(w.baskets, w.current, Q_SUPPORT, Q_CONF, Q_LIFT))
+
+
+def ped_table(spark, sf_dir, strict: bool = False) -> DataFrame:
+    w = wh(spark, sf_dir)
+    name = "ped_summary_strict" if strict else "ped_summary"
+    return w.result(name, lambda: EL.elasticity(rules_table(spark, sf_dir), w.fact, w.current, strict, PRICE_BIN))
+
+
+def _resolved(spark, sf_dir) -> DataFrame:
+    w = wh(spark, sf_dir)
+    return EL.resolve_bundles(EL.top_bundles(rules_table(spark, sf_dir)), w.current)
+
+
+_E = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, PRICE_BIN)
+_ES = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, PRICE_BIN, strict=True)
+
+
+@register("resolve_bundles", q(_E, """
+SELECT bundle_id, CAST(rule_row AS INTEGER) AS rule_row, product_id_1, product_id_2 FROM rb"""))
+def resolve_bundles(spark, sf_dir):
+    return _resolved(spark, sf_dir).select("bundle_id", F.col("rule_row").cast("int").alias("rule_row"),
+                                           "product_id_1", "product_id_2")
+
+
+@register("bundle_receipts", q(_E, "SELECT bundle_id, receipt_no, CAST(combined_price AS DOUBLE) AS combined_price, date FROM brc"))
+def bundle_receipts(spark, sf_dir):
+    r = EL.bundle_receipts(wh(spark, sf_dir).fact, _resolved(spark, sf_dir))
+    return r.select("bundle_id", "receipt_no", F.col("combined_price").cast("double").alias("combined_price"), "date")
+
+
+@register("bundle_receipts_strict", q(_ES, "SELECT bundle_id, receipt_no, CAST(combined_price AS DOUBLE) AS combined_price, date FROM brc"))
+def bundle_receipts_strict(spark, sf_dir):
+    r = EL.bundle_receipts(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), strict=True)
+    return r.select("bundle_id", "receipt_no", F.col("combined_price").cast("double").alias("combined_price"), "date")
+
+
+@register("price_quantity_points", q(_E, "SELECT bundle_id, CAST(combined_price AS DOUBLE) AS combined_price, num_transactions FROM pts"))
+def price_quantity_points(spark, sf_dir):
+    p = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), False, PRICE_BIN)
+    return p.select("bundle_id", F.col("combined_price").cast("double").alias("combined_price"), "num_transactions")
+
+
+@register("price_quantity_points_strict", q(_ES, "SELECT bundle_id, CAST(combined_price AS DOUBLE) AS combined_price, num_transactions FROM pts"))
+def price_quantity_points_strict(spark, sf_dir):
+    p = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), True, PRICE_BIN)
+    return p.select("bundle_id", F.col("combined_price").cast("double").alias("combined_price"), "num_transactions")
+
+
+@register("elasticity", q(_E, "SELECT * FROM ped"))
+def elasticity_q(spark, sf_dir):
+    return ped_table(spark, sf_dir)
+
+
+@register("elasticity_strict", q(_ES, "SELECT * FROM ped"))
+def elasticity_strict(spark, sf_dir):
+    return ped_table(spark, sf_dir, strict=True)
+
+
+@register("demand_curve", q(_E + """,
+rng AS (SELECT bundle_id, min(CAST(combined_price AS DOUBLE)) AS p_min, max(CAST(combined_price AS DOUBLE)) AS p_max
+        FROM pts WHERE combined_price > 0 AND num_transactions > 0 GROUP BY bundle_id),
+g AS (SELECT p.bundle_id, p.elasticity_epsilon, p.intercept_logk, r.p_min, r.p_max, i
+      FROM ped p JOIN rng r ON p.bundle_id = r.bundle_id, range(200) t(i))""", """
+SELECT bundle_id, CAST(i AS INTEGER) AS grid_index, round(p_min + i * ((p_max - p_min) / 199), 6) AS price,
+       round(exp(intercept_logk) * pow(p_min + i * ((p_max - p_min) / 199), elasticity_epsilon), 6) AS demand FROM g"""))
+def demand_curve(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    pts = EL.price_quantity_points(w.fact, _resolved(spark, sf_dir), False, PRICE_BIN)
+    return EL.demand_curve(ped_table(spark, sf_dir), pts)
+
+
+@register("sample_bundles", q(_E, """
+SELECT bundle_id, antecedents_names, consequents_names, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY bundle_id) AS r FROM br) WHERE r = 1"""))
+def sample_bundles(spark, sf_dir):
+    return EL.sample_bundles(rules_table(spark, sf_dir)).select(
+        "bundle_id", "antecedents_names", "consequents_names", "category")
+
+
+@register("bundle_economics", q(_E + pricing_ctes(), """
+SELECT bundle_id, bundle_name, category, product_a_price, product_b_price, current_price_total,
+       round(ca, 6) AS product_a_cogs, round(cb, 6) AS product_b_cogs, round(exp(intercept), 6) AS base_demand_k, skip_reason
+FROM econ"""))
+def bundle_economics(spark, sf_dir):
+    e = PR.bundle_economics(ped_table(spark, sf_dir), wh(spark, sf_dir).current)
+    return e.select("bundle_id", "bundle_name", "category", "product_a_price", "product_b_price", "current_price_total",
+                    F.round("product_a_cogs_raw", 6).alias("product_a_cogs"),
+                    F.round("product_b_cogs_raw", 6).alias("product_b_cogs"),
+                    F.round(F.exp("intercept"), 6).alias("base_demand_k"), "skip_reason")
+
+
+@register("pricing_skipped", q(_E + pricing_ctes(), "SELECT bundle_id, bundle_name, skip_reason AS reason FROM econ WHERE skip_reason IS NOT NULL"))
+def pricing_skipped(spark, sf_dir):
+    return PR.pricing_skipped(ped_table(spark, sf_dir), wh(spark, sf_dir).current)
+
+
+@register("price_recommendation", q(_E + pricing_ctes("quantity"), "SELECT * FROM rec"))
+def price_recommendation(spark, sf_dir):
+    return PR.price_recommendation(ped_table(spark, sf_dir), wh(spark, sf_dir).current, "quantity")
+
+
+@register("price_recommendation_profit", q(_E + pricing_ctes("profit"), "SELECT * FROM rec"))
+def price_recommendation_profit(spark, sf_dir):
+    return PR.price_recommendation(ped_table(spark, sf_dir), wh(spark, sf_dir).current, "profit")

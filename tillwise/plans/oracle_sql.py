@@ -101,7 +101,8 @@ cur0 AS (
 cur AS (
   SELECT product_id, product_name, price, last_transaction_datetime,
          {category_sql('product_name', 'product_id')} AS category,
-         {parent_sku_sql('product_name')} AS parent_sku
+         {parent_sku_sql('product_name')} AS parent_sku,
+         {cost_sql('category', 'price')} AS product_cost
   FROM cur0
 )"""
 
@@ -192,3 +193,111 @@ rules AS (
   FROM rules0 r LEFT JOIN names na ON na.nid = r.ant LEFT JOIN names nc ON nc.nid = r.con
   WHERE r.confidence >= {min_conf} AND r.lift >= {min_lift} AND (r.run <> 'MEAL' OR r.cat_a <> r.cat_c)
 )"""
+
+
+BUNDLE_RULES_CTES = """
+scored AS (SELECT *, lift * 0.7 + support / max(support) OVER (PARTITION BY run) * 30.0 AS combined_score FROM rules),
+dedup AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run, least(antecedents_names, consequents_names),
+                 greatest(antecedents_names, consequents_names)
+                 ORDER BY round(combined_score, 9) DESC, confidence DESC, antecedents_names) AS m FROM scored) WHERE m = 1
+),
+topr AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY round(combined_score, 9) DESC, confidence DESC, lift DESC,
+         antecedents_names) AS rk FROM dedup
+),
+br AS (
+  SELECT printf('%s%02d', CASE run WHEN 'FOOD' THEN 'BF' WHEN 'DRINK' THEN 'BD' ELSE 'BM' END, rk) AS bundle_id,
+         antecedents_names, consequents_names, support, confidence, lift, leverage, conviction, combined_score,
+         run AS category
+  FROM topr WHERE rk <= 5
+)"""
+
+
+def elasticity_ctes(min_support, min_conf, min_lift, price_bin, strict=False, n=15) -> str:
+    """br (bundle rules) -> rb (resolved top bundles) -> brc (bundle receipts) -> pts -> ped."""
+    strict_filter = ""
+    if strict:
+        strict_filter = ("AND receipt_no IN (SELECT receipt_no FROM fact GROUP BY receipt_no "
+                         "HAVING count(DISTINCT product_id) = 2)")
+    bin_ = f"CAST({price_bin} AS DECIMAL(12,2))"
+    price = (f"CAST(round(combined_price / {bin_}, 0) * {bin_} AS DECIMAL(20,2))" if price_bin
+             else "CAST(combined_price AS DECIMAL(20,2))")
+    return rules_ctes(min_support, min_conf, min_lift) + "," + BUNDLE_RULES_CTES + f""",
+top AS (
+  SELECT *, row_number() OVER (ORDER BY CASE category WHEN 'FOOD' THEN 0 WHEN 'DRINK' THEN 1 WHEN 'MEAL' THEN 2 ELSE 9 END,
+                               bundle_id) - 1 AS rule_row
+  FROM br
+),
+byname AS (SELECT product_name, min(product_id) AS pid FROM cur GROUP BY product_name),
+rb AS (
+  SELECT t.*, a.pid AS product_id_1, b.pid AS product_id_2
+  FROM top t JOIN byname a ON t.antecedents_names = a.product_name JOIN byname b ON t.consequents_names = b.product_name
+  WHERE t.rule_row < {n}
+),
+sides AS (SELECT bundle_id, product_id_1 AS product_id FROM rb UNION ALL SELECT bundle_id, product_id_2 FROM rb),
+brc0 AS (
+  SELECT s.bundle_id, f.receipt_no, sum(f.line_total) AS combined_price, arg_min(f.date, f.seq) AS date
+  FROM fact f JOIN sides s ON f.product_id = s.product_id
+  GROUP BY s.bundle_id, f.receipt_no HAVING count(DISTINCT f.product_id) = 2
+),
+brc AS (SELECT * FROM brc0 WHERE TRUE {strict_filter}),
+pts AS (SELECT bundle_id, {price} AS combined_price, count(*) AS num_transactions FROM brc GROUP BY ALL),
+fit AS (
+  SELECT bundle_id, regr_count(ln(num_transactions), ln(combined_price)) AS n,
+         regr_slope(ln(num_transactions), ln(combined_price)) AS eps,
+         regr_intercept(ln(num_transactions), ln(combined_price)) AS k,
+         regr_r2(ln(num_transactions), ln(combined_price)) AS r2
+  FROM pts WHERE combined_price > 0 AND num_transactions > 0 GROUP BY bundle_id
+),
+ped AS (
+  SELECT rb.bundle_id, rb.category, CAST(rb.rule_row AS INTEGER) AS rule_row, rb.product_id_1, rb.product_id_2,
+         rb.antecedents_names AS product_name_1, rb.consequents_names AS product_name_2,
+         '{"strict" if strict else "non_strict"}' AS mode,
+         CAST(coalesce(fit.n, 0) AS INTEGER) AS n_price_points,
+         coalesce(CASE WHEN fit.n >= 2 THEN round(coalesce(fit.eps, 0.0), 6) ELSE 0.0 END, 0.0) AS elasticity_epsilon,
+         coalesce(CASE WHEN fit.n >= 2 THEN round(coalesce(fit.k, 0.0), 6) ELSE 0.0 END, 0.0) AS intercept_logk,
+         CASE WHEN fit.n >= 2 THEN round(fit.r2, 6) END AS r2_logspace
+  FROM rb LEFT JOIN fit ON rb.bundle_id = fit.bundle_id
+)"""
+
+
+def pricing_ctes(objective: str = "quantity") -> str:
+    """econ: bundle economics with skip reason; rec: recommendations."""
+    best = "lower_b" if objective == "quantity" else (
+        "CASE WHEN eps >= -1 THEN cap ELSE least(greatest(eps * cogs / (1.0 + eps), lower_b), cap) END")
+    return f""",
+info AS (
+  SELECT product_name, arg_min({{'price': coalesce(TRY_CAST(price AS DOUBLE), 0.0),
+         'cogs': coalesce(CAST(product_cost AS DOUBLE), coalesce(TRY_CAST(price AS DOUBLE), 0.0) * 0.6)}}, product_id) AS i
+  FROM cur GROUP BY product_name
+),
+econ AS (
+  SELECT p.bundle_id, p.product_name_1 || ' + ' || p.product_name_2 AS bundle_name, p.category,
+         p.product_name_1 AS product_a, p.product_name_2 AS product_b,
+         a.i.price AS product_a_price, b.i.price AS product_b_price, a.i.price + b.i.price AS current_price_total,
+         a.i.cogs AS ca, b.i.cogs AS cb, coalesce(TRY_CAST(p.elasticity_epsilon AS DOUBLE), 0.0) AS eps,
+         coalesce(TRY_CAST(p.intercept_logk AS DOUBLE), 0.0) AS intercept, CAST(p.r2_logspace AS DOUBLE) AS r2,
+         p.n_price_points AS n_points,
+         CASE WHEN coalesce(p.n_price_points, 0) < 2 OR p.r2_logspace IS NULL OR isnan(CAST(p.r2_logspace AS DOUBLE))
+                   OR coalesce(TRY_CAST(p.elasticity_epsilon AS DOUBLE), 0.0) >= 0
+              THEN 'Insufficient data or invalid elasticity (ε >= 0)'
+              WHEN a.product_name IS NULL OR b.product_name IS NULL THEN 'Product(s) not found in dimension' END AS skip_reason
+  FROM ped p LEFT JOIN info a ON p.product_name_1 = a.product_name LEFT JOIN info b ON p.product_name_2 = b.product_name
+),
+b0 AS (
+  SELECT *, ca + cb AS cogs, current_price_total AS cap,
+         greatest(current_price_total * 0.9, (ca + cb) / 0.9) AS lower_b
+  FROM econ WHERE skip_reason IS NULL
+),
+b1 AS (SELECT *, CASE WHEN lower_b <= cap THEN {best} ELSE (lower_b + cap) / 2.0 END AS price, lower_b <= cap AS ok FROM b0),
+rec AS (
+  SELECT bundle_id, bundle_name, category, product_a, product_b, product_a_price, product_b_price, current_price_total,
+         round(ca, 2) AS product_a_cogs, round(cb, 2) AS product_b_cogs, round(cogs, 2) AS cogs_total,
+         round(eps, 6) AS elasticity_epsilon, round(exp(intercept), 6) AS base_demand_k, round(r2, 6) AS r_squared,
+         CAST(n_points AS INTEGER) AS n_points, round(price, 2) AS bundle_price_recommended,
+         round(exp(intercept) * pow(price, eps), 4) AS quantity_demanded,
+         round((price - cogs) * (exp(intercept) * pow(price, eps)), 2) AS profit, round(cap, 2) AS price_cap,
+         CAST(10.0 AS DOUBLE) AS min_discount_pct, ok AS optimization_success
+  FROM b1
+)"""

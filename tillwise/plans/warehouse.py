@@ -128,3 +128,19 @@ class Warehouse:
     @cached_property
     def transaction_records(self) -> DataFrame:
         return transaction_records(self.baskets)
+
+    # -- result tables of the analytic stages --------------------------------------
+    def result(self, name: str, build) -> DataFrame:
+        """A stage's result table: built once, written under the warehouse root,
+        read back by later stages (lineage cut; the next stage reads a table)."""
+        if not self.root:
+            return build()
+        path = f"{self.root}/results/{name}"
+        if name not in self._results:
+            build().write.mode("overwrite").parquet(path)
+            self._results.add(name)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def _results(self) -> set:
+        return set()

@@ -360,3 +360,180 @@ def price_recommendation(spark, sf_dir):
 @register("price_recommendation_profit", q(_E + pricing_ctes("profit"), "SELECT * FROM rec"))
 def price_recommendation_profit(spark, sf_dir):
     return PR.price_recommendation(ped_table(spark, sf_dir), wh(spark, sf_dir).current, "profit")
+
+
+# --- 2.12 / 2.13 series, forecasts, scenario ---------------------------------------
+from ..operators import forecast as FC  # noqa: E402
+from ..operators import scenario as SC  # noqa: E402
+from ..operators import series as S  # noqa: E402
+
+_QEND = "last_day(CAST(date_trunc('quarter', {d}) AS DATE) + INTERVAL 2 MONTH)"
+
+
+def _fill_sql(cnt: str, key: str, months: int = 3) -> str:
+    """Gap-fill CTE text over a counts CTE (key, period, units)."""
+    return f"""
+rng_{cnt} AS (SELECT {key}, min(period) AS p0, max(period) AS p1 FROM {cnt} GROUP BY {key}),
+grid_{cnt} AS (
+  SELECT r.{key}, last_day(CAST(r.p0 + to_months(CAST(i * {months} AS INTEGER)) AS DATE)) AS period
+  FROM rng_{cnt} r, generate_series(0, CAST(datediff('month', r.p0, r.p1) / {months} AS BIGINT)) t(i)
+),
+filled_{cnt} AS (
+  SELECT g.{key}, g.period, coalesce(CAST(c.units AS DOUBLE), 0.0) AS units
+  FROM grid_{cnt} g LEFT JOIN {cnt} c ON c.{key} = g.{key} AND c.period = g.period
+)"""
+
+
+_SERIES_PRODUCT_CTES = f"""
+rd AS (SELECT product_id, receipt_no, arg_min(date, seq) AS date FROM fact GROUP BY product_id, receipt_no),
+cnt_p AS (SELECT product_id, {_QEND.format(d='date')} AS period, count(*) AS units FROM rd WHERE date IS NOT NULL GROUP BY ALL),
+""" + _fill_sql("cnt_p", "product_id").strip()
+
+
+@register("series_product", q(_SERIES_PRODUCT_CTES, "SELECT product_id, period, units FROM filled_cnt_p"))
+def series_product(spark, sf_dir):
+    return S.product_series(wh(spark, sf_dir).fact)
+
+
+@register("trend_label", q(_SERIES_PRODUCT_CTES, """
+SELECT product_id, count(*) AS n, arg_min(units, period) AS first_value, arg_max(units, period) AS last_value,
+       CASE WHEN count(*) < 2 THEN 'No data'
+            WHEN arg_max(units, period) > arg_min(units, period) * 1.05 THEN 'Upward trend'
+            WHEN arg_max(units, period) < arg_min(units, period) * 0.95 THEN 'Downward trend'
+            ELSE 'Relatively flat trend' END AS trend
+FROM filled_cnt_p GROUP BY product_id"""))
+def trend_label(spark, sf_dir):
+    return S.trend_label(S.product_series(wh(spark, sf_dir).fact), ["product_id"])
+
+
+_SERIES_BUNDLE_CTES = _E + f""",
+cnt_b AS (SELECT bundle_id, {_QEND.format(d='date')} AS period, count(*) AS units FROM brc WHERE date IS NOT NULL GROUP BY ALL),
+""" + _fill_sql("cnt_b", "bundle_id").strip()
+
+
+@register("series_bundle", q(_SERIES_BUNDLE_CTES, "SELECT bundle_id, period, units FROM filled_cnt_b"))
+def series_bundle(spark, sf_dir):
+    br = EL.bundle_receipts(wh(spark, sf_dir).fact, _resolved(spark, sf_dir))
+    return S.bundle_series(br)
+
+
+@register("series_interpolated", q("""
+rdm AS (SELECT receipt_no, arg_min(date, seq) AS date FROM fact GROUP BY receipt_no),
+cnt_m AS (SELECT 1 AS k, last_day(date) AS period, count(*) AS units FROM rdm WHERE date IS NOT NULL GROUP BY ALL),
+""" + _fill_sql("cnt_m", "k", 1).strip() + """,
+z AS (SELECT period, row_number() OVER (ORDER BY period) AS i, CASE WHEN units <> 0 THEN units END AS v FROM filled_cnt_m),
+nb AS (
+  SELECT period, i, v,
+         last_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pi,
+         last_value(v IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv,
+         first_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ni,
+         first_value(v IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nv
+  FROM z
+)""", """
+SELECT period AS month, round(CASE WHEN v IS NOT NULL THEN v WHEN pv IS NOT NULL AND nv IS NOT NULL
+       THEN pv + (nv - pv) * (i - pi) / (ni - pi) WHEN pv IS NOT NULL THEN pv ELSE 0.0 END, 6) AS receipts FROM nb"""))
+def series_interpolated(spark, sf_dir):
+    return S.monthly_series_interpolated(wh(spark, sf_dir).fact)
+
+
+def _scenario(spark, sf_dir) -> DataFrame:
+    w = wh(spark, sf_dir)
+    recs = price_recommendation(spark, sf_dir)
+    return w.result("scenario", lambda: SC.scenario_price(rules_table(spark, sf_dir), ped_table(spark, sf_dir),
+                                                          w.current, recs))
+
+
+_SCEN_CTES = _E + pricing_ctes("quantity") + """,
+pk AS (
+  SELECT rb.bundle_id, rb.category, rb.rule_row, rb.product_id_1, rb.product_id_2, rb.antecedents_names,
+         rb.consequents_names, ped.elasticity_epsilon, ped.mode
+  FROM rb JOIN ped ON list_sort([ped.product_id_1, ped.product_id_2]) = list_sort([rb.product_id_1, rb.product_id_2])
+  QUALIFY row_number() OVER (PARTITION BY rb.bundle_id ORDER BY CASE WHEN lower(ped.mode) = 'non_strict' THEN 0 ELSE 1 END,
+                             ped.bundle_id) = 1
+),
+scen AS (
+  SELECT pk.bundle_id, pk.category, pk.rule_row AS bundle_row, pk.product_id_1, pk.product_id_2,
+         pk.antecedents_names, pk.consequents_names, coalesce(pk.elasticity_epsilon, 0.0) AS epsilon,
+         CAST(a.price AS DOUBLE) AS price_a, CAST(b.price AS DOUBLE) AS price_b,
+         CAST(a.price AS DOUBLE) + CAST(b.price AS DOUBLE) AS current_price,
+         coalesce(CAST(r.bundle_price_recommended AS DOUBLE), (CAST(a.price AS DOUBLE) + CAST(b.price AS DOUBLE)) * 0.95) AS new_price
+  FROM pk LEFT JOIN cur a ON a.product_id = pk.product_id_1 LEFT JOIN cur b ON b.product_id = pk.product_id_2
+  LEFT JOIN rec r ON r.bundle_id = pk.bundle_id
+)"""
+
+
+@register("scenario_price", q(_SCEN_CTES, """
+SELECT bundle_id, category, bundle_row, epsilon, round(current_price, 6) AS current_price, round(new_price, 6) AS new_price,
+       round(CASE WHEN current_price > 0 THEN pow(new_price / current_price, epsilon) ELSE 1.0 END, 6) AS demand_multiplier
+FROM scen"""))
+def scenario_price(spark, sf_dir):
+    s = _scenario(spark, sf_dir)
+    return s.select("bundle_id", "category", "bundle_row", "epsilon", F.round("current_price", 6).alias("current_price"),
+                    F.round("new_price", 6).alias("new_price"), F.round("demand_multiplier", 6).alias("demand_multiplier"))
+
+
+def _bundle_long(spark, sf_dir) -> DataFrame:
+    return SC.bundle_series_long(wh(spark, sf_dir).fact, _scenario(spark, sf_dir))
+
+
+@register("forecast_index", q(_SCEN_CTES + f""",
+sides2 AS (SELECT bundle_id, product_id_1 AS product_id FROM scen UNION ALL SELECT bundle_id, product_id_2 FROM scen),
+rdp AS (SELECT product_id, receipt_no, arg_min(date, seq) AS date FROM fact WHERE product_id IN (SELECT product_id FROM sides2)
+        GROUP BY product_id, receipt_no),
+lastp AS (SELECT s.bundle_id, max({_QEND.format(d='r.date')}) AS lp FROM rdp r JOIN sides2 s ON r.product_id = s.product_id GROUP BY s.bundle_id),
+lastb AS (SELECT bundle_id, max({_QEND.format(d='date')}) AS lp FROM brc GROUP BY bundle_id),
+lastall AS (SELECT bundle_id, max(lp) AS lp FROM (SELECT * FROM lastp UNION ALL SELECT * FROM lastb) GROUP BY bundle_id)""", """
+SELECT bundle_id, CAST(i AS INTEGER) AS step, last_day(CAST(lp + to_months(CAST(i * 3 AS INTEGER)) AS DATE)) AS period
+FROM lastall, generate_series(1, 4) t(i)"""))
+def forecast_index(spark, sf_dir):
+    long = _bundle_long(spark, sf_dir).withColumnRenamed("key", "bundle_id")
+    return S.forecast_index(long, ["bundle_id"]).select("bundle_id", F.col("step").cast("int").alias("step"), "period")
+
+
+@register("series_align")
+def series_align(spark, sf_dir):
+    return S.series_align(_bundle_long(spark, sf_dir).withColumnRenamed("key", "bundle_id"), ["bundle_id"])
+
+
+@register("holt_winters")
+def holt_winters_q(spark, sf_dir):
+    return FC.holt_winters(_bundle_long(spark, sf_dir)).select(
+        F.col("key").alias("bundle_id"), "series", "step", F.round("forecast", 6).alias("forecast"), "status")
+
+
+@register("forecast_metrics")
+def forecast_metrics(spark, sf_dir):
+    return FC.forecast_metrics(FC.fitted_values(_bundle_long(spark, sf_dir)))
+
+
+@register("holt_winters_tuned")
+def holt_winters_tuned(spark, sf_dir):
+    m = S.monthly_series_interpolated(wh(spark, sf_dir).fact)
+    s = m.select(F.lit("overall").alias("key"), F.lit("receipts").alias("series"), F.col("month").alias("period"),
+                 F.col("receipts").alias("units"))
+    return FC.holt_winters_tuned(s)
+
+
+def _forecast(spark, sf_dir) -> DataFrame:
+    w = wh(spark, sf_dir)
+    return w.result("bundle_forecast", lambda: SC.bundle_forecast(w.fact, _scenario(spark, sf_dir)))
+
+
+@register("bundle_forecast")
+def bundle_forecast(spark, sf_dir):
+    return _forecast(spark, sf_dir)
+
+
+@register("revenue_impact")
+def revenue_impact(spark, sf_dir):
+    return SC.revenue_impact(_forecast(spark, sf_dir), _scenario(spark, sf_dir))
+
+
+@register("break_even_by_period")
+def break_even_by_period(spark, sf_dir):
+    return SC.break_even_by_period(_forecast(spark, sf_dir), _scenario(spark, sf_dir))
+
+
+@register("bundle_summary")
+def bundle_summary(spark, sf_dir):
+    return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir))

@@ -44,7 +44,10 @@ def _derived(df: DataFrame, cost_lookup: DataFrame | None = None) -> DataFrame:
 
 def product_dim_current(lines: DataFrame, cost_lookup: DataFrame | None = None, seq_col: str = "seq") -> DataFrame:
     """Last non-null name, price and datetime per product (ingest order),
-    version 1, current, plus derived columns."""
+    version 1, current, plus derived columns.  On distinct lines the last
+    position of each duplicate group (``seq_last``) orders "last"."""
+    if "seq_last" in lines.columns:
+        seq_col = "seq_last"
     dt = _datetime_col(lines)
     base = lines.select("product_id", "product_name", F.col("price").cast("decimal(10,2)").alias("price"),
                         dt.alias("__dt"), F.col(seq_col).alias("__seq"))

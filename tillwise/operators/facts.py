@@ -38,12 +38,19 @@ def dedup_keep_last(df: DataFrame, keys, seq_col: str = "seq") -> DataFrame:
     )
 
 
-def distinct_rows(df: DataFrame, seq_col: str = "seq") -> DataFrame:
-    """Full-row distinct (ignoring the ingest ordinal, which keeps its minimum)."""
+def distinct_rows(df: DataFrame, seq_col: str = "seq", last_col: str | None = None) -> DataFrame:
+    """Full-row distinct, ignoring the ingest ordinal: ``seq`` keeps the first
+    position of the duplicates and, when ``last_col`` is given, that column
+    keeps the last one (so "first seen" and "last wins" rules still hold)."""
     if seq_col not in df.columns:
         return df.distinct()
-    cols = [c for c in df.columns if c != seq_col]
-    return df.groupBy(*cols).agg(F.min(seq_col).alias(seq_col)).select(*df.columns)
+    cols = [c for c in df.columns if c not in (seq_col, last_col)]
+    aggs = [F.min(seq_col).alias(seq_col)]
+    if last_col:
+        src = last_col if last_col in df.columns else seq_col
+        aggs.append(F.max(src).alias(last_col))
+    out = df.groupBy(*cols).agg(*aggs)
+    return out.select(*df.columns, *([last_col] if last_col and last_col not in df.columns else []))
 
 
 def join_header_lines(header: DataFrame, lines: DataFrame, key: str = "receipt_no") -> DataFrame:

@@ -38,16 +38,17 @@ from ..sources.pos import line_report, receipt_report
 _OPENED: dict[tuple, "Warehouse"] = {}
 
 #: Tables the ETL stage writes (name -> partition columns).
-STORED = {"distinct_lines": ("month",), "current": (), "history": (), "baskets": ()}
+STORED = {"lines_distinct": ("month",), "current": (), "history": (), "baskets": ()}
 
 
 class Warehouse:
     """Warehouse tables for one input folder (lazy, or read back from parquet)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, pending: set | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = root
+        self._pending = pending or set()
 
     # -- ETL stage --------------------------------------------------------------
     @classmethod
@@ -59,9 +60,13 @@ class Warehouse:
             return w
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
         root = shared_path(spark, "warehouse", tag)
-        built = cls(spark, sf_dir)
-        for name, parts in STORED.items():
-            df = getattr(built, name)
+        # tables are written in order; each is derived from the ones already
+        # written (a fresh reader per step), so the raw reports are read once
+        names = list(STORED)
+        for i, name in enumerate(names):
+            step = cls(spark, sf_dir, root, pending=set(names[i:]))
+            df = getattr(step, name)
+            parts = STORED[name]
             if parts:
                 df = df.withColumn("month", F.trunc("date", "MM"))
             writer = df.write.mode("overwrite")
@@ -72,6 +77,9 @@ class Warehouse:
         _OPENED[key] = w
         return w
 
+    def _has(self, name: str) -> bool:
+        return bool(self.root) and name in STORED and name not in self._pending
+
     def _stored(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.root}/{name}")
         return df.drop("month") if STORED[name] else df
@@ -94,12 +102,19 @@ class Warehouse:
         """Header x lines (J1): the joined line-item frame the dimensions read."""
         return join_header_lines(self.header, self.lines)
 
+    @cached_property
+    def lines_distinct(self) -> DataFrame:
+        """Full-row distinct (W1) of the joined lines with their datetime; ``seq`` /
+        ``seq_last`` keep the first / last ingest position of each duplicate group.
+        The one large table of the warehouse (written partitioned by month)."""
+        if self._has("lines_distinct"):
+            return self._stored("lines_distinct")
+        return distinct_rows(self.combined, "seq", "seq_last")
+
     @cached_property
     def distinct_lines(self) -> DataFrame:
-        """Fact projection (C5) + full-row distinct (W1), latest month included."""
-        if self.root:
-            return self._stored("distinct_lines")
-        return distinct_rows(fact_projection(self.combined))
+        """Fact projection (C5): priority columns first, datetime dropped."""
+        return fact_projection(self.lines_distinct.drop("seq_last"))
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -108,20 +123,20 @@ class Warehouse:
 
     @cached_property
     def current(self) -> DataFrame:
-        if self.root:
+        if self._has("current"):
             return self._stored("current")
-        return product_dim_current(self.combined)
+        return product_dim_current(self.lines_distinct)
 
     @cached_property
     def history(self) -> DataFrame:
-        if self.root:
+        if self._has("history"):
             return self._stored("history")
-        return product_dim_history(self.combined)
+        return product_dim_history(self.lines_distinct)
 
     @cached_property
     def baskets(self) -> DataFrame:
         """Long basket form (receipt_no, sku, seq), latest month included."""
-        if self.root:
+        if self._has("baskets"):
             return self._stored("baskets")
         return basket_lines(self.distinct_lines, self.current)
 

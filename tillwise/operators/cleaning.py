@@ -65,8 +65,8 @@ def coerce_date(c: F.Column) -> F.Column:
     """Text -> DATE, invalid -> null (ANSI-safe)."""
     s = F.trim(c.cast("string"))
     return F.coalesce(
-        F.try_to_date(s, F.lit("yyyy-MM-dd")),
-        F.try_to_date(s, F.lit("M/d/yyyy")),
+        F.try_to_date(s, "yyyy-MM-dd"),
+        F.try_to_date(s, "M/d/yyyy"),
         F.try_to_timestamp(s).cast("date"),
     )
 

@@ -537,3 +537,4 @@ def break_even_by_period(spark, sf_dir):
 @register("bundle_summary")
 def bundle_summary(spark, sf_dir):
     return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir))
+from . import catalog_ops  # noqa: E402,F401

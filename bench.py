@@ -34,6 +34,7 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
     os.environ.setdefault("TILLWISE_SCRATCH", tempfile.mkdtemp(prefix="bench-", dir="/tmp"))
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="tillwise-bench")
+    spark.range(1000).selectExpr("sum(id)").collect()  # JVM / codegen warm-up, not timed
     times: dict[str, float] = {}
     t0 = time.time()
     Warehouse.open(spark, sf_dir)

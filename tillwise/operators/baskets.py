@@ -22,6 +22,7 @@ Plan shape (all runs in one query, keyed by ``run``):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,7 +80,11 @@ def run_items(items: DataFrame, dim: DataFrame, runs=("FOOD", "DRINK", "MEAL"))
 
 
 def itemset_counts(ri: DataFrame, min_support: float = C.MIN_SUPPORT):
-    """Run sizes, frequent single items and frequent pairs (counts)."""
+    """Run sizes, frequent single items and frequent pairs (counts).  The run
+    rows are read three times (sizes, singles, pairs) and so are persisted
+    (memory, spilling to disk; lost blocks are recomputed from lineage)."""
+    if not ri.storageLevel.useMemory and not ri.storageLevel.useDisk:
+        ri = ri.persist(StorageLevel.MEMORY_AND_DISK)
     n_run = ri.groupBy("run").agg(F.count_distinct("receipt_no").alias("n"))
     n_b = checked_broadcast(n_run)
     singles = (

@@ -146,8 +146,8 @@ SELECT printf('%s%02d', CASE run WHEN 'FOOD' THEN 'BF' WHEN 'DRINK' THEN 'BD' EL
        run AS category
 FROM top WHERE rk <= 5"""))
 def bundle_rules(spark, sf_dir):
-    w = wh(spark, sf_dir)
-    return B.bundle_rules(w.baskets, w.current, Q_SUPPORT, Q_CONF, Q_LIFT)
+    # the rules stage writes its result table; later stages read it
+    return rules_table(spark, sf_dir)
 
 
 @register("pair_rules", q(rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT), """

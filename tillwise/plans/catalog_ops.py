@@ -125,7 +125,14 @@ def safe_float_q(spark, sf_dir):
                     T.safe_float(F.col("o_totalprice").cast("string"), -1.0).alias("total_value"))
 
 
-@register("bundle_label", None)
+def _bundle_label_sql():
+    from .catalog import _E
+    return q(_E, """
+SELECT bundle_id, antecedents_names || ' + ' || consequents_names AS bundle_label,
+       antecedents_names AS side_a, consequents_names AS side_b FROM br""")
+
+
+@register("bundle_label", _bundle_label_sql())
 def bundle_label_q(spark, sf_dir):
     from .catalog import rules_table
     r = rules_table(spark, sf_dir)

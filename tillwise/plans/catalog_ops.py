@@ -494,7 +494,20 @@ def upsert_merge_q(spark, sf_dir):
         "price", F.col("price").cast("double")).withColumn("product_cost", F.col("product_cost").cast("double"))
 
 
-@register("history_lookup")
+def _history_lookup_sql():
+    return q("""
+st AS (SELECT product_id, product_name, price, arg_min(datetime, seq) AS dt, min(seq) AS fs
+       FROM combined GROUP BY product_id, product_name, price),
+h AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY fs) AS rv,
+             count(*) OVER (PARTITION BY product_id) AS mx FROM st)""", f"""
+SELECT product_id, product_name, CAST(price AS DOUBLE) AS price,
+       CAST(round(CAST(price AS DECIMAL(10,2)) * CAST(0.60 AS DECIMAL(3,2)), 2) AS DOUBLE) AS product_cost,
+       dt AS last_transaction_datetime, CAST(rv AS INTEGER) AS record_version, rv = mx AS is_current,
+       {parent_sku_sql('product_name')} AS parent_sku, {category_sql('product_name', 'product_id')} AS category
+FROM h WHERE product_id IN (SELECT product_id FROM combined WHERE date >= DATE '{_CUT}')""")
+
+
+@register("history_lookup", _history_lookup_sql())
 def history_lookup_q(spark, sf_dir):
     from ..operators.dimensions import history_lookup
     w = wh(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import quality, simhash
+from tillwise.llm import chat, quality, sharding, simhash, urls
 from tillwise.llm.common import table
 
 
@@ -14,12 +14,35 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def sharding_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and -7, whose texts hold control strings; digests are read back from the output."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = chat.format_conversations(turns).select("conv_id", "valid", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+                      F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_near_dedup,
+    "op3_sharding": sharding_vector,
+    "op7_chat_formatting": chat_formatting,
+    "op8_url_filters": url_filters,
     "op9_quality_rules": quality_rules,
 }
 

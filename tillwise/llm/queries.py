@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import chat, quality, sharding, simhash, urls
+from tillwise.llm import chat, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
 
 
@@ -19,6 +19,12 @@ def sharding_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and -7, whose texts hold control strings; digests are read back from the output."""
     said = "</s>[INST] ok [/INST]"
@@ -41,6 +47,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op3_sharding": sharding_vector,
+    "op6_secret_scans": secret_scans,
     "op7_chat_formatting": chat_formatting,
     "op8_url_filters": url_filters,
     "op9_quality_rules": quality_rules,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import chat, quality, secrets, sharding, simhash, urls
+from tillwise.llm import attribution, chat, decontaminate, packing, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
 
 
@@ -19,6 +19,19 @@ def sharding_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[secrets.count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
@@ -47,10 +60,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op3_sharding": sharding_vector,
+    "op4_benchmark_decontamination": benchmark_decontamination,
+    "op5_token_counts": token_counts,
     "op6_secret_scans": secret_scans,
     "op7_chat_formatting": chat_formatting,
     "op8_url_filters": url_filters,
     "op9_quality_rules": quality_rules,
+    "op10_packing": kk_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import attribution, chat, decontaminate, packing, quality, secrets, sharding, simhash, urls
+from tillwise.llm import attribution, chat, decontaminate, packing, passages, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
 
 
@@ -14,6 +14,10 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def sharding_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -59,6 +63,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash_near_dedup,
+    "op2_substring_dedup": substring_dedup,
     "op3_sharding": sharding_vector,
     "op4_benchmark_decontamination": benchmark_decontamination,
     "op5_token_counts": token_counts,

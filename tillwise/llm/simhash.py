@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import id_text, written
+from tillwise.llm.common import fresh, id_text, written
 from tillwise.llm.graph import components
 
 SHINGLE_WORDS = 4
@@ -180,20 +180,23 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """A row per document: doc_id, fp (long), component_id (least id of its component)."""
-    rows = written(id_text(docs, id_col, text_col).select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "simhash-prints")
+    """A row per document: doc_id, fp (long), text_hash, root (least fingerprint) and component_id (least id of its component)."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = written(id_text(docs, id_col, text_col).select("doc_id", fingerprint(F.col("text"), shingle).alias("fp"), F.xxhash64(text).alias("text_hash")), "simhash-prints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     rooted = written(distinct.join(classes(distinct, max_bits), "fp"), "simhash-classes")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component, the one with the least id, with all its columns.
 
-    Rows with the same id count as one document.
+    Of several rows with that id, in the component, the text with the least hash stays, once.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    stay = found.groupBy("component_id").agg(F.count("*").alias("n")).select(F.col("component_id").alias("stay_id"))
-    d = docs.join(stay, docs[id_col].eqNullSafe(stay["stay_id"]), "left_semi")
-    return d.dropDuplicates([id_col])
+    found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min("text_hash").alias("stay_hash")).select(F.col("doc_id").alias("stay_id"), "stay_hash")
+    hashed = fresh(docs, "text_hash")
+    with_hash = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    left = with_hash.join(stay, with_hash[id_col].eqNullSafe(stay["stay_id"]) & (with_hash[hashed] == stay["stay_hash"]), "left_semi")
+    return left.dropDuplicates([id_col, hashed]).drop(hashed)

@@ -87,31 +87,46 @@ def base_spans(text: Column) -> Column:
         of("hex", text.rlike(HEX), HEX)))
 
 
-def _hot_span(place: Column, window: int, bits: float) -> Column:
-    """(start, end) from the first to the last hot window of a candidate; nulls where none is hot."""
+def _coded(place: Column) -> Column:
+    """A candidate with its characters as numbers in its own alphabet, worked out once."""
     chars = F.split(place["match"], "")
-    n = F.length(place["match"])
-    alphabet = F.array_distinct(chars)
+    return F.struct(place["start"].alias("start"), place["match"].alias("match"), chars.alias("chars"), F.array_distinct(chars).alias("alphabet"))
+
+
+def _numbered(x: Column) -> Column:
+    return F.struct(x["start"].alias("start"), x["match"].alias("match"), F.size(x["alphabet"]).alias("kinds"),
+                    F.transform(x["chars"], lambda c: F.array_position(x["alphabet"], c).cast("int") - 1).alias("codes"))
+
+
+def _counted(x: Column, window: int) -> Column:
+    """With the counts of the first window's characters."""
+    head = F.slice(x["codes"], 1, window)
+    counts = F.transform(F.sequence(F.lit(0), x["kinds"] - 1), lambda a: F.size(F.filter(head, lambda c: c == a)))
+    return F.struct(x["start"].alias("start"), x["match"].alias("match"), x["codes"].alias("codes"), counts.alias("counts"))
+
+
+def _hot_span(x: Column, window: int, bits: float) -> Column:
+    """(start, end, match) from the first to the last hot window of a candidate; nulls where none is hot."""
     term = F.array(*[F.lit(t).cast("long") for t in terms(window)])
     limit = F.lit(hot_limit(window, bits)).cast("long")
-    first = F.transform(alphabet, lambda a: F.size(F.filter(F.slice(chars, 1, window), lambda c: c == a)))
-    sum_first = F.aggregate(first, F.lit(0).cast("long"), lambda s, c: s + F.get(term, c))
+    sum_first = F.aggregate(x["counts"], F.lit(0).cast("long"), lambda s, c: s + F.get(term, c))
     hot = lambda total, at, was: F.when(total <= limit, at).otherwise(was)
     nothing = F.lit(None).cast("int")
-    start = F.struct(first.alias("counts"), sum_first.alias("total"), hot(sum_first, F.lit(0), nothing).alias("lo"), hot(sum_first, F.lit(0), nothing).alias("hi"))
+    start = F.struct(x["counts"].alias("counts"), sum_first.alias("total"), hot(sum_first, F.lit(0), nothing).alias("lo"), hot(sum_first, F.lit(0), nothing).alias("hi"))
 
     def step(s: Column, k: Column) -> Column:
-        out, in_ = F.array_position(alphabet, F.get(chars, k - 1)).cast("int") - 1, F.array_position(alphabet, F.get(chars, k + window - 1)).cast("int") - 1
+        out, in_ = F.get(x["codes"], k - 1), F.get(x["codes"], k + window - 1)
         c_out, c_in = F.get(s["counts"], out), F.get(s["counts"], in_)
         same = out == in_
         total = F.when(same, s["total"]).otherwise(s["total"] - F.get(term, c_out) + F.get(term, c_out - 1) - F.get(term, c_in) + F.get(term, c_in + 1))
         counts = F.when(same, s["counts"]).otherwise(F.transform(s["counts"], lambda c, i: c + F.when(i == in_, 1).when(i == out, -1).otherwise(0)))
         return F.struct(counts.alias("counts"), total.alias("total"), F.coalesce(s["lo"], hot(total, k, nothing)).alias("lo"), hot(total, k, s["hi"]).alias("hi"))
 
+    n = F.size(x["codes"])
     steps = F.when(n > window, F.sequence(F.lit(1), n - window)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(steps, start, step, lambda s: F.struct(
-        (place["start"] + s["lo"]).alias("start"), (place["start"] + s["hi"] + window).alias("end"),
-        F.substring(place["match"], s["lo"] + 1, s["hi"] + window - s["lo"]).alias("match")))
+        (x["start"] + s["lo"]).alias("start"), (x["start"] + s["hi"] + window).alias("end"),
+        F.substring(x["match"], s["lo"] + 1, s["hi"] + window - s["lo"]).alias("match")))
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
@@ -120,7 +135,9 @@ def entropy_spans(text: Column, base: Column) -> Column:
     for chars, window, bits, must in CLASSES.values():
         run = f"{chars}{{{window},}}"
         candidates = F.filter(_places(text, run), lambda p: p["match"].rlike(must))
-        hot = F.filter(F.transform(candidates, lambda p: _hot_span(p, window, bits)), lambda h: h["start"].isNotNull())
+        for step in (_coded, _numbered, lambda x: _counted(x, window), lambda x: _hot_span(x, window, bits)):
+            candidates = F.transform(candidates, step)
+        hot = F.filter(candidates, lambda h: h["start"].isNotNull())
         for pattern in ALLOWED:
             hot = F.filter(hot, lambda h: ~h["match"].rlike(pattern))
         hot = F.filter(hot, lambda h: ~F.exists(base, lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 _INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
 
+def strip(text: Column) -> Column:
+    """Text without white space (of any kind) at its ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def time_id(text: Column) -> Column:
     """time text -> ``HhhMmm``.
 
@@ -17,14 +22,14 @@ def time_id(text: Column) -> Column:
     ``HHMM``; anything else is null.  ``HH:MM:SS`` is null because the part
     after the first colon is not an integer.  No range check.
     """
-    s = F.trim(text.cast("string"))
+    s = strip(text.cast("string"))
     has_colon = F.instr(s, ":") > 0
     h_c = F.substring_index(s, ":", 1)
-    m_c = F.substring(s, F.instr(s, ":") + 1, 1 << 20)
+    m_c = F.substring(s, F.instr(s, ":") + F.lit(1), F.length(s))
     colon_ok = h_c.rlike(_INT_TEXT) & m_c.rlike(_INT_TEXT)
     four = s.rlike(r"^[0-9]{4}$")
-    h = F.when(has_colon, F.trim(h_c)).otherwise(F.substring(s, 1, 2)).cast("bigint")
-    m = F.when(has_colon, F.trim(m_c)).otherwise(F.substring(s, 3, 2)).cast("bigint")
+    h = F.when(has_colon, strip(h_c)).otherwise(F.substring(s, 1, 2)).cast("bigint")
+    m = F.when(has_colon, strip(m_c)).otherwise(F.substring(s, 3, 2)).cast("bigint")
     ok = F.when(has_colon, colon_ok).otherwise(four)
     return F.when(text.isNotNull() & ok, F.format_string("H%02dM%02d", h, m))
 
@@ -33,20 +38,20 @@ def takeout_flag(v: Column) -> Column:
     """C10: 'Y' (any case, trimmed) -> 'True'; null/blank -> 'False'; else unchanged."""
     s = v.cast("string")
     return (
-        F.when(F.upper(F.trim(s)) == "Y", F.lit("True"))
-        .when(s.isNull() | (F.trim(s) == ""), F.lit("False"))
+        F.when(F.upper(strip(s)) == "Y", F.lit("True"))
+        .when(s.isNull() | (strip(s) == ""), F.lit("False"))
         .otherwise(s)
     )
 
 
 def normalize_name(v: Column) -> Column:
     """Upper + trim (nulls stay null)."""
-    return F.upper(F.trim(v))
+    return F.upper(strip(v))
 
 
 def name_key(v: Column) -> Column:
     """C12 key: trimmed, case-folded name."""
-    return F.lower(F.trim(v))
+    return F.lower(strip(v))
 
 
 def safe_float(v: Column, default: float = 0.0) -> Column:

@@ -208,6 +208,8 @@ def frequent_itemsets(baskets: DataFrame, dim: DataFrame, min_support: float = C
     Exact from sizes 1-2: any larger frequent itemset has at least six proper
     frequent subsets with support >= its own, and ties rank smaller itemsets
     first, so it can never reach the top five."""
+    if top_n > 6:
+        raise ValueError("sizes 1 and 2 decide the first six only; use frequent_itemsets_fpgrowth for more")
     ri = run_items(basket_items(baskets, dim), dim)
     n_run, singles, pairs = itemset_counts(ri, min_support)
     s1 = translate(singles, dim, "item", "name").select(
@@ -227,13 +229,19 @@ def frequent_itemsets_fpgrowth(baskets: DataFrame, dim: DataFrame, min_support:
     containing an EXTRA/OTHERS product are dropped unless nothing would remain."""
     from pyspark.ml.fpm import FPGrowth
 
-    items = basket_items(baskets, dim)
+    items = basket_items(baskets, dim).persist(StorageLevel.MEMORY_AND_DISK)
     tx = items.groupBy("receipt_no").agg(F.collect_set("item").alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
-    n = tx.count()
-    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), (F.col("freq") / F.lit(n)).alias("support"))
-    excluded = checked_broadcast(
-        item_categories(dim).filter(F.col("category").isin(*C.EXCLUDED_CATEGORIES)).select("item"))
-    bad = fi.select("items", F.explode("items").alias("item")).join(excluded, "item", "left_semi").select("items").distinct()
-    kept = fi.join(bad, "items", "left_anti")
-    return kept.select(F.array_join("items", ", ").alias("itemsets"), F.size("items").alias("size"), "support")
+    n = items.select(F.count_distinct("receipt_no")).first()[0]
+    items.unpersist()
+    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq"))
+    long = fi.select("items", "freq", F.posexplode("items").alias("pos", "item"))
+    cats = item_categories(dim).select("item", F.col("category").isin(*C.EXCLUDED_CATEGORIES).alias("bad"))
+    named = translate(long.join(cats, "item", "left"), dim, "item", "name")
+    sets = named.groupBy("items", "freq").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("names"),  # one itemset: a few names
+        F.coalesce(F.bool_or("bad"), F.lit(False)).alias("bad"))
+    # the filter holds only where something remains
+    any_left = sets.select(F.bool_or(~F.col("bad"))).scalar()
+    kept = sets.filter(~F.col("bad") | ~F.coalesce(any_left, F.lit(False)))
+    return kept.select(F.array_join("names", ", ").alias("itemsets"), F.size("items").alias("size"), (F.col("freq") / F.lit(n)).alias("support"))

@@ -7,6 +7,7 @@ over the already-aggregated states, so a hot product never lands in one task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -96,7 +97,9 @@ def history_exists(spark: SparkSession, path: str) -> bool:
     """The history table exists and holds at least one row (drives P4)."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # missing path is the "first load" case
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return not df.isEmpty()
 

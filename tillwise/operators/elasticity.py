@@ -15,13 +15,14 @@ from .. import config as C
 from .common import checked_broadcast
 
 
-def top_bundles(rules: DataFrame, n: int = C.TOP_BUNDLES) -> DataFrame:
-    """The first n rows of the rule table in table order (runs FOOD, DRINK,
+def top_bundles(rules: DataFrame, n: int | None = C.TOP_BUNDLES) -> DataFrame:
+    """The first n rows (None: all) of the rule table in table order (runs FOOD, DRINK,
     MEAL, each by bundle id) with their 0-based ``rule_row``."""
     order = F.create_map(F.lit("FOOD"), F.lit(0), F.lit("DRINK"), F.lit(1), F.lit("MEAL"), F.lit(2))
     w = Window.orderBy(F.coalesce(order[F.col("category")], F.lit(9)), F.col("bundle_id"))
     # the rule table holds at most five rows per run: a global window is fine here
-    return rules.withColumn("rule_row", F.row_number().over(w) - 1).filter(F.col("rule_row") < n)
+    out = rules.withColumn("rule_row", F.row_number().over(w) - 1)
+    return out if n is None else out.filter(F.col("rule_row") < n)
 
 
 def resolve_bundles(bundles: DataFrame, dim: DataFrame) -> DataFrame:

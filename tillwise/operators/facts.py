@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cleaning import exclude_latest_month, fact_projection
+from .cleaning import exclude_latest_month, fact_projection, require_columns
 
 
 def dedup_keep_first(df: DataFrame, keys, seq_col: str = "seq") -> DataFrame:
-    """One row per key, the first in ingest order.
+    """One row per key, the first in ingest order; a frame without one of the
+    key columns is left as it is (a part of the key would merge other rows).
 
     Expressed as ``min_by(struct(row), seq)`` per key: a hash aggregate with
     map-side partial aggregation, so a hot key collapses before the shuffle
     (a row_number window would pull the whole hot key into one task)."""
-    keys = [k for k in keys if k in df.columns]
-    if not keys:
+    keys = list(keys)
+    if not set(keys) <= set(df.columns):
         return df
     others = [c for c in df.columns if c not in keys]
     return (
@@ -28,7 +29,8 @@ def dedup_keep_first(df: DataFrame, keys, seq_col: str = "seq") -> DataFrame:
 
 def dedup_keep_last(df: DataFrame, keys, seq_col: str = "seq") -> DataFrame:
     """One row per key, the last in ingest order (upsert semantics)."""
-    keys = [k for k in keys if k in df.columns]
+    keys = list(keys)
+    require_columns(df, keys, "dedup_keep_last")
     others = [c for c in df.columns if c not in keys]
     return (
         df.groupBy(*keys)

@@ -21,15 +21,14 @@ def scenario_price(rules: DataFrame, ped: DataFrame, dim: DataFrame, recs: DataF
     """Per bundle row: ids, list prices, elasticity (non-strict
     preferred), new price = recommended price by bundle id, else list total
     less ``discount``; demand multiplier (new/current)^eps, 1 when current <= 0."""
-    b = EL.resolve_bundles(EL.top_bundles(rules, 10 ** 6), dim)
+    b = EL.resolve_bundles(EL.top_bundles(rules, None), dim)
     b = EL.pick_elasticity(b.select("bundle_id", "category", "rule_row", "product_id_1", "product_id_2",
                                     "antecedents_names", "consequents_names"), ped)
     b = b.filter(F.col("mode").isNotNull())
     price = dim.select("product_id", F.col("price").cast("double").alias("p"))
-    b = (b.join(F.broadcast(price.withColumnRenamed("product_id", "product_id_1").withColumnRenamed("p", "price_a")),
-                "product_id_1", "left")
-         .join(F.broadcast(price.withColumnRenamed("product_id", "product_id_2").withColumnRenamed("p", "price_b")),
-               "product_id_2", "left"))
+    # the catalogue grows with the data: the planner picks the join by its size
+    b = (b.join(price.withColumnRenamed("product_id", "product_id_1").withColumnRenamed("p", "price_a"), "product_id_1", "left")
+         .join(price.withColumnRenamed("product_id", "product_id_2").withColumnRenamed("p", "price_b"), "product_id_2", "left"))
     eps = F.coalesce(F.nanvl(F.col("elasticity_epsilon"), F.lit(0.0)), F.lit(0.0))
     cur = F.col("price_a") + F.col("price_b")
     if recs is not None:
@@ -80,7 +79,7 @@ def bundle_forecast(fact: DataFrame, sc: DataFrame, horizon: int = C.HORIZON) ->
     c_fc = F.greatest(F.coalesce(F.col("consequent"), F.lit(0.0)), F.lit(0.0))
     fcast = f.select(
         F.col("period").alias("date"), "bundle_id", "bundle_row", "category",
-        b_fc.alias("bundle_units_forecast"),
+        b_fc.alias("bundle_units_forecast"), raw_b.alias("bundle_units_raw"),
         F.greatest(raw_b * F.col("demand_multiplier"), F.lit(0.0)).alias("bundle_units_adjusted_forecast"),
         a_fc.alias("antecedent_units_forecast"),
         F.greatest(a_fc - b_fc, F.lit(0.0)).alias("antecedent_units_after_cannibalization"),
@@ -96,6 +95,12 @@ def bundle_forecast(fact: DataFrame, sc: DataFrame, horizon: int = C.HORIZON) ->
     return out.join(bad.withColumnRenamed("key", "bundle_id"), "bundle_id", "left_anti")
 
 
+def series_lengths(long: DataFrame) -> DataFrame:
+    """Periods of a bundle's longest series (its own or either product's)."""
+    n = long.groupBy("key", "series").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy(F.col("key").alias("bundle_id")).agg(F.max("n").alias("n_periods"))
+
+
 def revenue_impact(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     """V4: revenue before (A+B at list) and after (A', B' at list + bundle at the
     new price) over the horizon, absolute and % impact."""
@@ -147,19 +152,28 @@ def break_even_by_period(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     )
 
 
-def bundle_summary(forecast: DataFrame, sc: DataFrame, discount: float = C.SUMMARY_DISCOUNT_RATE,
+def bundle_summary(forecast: DataFrame, sc: DataFrame, long: DataFrame, discount: float = C.SUMMARY_DISCOUNT_RATE,
                    horizon: int = C.HORIZON) -> DataFrame:
-    """V7: one summary row per bundle at a ``discount`` bundle price: revenues,
-    impact, signed bundle-unit equivalent, series length and horizon."""
-    sc2 = sc.withColumn("new_price", F.col("current_price") * F.lit(1 - discount))
-    ri = revenue_impact(forecast, sc2)
-    n = forecast.filter(F.col("bundle_units").isNotNull()).groupBy("bundle_id").agg(
-        F.count(F.lit(1)).alias("n_periods"))
-    j = ri.join(n, "bundle_id", "left").join(
-        sc.select("bundle_id", "antecedents_names", "consequents_names", F.round("current_price", 2).alias("current_price")),
-        "bundle_id")
-    return j.select("bundle_id", "category", F.col("antecedents_names").alias("product_a"),
-                    F.col("consequents_names").alias("product_b"), "current_price",
-                    F.col("new_price").alias("bundle_price"), "revenue_before", "revenue_after", "impact_abs",
-                    "impact_pct", signed_units(F.col("impact_abs"), F.col("new_price")).alias("bundle_units_equivalent"),
-                    F.coalesce("n_periods", F.lit(0)).alias("n_periods"), F.lit(horizon).alias("horizon"))
+    """V7: one summary row per bundle at a ``discount`` bundle price: the raw bundle
+    forecast takes the multiplier of that price and is clipped then; revenues,
+    impact, signed bundle-unit equivalent of the unrounded impact, length of the
+    longest of the three series and horizon."""
+    new = F.col("current_price") * F.lit(1 - discount)
+    priced = sc.select("bundle_id", "category", "antecedents_names", "consequents_names", "epsilon", "price_a", "price_b", "current_price",
+                       new.alias("new_price")).withColumn(
+        "multiplier", F.when((F.col("current_price") > 0) & (F.col("new_price") > 0), F.pow(F.col("new_price") / F.col("current_price"), F.col("epsilon"))).otherwise(F.lit(1.0)))
+    f = forecast.filter(F.col("bundle_units_forecast").isNotNull()).drop("category").join(priced, "bundle_id")
+    before = F.col("antecedent_units_forecast") * F.col("price_a") + F.col("consequent_units_forecast") * F.col("price_b")
+    after = (F.col("antecedent_units_after_cannibalization") * F.col("price_a")
+             + F.col("consequent_units_after_cannibalization") * F.col("price_b")
+             + F.greatest(F.col("bundle_units_raw") * F.col("multiplier"), F.lit(0.0)) * F.col("new_price"))
+    g = f.groupBy("bundle_id", "category", "antecedents_names", "consequents_names", "current_price", "new_price").agg(
+        F.sum(before).alias("before"), F.sum(after).alias("after")).join(series_lengths(long), "bundle_id", "left")
+    impact = F.col("after") - F.col("before")
+    return g.select(
+        "bundle_id", "category", F.col("antecedents_names").alias("product_a"), F.col("consequents_names").alias("product_b"),
+        F.round("current_price", 2).alias("current_price"), F.round("new_price", 2).alias("bundle_price"),
+        F.round("before", 2).alias("revenue_before"), F.round("after", 2).alias("revenue_after"), F.round(impact, 2).alias("impact_abs"),
+        F.round(F.when(F.col("before") != 0, impact / F.col("before") * 100), 4).alias("impact_pct"),
+        signed_units(impact, F.col("new_price")).alias("bundle_units_equivalent"),
+        F.coalesce("n_periods", F.lit(0)).alias("n_periods"), F.lit(horizon).alias("horizon"))

@@ -8,8 +8,7 @@ and a rerun with the same batch gives the same result.
 
 from __future__ import annotations
 
-import json
-import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +28,9 @@ def upsert_merge(target: DataFrame, updates: DataFrame, keys, order_col: str | N
     """K1: insert; on key conflict overwrite every non-key column; when the table
     has only key columns a conflict does nothing; with no key it is a plain insert.
 
-    Duplicate keys inside ``updates`` keep the last row (by ``order_col`` when
-    given).  Null-safe key equality, like the warehouse's primary keys."""
+    Duplicate keys inside ``updates`` keep the last row by ``order_col``; without
+    one, updates that differ under the same key fail the job, as no row is the
+    last.  Null-safe key equality, like the warehouse's primary keys."""
     keys = list(keys or [])
     cols = target.columns
     updates = updates.select(*cols)
@@ -41,7 +41,12 @@ def upsert_merge(target: DataFrame, updates: DataFrame, keys, order_col: str | N
         updates = updates.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("__r")) \
             .select(*keys, "__r.*").select(*cols)
     else:
-        updates = updates.dropDuplicates(keys)
+        others = [c for c in cols if c not in keys]
+        row = F.struct(*others) if others else F.lit(1)
+        one = F.when(F.min(row).eqNullSafe(F.max(row)), F.min(row)).otherwise(
+            F.raise_error(F.lit("upsert_merge: rows differ under one key and no order_col is given")))
+        updates = updates.groupBy(*keys).agg(one.alias("__r"))
+        updates = updates.select(*keys, *(["__r.*"] if others else [])).select(*cols)
     if set(keys) == set(cols):
         return target.unionByName(updates.join(target, keys, "left_anti").select(*cols)).dropDuplicates(keys)
     cond = None
@@ -69,15 +74,16 @@ def publish_run(spark: SparkSession, manifest_path: str, versions: dict[str, str
     them were written (readers resolve tables through the manifest)."""
     rows = [(name, path) for name, path in sorted(versions.items())]
     df = spark.createDataFrame(rows, "table_name string, path string")
-    df.coalesce(1).write.mode("overwrite").json(manifest_path)
+    # a folder for each run, never an overwrite: readers always find a whole manifest
+    df.coalesce(1).write.json(f"{manifest_path.rstrip('/')}/published_at={time.time_ns():020d}")
     return df
 
 
 def read_published(spark: SparkSession, manifest_path: str, table: str) -> DataFrame:
     """Resolve a table through a manifest written by :func:`publish_run`."""
-    m = spark.read.json(manifest_path).filter(F.col("table_name") == table).select("path")
-    path = m.first()[0]  # one row: the manifest entry, not table data
-    return spark.read.parquet(path)
+    m = spark.read.schema("table_name string, path string, published_at string").json(manifest_path)
+    newest = m.filter(F.col("table_name") == table).select(F.max_by("path", "published_at"))
+    return spark.read.parquet(newest.first()[0])  # one value: the newest manifest entry
 
 
 def append_table(df: DataFrame, path: str) -> None:

@@ -248,8 +248,8 @@ from ..operators import elasticity as EL  # noqa: E402
 from ..operators import pricing as PR  # noqa: E402
 from .oracle_sql import elasticity_ctes, pricing_ctes  # noqa: E402
 
-#: Combined prices are binned to 10,000 for the synthetic data (line totals are
-#: near-unique there, so unbinned points carry one receipt each).
+#: Price bin of the ``*_binned`` variants: line totals are near-unique in the
+#: synthetic data, so points at exact prices carry one receipt each.
 PRICE_BIN = 10000
 
 
@@ -258,10 +258,10 @@ def rules_table(spark, sf_dir) -> DataFrame:
     return w.result("association_rules", lambda: B.bundle_rules(w.baskets, w.current, Q_SUPPORT, Q_CONF, Q_LIFT))
 
 
-def ped_table(spark, sf_dir, strict: bool = False) -> DataFrame:
+def ped_table(spark, sf_dir, strict: bool = False, price_bin: float | None = None) -> DataFrame:
     w = wh(spark, sf_dir)
-    name = "ped_summary_strict" if strict else "ped_summary"
-    return w.result(name, lambda: EL.elasticity(rules_table(spark, sf_dir), w.fact, w.current, strict, PRICE_BIN))
+    name = "ped_summary" + "_strict" * strict + "_binned" * bool(price_bin)
+    return w.result(name, lambda: EL.elasticity(rules_table(spark, sf_dir), w.fact, w.current, strict, price_bin))
 
 
 def _resolved(spark, sf_dir) -> DataFrame:
@@ -269,8 +269,8 @@ def _resolved(spark, sf_dir) -> DataFrame:
     return EL.resolve_bundles(EL.top_bundles(rules_table(spark, sf_dir)), w.current)
 
 
-_E = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, PRICE_BIN)
-_ES = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, PRICE_BIN, strict=True)
+_E = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, None)
+_ES = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, None, strict=True)
 
 
 @register("resolve_bundles", q(_E, """
@@ -292,74 +292,62 @@ def bundle_receipts_strict(spark, sf_dir):
     return r.select("bundle_id", "receipt_no", F.col("combined_price").cast("double").alias("combined_price"), "date")
 
 
-@register("price_quantity_points", q(_E, "SELECT bundle_id, CAST(combined_price AS DOUBLE) AS combined_price, num_transactions FROM pts"))
-def price_quantity_points(spark, sf_dir):
-    p = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), False, PRICE_BIN)
-    return p.select("bundle_id", F.col("combined_price").cast("double").alias("combined_price"), "num_transactions")
+def _register_price_chain(suffix: str, price_bin: float | None) -> None:
+    """E1-E3 and O1-O5 at one price resolution."""
+    for strict in (False, True):
+        ctes = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, price_bin, strict=strict)
+        tail = "_strict" * strict + suffix
 
+        def points(spark, sf_dir, strict=strict):
+            p = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), strict, price_bin)
+            return p.select("bundle_id", F.col("combined_price").cast("double").alias("combined_price"), "num_transactions")
 
-@register("price_quantity_points_strict", q(_ES, "SELECT bundle_id, CAST(combined_price AS DOUBLE) AS combined_price, num_transactions FROM pts"))
-def price_quantity_points_strict(spark, sf_dir):
-    p = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), True, PRICE_BIN)
-    return p.select("bundle_id", F.col("combined_price").cast("double").alias("combined_price"), "num_transactions")
+        register("price_quantity_points" + tail, q(ctes, "SELECT bundle_id, CAST(combined_price AS DOUBLE) AS combined_price, num_transactions FROM pts"))(points)
+        register("elasticity" + tail, q(ctes, "SELECT * FROM ped"))(
+            lambda spark, sf_dir, strict=strict: ped_table(spark, sf_dir, strict, price_bin))
 
+    ctes = elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, price_bin)
 
-@register("elasticity", q(_E, "SELECT * FROM ped"))
-def elasticity_q(spark, sf_dir):
-    return ped_table(spark, sf_dir)
+    def curve(spark, sf_dir):
+        pts = EL.price_quantity_points(wh(spark, sf_dir).fact, _resolved(spark, sf_dir), False, price_bin)
+        return EL.demand_curve(ped_table(spark, sf_dir, price_bin=price_bin), pts)
 
-
-@register("elasticity_strict", q(_ES, "SELECT * FROM ped"))
-def elasticity_strict(spark, sf_dir):
-    return ped_table(spark, sf_dir, strict=True)
-
-
-@register("demand_curve", q(_E + """,
+    register("demand_curve" + suffix, q(ctes + """,
 rng AS (SELECT bundle_id, min(CAST(combined_price AS DOUBLE)) AS p_min, max(CAST(combined_price AS DOUBLE)) AS p_max
         FROM pts WHERE combined_price > 0 AND num_transactions > 0 GROUP BY bundle_id),
 g AS (SELECT p.bundle_id, p.elasticity_epsilon, p.intercept_logk, r.p_min, r.p_max, i
       FROM ped p JOIN rng r ON p.bundle_id = r.bundle_id, range(200) t(i))""", """
 SELECT bundle_id, CAST(i AS INTEGER) AS grid_index, round(p_min + i * ((p_max - p_min) / 199), 6) AS price,
-       round(exp(intercept_logk) * pow(p_min + i * ((p_max - p_min) / 199), elasticity_epsilon), 6) AS demand FROM g"""))
-def demand_curve(spark, sf_dir):
-    w = wh(spark, sf_dir)
-    pts = EL.price_quantity_points(w.fact, _resolved(spark, sf_dir), False, PRICE_BIN)
-    return EL.demand_curve(ped_table(spark, sf_dir), pts)
-
-
-@register("sample_bundles", q(_E, """
-SELECT bundle_id, antecedents_names, consequents_names, category FROM (
-  SELECT *, row_number() OVER (PARTITION BY category ORDER BY bundle_id) AS r FROM br) WHERE r = 1"""))
-def sample_bundles(spark, sf_dir):
-    return EL.sample_bundles(rules_table(spark, sf_dir)).select(
-        "bundle_id", "antecedents_names", "consequents_names", "category")
+       round(exp(intercept_logk) * pow(p_min + i * ((p_max - p_min) / 199), elasticity_epsilon), 6) AS demand FROM g"""))(curve)
 
+    def economics(spark, sf_dir):
+        e = PR.bundle_economics(ped_table(spark, sf_dir, price_bin=price_bin), wh(spark, sf_dir).current)
+        return e.select("bundle_id", "bundle_name", "category", "product_a_price", "product_b_price", "current_price_total",
+                        F.round("product_a_cogs_raw", 6).alias("product_a_cogs"),
+                        F.round("product_b_cogs_raw", 6).alias("product_b_cogs"),
+                        F.round(F.exp("intercept"), 6).alias("base_demand_k"), "skip_reason")
 
-@register("bundle_economics", q(_E + pricing_ctes(), """
+    register("bundle_economics" + suffix, q(ctes + pricing_ctes(), """
 SELECT bundle_id, bundle_name, category, product_a_price, product_b_price, current_price_total,
        round(ca, 6) AS product_a_cogs, round(cb, 6) AS product_b_cogs, round(exp(intercept), 6) AS base_demand_k, skip_reason
-FROM econ"""))
-def bundle_economics(spark, sf_dir):
-    e = PR.bundle_economics(ped_table(spark, sf_dir), wh(spark, sf_dir).current)
-    return e.select("bundle_id", "bundle_name", "category", "product_a_price", "product_b_price", "current_price_total",
-                    F.round("product_a_cogs_raw", 6).alias("product_a_cogs"),
-                    F.round("product_b_cogs_raw", 6).alias("product_b_cogs"),
-                    F.round(F.exp("intercept"), 6).alias("base_demand_k"), "skip_reason")
-
+FROM econ"""))(economics)
+    register("pricing_skipped" + suffix, q(ctes + pricing_ctes(), "SELECT bundle_id, bundle_name, skip_reason AS reason FROM econ WHERE skip_reason IS NOT NULL"))(
+        lambda spark, sf_dir: PR.pricing_skipped(ped_table(spark, sf_dir, price_bin=price_bin), wh(spark, sf_dir).current))
+    for objective in ("quantity", "profit"):
+        register("price_recommendation" + "_profit" * (objective == "profit") + suffix, q(ctes + pricing_ctes(objective), "SELECT * FROM rec"))(
+            lambda spark, sf_dir, objective=objective: PR.price_recommendation(ped_table(spark, sf_dir, price_bin=price_bin), wh(spark, sf_dir).current, objective))
 
-@register("pricing_skipped", q(_E + pricing_ctes(), "SELECT bundle_id, bundle_name, skip_reason AS reason FROM econ WHERE skip_reason IS NOT NULL"))
-def pricing_skipped(spark, sf_dir):
-    return PR.pricing_skipped(ped_table(spark, sf_dir), wh(spark, sf_dir).current)
 
+_register_price_chain("", None)
+_register_price_chain("_binned", PRICE_BIN)
 
-@register("price_recommendation", q(_E + pricing_ctes("quantity"), "SELECT * FROM rec"))
-def price_recommendation(spark, sf_dir):
-    return PR.price_recommendation(ped_table(spark, sf_dir), wh(spark, sf_dir).current, "quantity")
 
-
-@register("price_recommendation_profit", q(_E + pricing_ctes("profit"), "SELECT * FROM rec"))
-def price_recommendation_profit(spark, sf_dir):
-    return PR.price_recommendation(ped_table(spark, sf_dir), wh(spark, sf_dir).current, "profit")
+@register("sample_bundles", q(_E, """
+SELECT bundle_id, antecedents_names, consequents_names, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY bundle_id) AS r FROM br) WHERE r = 1"""))
+def sample_bundles(spark, sf_dir):
+    return EL.sample_bundles(rules_table(spark, sf_dir)).select(
+        "bundle_id", "antecedents_names", "consequents_names", "category")
 
 
 # --- 2.12 / 2.13 series, forecasts, scenario ---------------------------------------
@@ -438,7 +426,7 @@ def series_interpolated(spark, sf_dir):
 
 def _scenario(spark, sf_dir) -> DataFrame:
     w = wh(spark, sf_dir)
-    recs = price_recommendation(spark, sf_dir)
+    recs = QUERIES["price_recommendation"](spark, sf_dir)
     return w.result("scenario", lambda: SC.scenario_price(rules_table(spark, sf_dir), ped_table(spark, sf_dir),
                                                           w.current, recs))
 
@@ -521,7 +509,7 @@ def _forecast(spark, sf_dir) -> DataFrame:
 
 @register("bundle_forecast")
 def bundle_forecast(spark, sf_dir):
-    return _forecast(spark, sf_dir)
+    return _forecast(spark, sf_dir).drop("bundle_units_raw")
 
 
 @register("revenue_impact")
@@ -536,5 +524,5 @@ def break_even_by_period(spark, sf_dir):
 
 @register("bundle_summary")
 def bundle_summary(spark, sf_dir):
-    return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir))
+    return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir), _bundle_long(spark, sf_dir))
 from . import catalog_ops  # noqa: E402,F401

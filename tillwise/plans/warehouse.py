@@ -93,9 +93,9 @@ class Warehouse:
 
     @cached_property
     def header(self) -> DataFrame:
-        """Receipt report, keep-first dedup by (date, receipt_no)."""
+        """Receipt report, keep-first dedup by (date, receipt_no, time)."""
         h = receipt_report(self.spark, self.sf_dir).withColumn("seq", F.col("receipt_no"))
-        return dedup_keep_first(h, ["date", "receipt_no", "time"]).drop("seq")
+        return dedup_keep_first(h, ["date", "receipt_no", "time"]).drop("seq", "time")
 
     @cached_property
     def combined(self) -> DataFrame:

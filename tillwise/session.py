@@ -38,6 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         conf = tempfile.mkdtemp(prefix="tillwise-ckpt-", dir=os.environ.get("TILLWISE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)

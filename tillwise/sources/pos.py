@@ -32,6 +32,7 @@ def receipt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("receipt_no"),
         F.col("o_orderdate").cast("date").alias("date"),
+        F.date_format("o_orderdate", "HH:mm").alias("time"),
         F.col("o_orderdate").alias("datetime"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import attribution, chat, decontaminate, packing, passages, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
+from tillwise.llm.oracles import ORACLES
 
 
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +75,4 @@ QUERIES = {
     "op10_packing": kk_packing,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

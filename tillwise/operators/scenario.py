@@ -140,8 +140,8 @@ def break_even_by_period(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     f = f.withColumn("diff", diff)
     tot = f.groupBy("bundle_id").agg(F.sum("diff").alias("total"))
     f = f.join(tot, "bundle_id")
-    gap = F.greatest(-F.col("diff"), F.lit(0.0))
-    sur = F.greatest(F.col("diff"), F.lit(0.0))
+    gap = F.when(F.col("diff") < 0, -F.col("diff")).otherwise(F.lit(0.0))
+    sur = F.when(F.col("diff") > 0, F.col("diff")).otherwise(F.lit(0.0))
     neg = F.col("total") < 0
     return f.select(
         "bundle_id", F.col("date").alias("period"),

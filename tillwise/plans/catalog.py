@@ -497,6 +497,8 @@ def forecast_metrics(spark, sf_dir):
 @register("holt_winters_tuned")
 def holt_winters_tuned(spark, sf_dir):
     m = S.monthly_series_interpolated(wh(spark, sf_dir).fact)
+    # like monthly demand, without the last month present
+    m = m.filter(F.col("month") < m.select(F.max("month")).scalar())
     s = m.select(F.lit("overall").alias("key"), F.lit("receipts").alias("series"), F.col("month").alias("period"),
                  F.col("receipts").alias("units"))
     return FC.holt_winters_tuned(s)
@@ -509,7 +511,8 @@ def _forecast(spark, sf_dir) -> DataFrame:
 
 @register("bundle_forecast")
 def bundle_forecast(spark, sf_dir):
-    return _forecast(spark, sf_dir).drop("bundle_units_raw")
+    f = _forecast(spark, sf_dir).drop("bundle_units_raw")
+    return f.select([F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in f.dtypes])
 
 
 @register("revenue_impact")
@@ -527,3 +530,4 @@ def bundle_summary(spark, sf_dir):
     return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir), _bundle_long(spark, sf_dir))
 from . import catalog_ops  # noqa: E402,F401
 from . import catalog_more  # noqa: E402,F401
+from . import forecast_sql  # noqa: E402,F401

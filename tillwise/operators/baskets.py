@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .common import checked_broadcast
 
 
 def sku_map(dim: DataFrame) -> DataFrame:
@@ -48,7 +47,7 @@ def sku_map(dim: DataFrame) -> DataFrame:
 
 def basket_items(baskets: DataFrame, dim: DataFrame) -> DataFrame:
     """M1 + F5: (receipt_no, item) distinct; unmapped SKUs vanish."""
-    m = checked_broadcast(sku_map(dim))
+    m = sku_map(dim)
     exploded = baskets.select("receipt_no", F.explode(F.split("sku", ",")).alias("sku")) \
         .withColumn("sku", F.trim("sku"))
     return exploded.join(m, "sku", "inner").select("receipt_no", F.col("product_id").alias("item")).distinct()
@@ -60,7 +59,7 @@ def item_categories(dim: DataFrame) -> DataFrame:
 
 def run_items(items: DataFrame, dim: DataFrame, runs=("FOOD", "DRINK", "MEAL")) -> DataFrame:
     """(run, receipt_no, item, category) rows of every run."""
-    ic = items.join(checked_broadcast(item_categories(dim)), "item", "inner")
+    ic = items.join(item_categories(dim), "item", "inner")
     out = []
     fd = ic.filter(F.col("category").isin("FOOD", "DRINK"))
     for r in runs:
@@ -86,13 +85,13 @@ def itemset_counts(ri: DataFrame, min_support: float = C.MIN_SUPPORT):
     if not ri.storageLevel.useMemory and not ri.storageLevel.useDisk:
         ri = ri.persist(StorageLevel.MEMORY_AND_DISK)
     n_run = ri.groupBy("run").agg(F.count_distinct("receipt_no").alias("n"))
-    n_b = checked_broadcast(n_run)
+    n_b = n_run
     singles = (
         ri.groupBy("run", "item", "category").agg(F.count(F.lit(1)).alias("n_i"))
         .join(n_b, "run")
         .filter(F.col("n_i") / F.col("n") >= F.lit(min_support))
     )
-    fs = checked_broadcast(singles.select("run", "item"))
+    fs = singles.select("run", "item")
     pruned = ri.join(fs, ["run", "item"], "left_semi").select("run", "receipt_no", "item")
     a = pruned.alias("a")
     b = pruned.alias("b")
@@ -140,7 +139,7 @@ def _names(dim: DataFrame) -> DataFrame:
 
 def translate(df: DataFrame, dim: DataFrame, id_col: str, out_col: str) -> DataFrame:
     """Id -> name, falling back to the id."""
-    n = checked_broadcast(_names(dim))
+    n = _names(dim)
     return df.join(n, F.col(id_col) == F.col("__nid"), "left") \
         .withColumn(out_col, F.coalesce(F.col("__nname"), F.col(id_col))).drop("__nid", "__nname")
 

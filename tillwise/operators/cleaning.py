@@ -1,8 +1,7 @@
 """Cleaning and standardisation of the raw reports.
 
 All functions are plan-time decisions on ``df.columns`` plus lazy column
-expressions; none trigger a job except where a size-checked broadcast is
-built (canonical product ids).
+expressions; none trigger a job.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import name_key, normalize_name, to_snake_case
-from .common import checked_broadcast, fixed_broadcast
+from .common import fixed_broadcast
 
 
 def union_align(frames: list[DataFrame]) -> DataFrame:
@@ -152,10 +151,12 @@ def canonical_product_ids(df: DataFrame, id_col: str = "product_id", name_col: s
 
 def canonical_product_id(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name",
                          seq_col: str = "seq") -> DataFrame:
-    """Every row takes the first-seen id of its name; unmapped rows keep their id.
-    The lookup has one row per distinct name (catalogue-sized) and is broadcast
-    after a size check."""
-    lookup = checked_broadcast(canonical_product_ids(df, id_col, name_col, seq_col))
+    """Every row takes the first-seen id of its name; unmapped rows keep their id."""
+    return apply_canonical_ids(df, canonical_product_ids(df, id_col, name_col, seq_col), id_col, name_col)
+
+
+def apply_canonical_ids(df: DataFrame, lookup: DataFrame, id_col: str = "product_id", name_col: str = "product_name") -> DataFrame:
+    """C12 with a lookup of one row per distinct name (in the warehouse a stored table, of known size)."""
     j = df.join(lookup, name_key(F.col(name_col)) == F.col("__name_key"), "left")
     return j.withColumn(id_col, F.coalesce(F.col("__canon_id"), F.col(id_col))).select(*df.columns)
 

@@ -5,31 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest row count a derived lookup table may have to be broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
+def fixed_broadcast(small: DataFrame) -> DataFrame:
+    """Broadcast a table whose size is fixed by construction (not by data).
 
-def broadcast_max_rows(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("tillwise.broadcast.maxRows", None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_ROWS
-
-
-def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast a *derived* lookup side only after checking its size.
-
-    The side is cached (it is small by intent), counted, and broadcast when
-    within ``max_rows``; otherwise it is returned as is and the join shuffles
-    (AQE then handles skew).  Use for tables whose size depends on data, such
-    as per-product or per-bundle tables.  Fixed tables (rule lists, the
-    time-of-day dimension) are broadcast directly.
+    Tables whose size depends on data are joined without a hint: stored ones
+    have a known file size, the others a measured one when the join is planned
+    anew at run time.
     """
-    limit = max_rows if max_rows is not None else broadcast_max_rows(small)
-    cached = small.cache()
-    if cached.count() <= limit:
-        return F.broadcast(cached)
-    return cached
-
-
-def fixed_broadcast(small: DataFrame) -> DataFrame:
-    """Broadcast a table whose size is fixed by construction (not by data)."""
     return F.broadcast(small)

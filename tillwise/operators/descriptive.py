@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast
 
 MONEY_OUT = "double"
 
@@ -59,7 +58,7 @@ def kpi_daily_summary(fact: DataFrame) -> DataFrame:
 def fact_with_dim(fact: DataFrame, dim: DataFrame, how: str = "inner") -> DataFrame:
     """Fact joined to the current product dimension on product id."""
     d = dim.select(F.col("product_id").alias("__dim_pid"), F.col("category"), F.col("parent_sku"))
-    return fact.join(checked_broadcast(d), fact.product_id == F.col("__dim_pid"), how).drop("__dim_pid")
+    return fact.join(d, fact.product_id == F.col("__dim_pid"), how).drop("__dim_pid")
 
 
 def kpi_category_sales(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -76,7 +75,7 @@ def kpi_category_sales(fact: DataFrame, dim: DataFrame) -> DataFrame:
 def kpi_product_sales(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """A5: quantity and revenue per product and category (inner join, J3)."""
     d = dim.select(F.col("product_id").alias("__dim_pid"), F.col("product_name").alias("dim_name"), "category")
-    j = fact.join(checked_broadcast(d), fact.product_id == F.col("__dim_pid"), "inner")
+    j = fact.join(d, fact.product_id == F.col("__dim_pid"), "inner")
     return j.groupBy(F.col("product_id"), F.col("dim_name").alias("product_name"), "category").agg(
         F.sum("qty").cast("bigint").alias("total_quantity_sold"),
         _money(F.sum("line_total")).alias("total_revenue"),

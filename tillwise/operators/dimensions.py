@@ -13,7 +13,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.products import parent_sku, product_category, product_cost
-from .common import checked_broadcast
 
 DIM_COLUMNS = (
     "product_id", "product_name", "price", "product_cost", "last_transaction_datetime",
@@ -90,7 +89,7 @@ def product_dim_history(lines: DataFrame, cost_lookup: DataFrame | None = None,
 def history_lookup(history: DataFrame, product_ids: DataFrame) -> DataFrame:
     """History rows of the products listed in ``product_ids`` (left semi join)."""
     ids = product_ids.select("product_id").distinct()
-    return history.join(checked_broadcast(ids), "product_id", "left_semi")
+    return history.join(ids, "product_id", "left_semi")
 
 
 def history_exists(spark: SparkSession, path: str) -> bool:

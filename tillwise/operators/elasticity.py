@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .common import checked_broadcast
 
 
 def top_bundles(rules: DataFrame, n: int | None = C.TOP_BUNDLES) -> DataFrame:
@@ -28,7 +27,7 @@ def top_bundles(rules: DataFrame, n: int | None = C.TOP_BUNDLES) -> DataFrame:
 def resolve_bundles(bundles: DataFrame, dim: DataFrame) -> DataFrame:
     """Exact-name resolution of both sides to product ids (first id per
     name); unresolved bundles are dropped."""
-    by_name = checked_broadcast(dim.groupBy("product_name").agg(F.min("product_id").alias("pid")))
+    by_name = dim.groupBy("product_name").agg(F.min("product_id").alias("pid"))
     a = by_name.select(F.col("product_name").alias("__na"), F.col("pid").alias("product_id_1"))
     b = by_name.select(F.col("product_name").alias("__nb"), F.col("pid").alias("product_id_2"))
     return (
@@ -129,7 +128,7 @@ def pick_elasticity(pairs: DataFrame, ped: DataFrame) -> DataFrame:
     p = ped.select(F.array_sort(F.array("product_id_1", "product_id_2")).alias("__key"),
                    "mode", "elasticity_epsilon", "intercept_logk", "n_price_points", F.col("bundle_id").alias("ped_bundle_id"))
     j = pairs.withColumn("__key", F.array_sort(F.array("product_id_1", "product_id_2"))).join(
-        checked_broadcast(p), "__key", "left")
+        p, "__key", "left")
     w = Window.partitionBy(*pairs.columns).orderBy(
         F.when(F.lower("mode") == "non_strict", 0).otherwise(1), F.col("ped_bundle_id"))
     return j.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "__key")

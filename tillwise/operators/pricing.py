@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import bundle_label, safe_float
-from .common import checked_broadcast
 
 SKIP_INVALID = "Insufficient data or invalid elasticity (ε >= 0)"
 SKIP_MISSING = "Product(s) not found in dimension"
@@ -34,7 +33,7 @@ def product_info(dim: DataFrame) -> DataFrame:
 def bundle_economics(ped: DataFrame, dim: DataFrame) -> DataFrame:
     """O1/O2: bundle name, both products' price and cost, K = exp(intercept), and a
     skip reason (null when the bundle is priced)."""
-    info = checked_broadcast(product_info(dim))
+    info = product_info(dim)
     a = info.select(F.col("product_name").alias("__a"), F.col("price").alias("product_a_price"),
                     F.col("cogs").alias("__cogs_a"))
     b = info.select(F.col("product_name").alias("__b"), F.col("price").alias("product_b_price"),

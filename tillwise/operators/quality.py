@@ -1,17 +1,18 @@
 """Data-quality flags (D1-D7): IQR outlier flags, row removal, value log and
 the numeric-coercion report.
 
-Quartiles come from one aggregate per metric (per group for D2).  ``exact``
-uses Spark's interpolated ``percentile`` (buffer grows with the number of
-distinct values of a group); for very large groups set ``exact=False`` to use
-the bounded-memory ``percentile_approx`` sketch instead.
+Exact quartiles are spread out: values are counted (map-side first), distinct
+values are dealt to ranges by a histogram of fixed width, running counts of the
+ranges say in which range each of the two neighbours of a quartile lies, and
+only those ranges are ranked.  No task holds a group's values.  ``exact=False``
+uses the bounded ``percentile_approx`` sketch instead.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -19,10 +20,55 @@ from .. import config as C
 METRICS = ("qty", "price", "line_total", "net_total")
 
 
-def _quartiles(x: F.Column, exact: bool) -> F.Column:
+#: Ranges into which a group's value span is cut to find a quartile.
+RANGES = 1024
+
+
+def _exact_quartiles(df: DataFrame, metrics, by, log_metrics) -> DataFrame:
+    """Group columns, metric, q1, q3 (linear interpolation between neighbours); nulls are left out."""
+    by = list(by)
+    values = []
+    for m in metrics:
+        x = F.col(m).cast("double")
+        values.append(F.struct(F.lit(m).alias("metric"), (F.when(x > 0, F.ln(x)) if m in log_metrics else x).alias("v")))
+    long = df.select(*by, F.explode(F.array(*values)).alias("x")).select(*by, "x.metric", "x.v").filter(F.col("v").isNotNull())
+    keys = [*by, "metric"]
+    counted = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
+    span = counted.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
+    # one row per group and metric: nulls among the group columns match each other
+    on = counted.join(span.withColumnsRenamed({k: f"__{k}" for k in keys}),
+                      [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
+    bucket = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(RANGES - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * RANGES))).otherwise(F.lit(0)).cast("int")
+    on = on.withColumn("bucket", bucket)
+    # at most RANGES rows per group and metric
+    ranges = on.groupBy(*keys, "n", "bucket").agg(F.sum("c").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumn("before", before)
+    ranks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("n") - 1) * F.lit(q)).alias("at")) for q in (0.25, 0.75)]))
+    wanted = ranges.withColumn("r", ranks).select(*keys, "bucket", "before", F.col("c").alias("held"), "r.q", "r.at").filter(
+        (F.col("before") <= F.ceil("at")) & (F.col("before") + F.col("held") > F.floor("at")))
+    w = wanted.withColumnsRenamed({k: f"__{k}" for k in [*keys, "bucket"]})
+    inside = on.join(w, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in [*keys, "bucket"]])
+    below = F.coalesce(F.sum("c").over(Window.partitionBy(*keys, "q", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
+    ranked = inside.withColumn("below", below)
+    has = lambda rank: (F.col("below") <= rank) & (rank < F.col("below") + F.col("c"))
+    pick = lambda rank: F.max(F.when(has(rank), F.col("v")))
+    two = ranked.groupBy(*keys, "q", "at").agg(pick(F.floor("at")).alias("a"), pick(F.ceil("at")).alias("b"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
+    return two.groupBy(*keys).agg(F.max(F.when(F.col("q") == 0.25, value)).alias("q1"), F.max(F.when(F.col("q") == 0.75, value)).alias("q3"))
+
+
+def _quartiles(df: DataFrame, metrics, by, log_metrics, exact: bool) -> DataFrame:
+    """One row per group with ``__q_<m>``, an array of the two quartiles of each metric."""
+    by = list(by)
     if exact:
-        return F.percentile(x, F.array(F.lit(0.25), F.lit(0.75)))
-    return F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.75)), 10000)
+        q = _exact_quartiles(df, metrics, by, log_metrics)
+        return q.groupBy(*by).agg(*[F.max(F.when(F.col("metric") == m, F.array("q1", "q3"))).alias(f"__q_{m}") for m in metrics])
+    aggs = []
+    for m in metrics:
+        x = F.col(m).cast("double")
+        aggs.append(F.percentile_approx(F.when(x > 0, F.ln(x)) if m in log_metrics else x, F.array(F.lit(0.25), F.lit(0.75)), 10000).alias(f"__q_{m}"))
+    return df.groupBy(*by).agg(*aggs)
 
 
 def iqr_bounds_wide(df: DataFrame, metrics=METRICS, k: dict | float = C.IQR_K, by=(), log_metrics=(),
@@ -30,13 +76,7 @@ def iqr_bounds_wide(df: DataFrame, metrics=METRICS, k: dict | float = C.IQR_K, b
     """One row per group with ``lower_<m>``/``upper_<m>`` Tukey bounds;
     metrics in ``log_metrics`` get quartiles in log space, bounds mapped back."""
     ks = k if isinstance(k, dict) else {m: k for m in metrics}
-    aggs = []
-    for m in metrics:
-        x = F.col(m).cast("double")
-        if m in log_metrics:
-            x = F.when(x > 0, F.ln(x))
-        aggs.append(_quartiles(x, exact).alias(f"__q_{m}"))
-    q = df.groupBy(*by).agg(*aggs)
+    q = _quartiles(df, metrics, by, log_metrics, exact)
     cols = []
     for m in metrics:
         q1, q3 = F.col(f"__q_{m}")[0], F.col(f"__q_{m}")[1]
@@ -64,7 +104,8 @@ def outlier_flags(df: DataFrame, metrics=METRICS, k=C.IQR_K, by=(), log_metrics=
     group keys (one row per group)."""
     w = iqr_bounds_wide(df, metrics, k, by, log_metrics, exact)
     if by:
-        j = df.join(w, list(by), "left")
+        w = w.withColumnsRenamed({c: f"__{c}" for c in by})
+        j = df.join(w, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], "left")
         bound = lambda c: F.col(c)
     else:
         j = df

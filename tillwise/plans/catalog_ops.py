@@ -254,7 +254,28 @@ def _rules_values_sql() -> str:
     return "rules(kind, key, rule_no, to_id, to_name) AS (VALUES " + ", ".join(rows) + ")"
 
 
-@register("standardize_products", q(_NAMES_SQL + ",\n" + _rules_values_sql() + """,
+_KNOWN = sorted({(i, n) for ids, names, _, _ in C.STANDARDIZATION_RULES for i in ids for n in names})
+
+
+def _known_sql() -> str:
+    """Parts renamed: by number, every third takes a rule's id, every third (with one over) a rule's name."""
+    esc = lambda v: v.replace("'", "''")
+    ids, names = "[" + ", ".join(f"'{esc(i)}'" for i, _ in _KNOWN) + "]", "[" + ", ".join(f"'{esc(n)}'" for _, n in _KNOWN) + "]"
+    at = f"CAST(p_partkey % {len(_KNOWN)} + 1 AS INTEGER)"
+    return f"""
+nv AS (SELECT CASE WHEN p_partkey % 3 = 0 THEN ({ids})[{at}] ELSE CAST(p_partkey AS VARCHAR) END AS product_id,
+              CASE WHEN p_partkey % 3 = 1 THEN lower(({names})[{at}]) || ' ' ELSE upper(trim(p_name)) END AS product_name FROM part)"""
+
+
+def _known_variants(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    at = (F.col("p_partkey") % len(_KNOWN)).cast("int")
+    return p.select(
+        F.when(F.col("p_partkey") % 3 == 0, F.get(F.array(*[F.lit(i) for i, _ in _KNOWN]), at)).otherwise(F.col("p_partkey").cast("string")).alias("product_id"),
+        F.when(F.col("p_partkey") % 3 == 1, F.concat(F.lower(F.get(F.array(*[F.lit(n) for _, n in _KNOWN]), at)), F.lit(" "))).otherwise(F.upper(F.trim("p_name"))).alias("product_name"))
+
+
+@register("standardize_products", q(_known_sql() + ",\n" + _rules_values_sql() + """,
 m AS (
   SELECT nv.product_id, nv.product_name, ri.rule_no AS rid, ri.to_id AS tid, ri.to_name AS tnm,
          rn.rule_no AS rnm, rn.to_id AS nid, rn.to_name AS nnm
@@ -265,7 +286,7 @@ SELECT CASE WHEN rid IS NOT NULL AND (rnm IS NULL OR rid <= rnm) THEN tid WHEN r
        CASE WHEN rid IS NOT NULL AND (rnm IS NULL OR rid <= rnm) THEN tnm WHEN rnm IS NOT NULL THEN nnm ELSE product_name END AS product_name
 FROM m"""))
 def standardize_products(spark, sf_dir):
-    return CL.standardize_products(_name_variants(spark, sf_dir).distinct()).select("product_id", "product_name")
+    return CL.standardize_products(_known_variants(spark, sf_dir)).select("product_id", "product_name")
 
 
 @register("canonical_product_id", q("", "SELECT nk AS name_key, canon_id FROM canon"))
@@ -400,13 +421,13 @@ def _fact_metrics(spark, sf_dir):
         "receipt_no", "product_id", "category", *[F.col(m).cast("double").alias(m) for m in _QM])
 
 
-def _bounds_sql(by: str = "", log_price: bool = False) -> str:
+def _bounds_sql(by: str = "", log_price: bool = False, k: float = 1.5) -> str:
     sel = []
     for m in _QM:
         x = f"ln({m})" if (log_price and m == "price") else m
         q1 = f"quantile_cont(CAST({x} AS DOUBLE), 0.25)"
         q3 = f"quantile_cont(CAST({x} AS DOUBLE), 0.75)"
-        lo, hi = f"{q1} - 1.5 * ({q3} - {q1})", f"{q3} + 1.5 * ({q3} - {q1})"
+        lo, hi = f"{q1} - {k} * ({q3} - {q1})", f"{q3} + {k} * ({q3} - {q1})"
         if log_price and m == "price":
             lo, hi = f"exp({lo})", f"exp({hi})"
         sel += [f"round({lo}, 6) AS lower_{m}", f"round({hi}, 6) AS upper_{m}"]
@@ -439,20 +460,24 @@ def outlier_flags_log(spark, sf_dir):
     return QL.outlier_flags(_fact_metrics(spark, sf_dir), _QM, log_metrics=("price",))
 
 
-@register("outlier_rows_removed", q(_bounds_sql(), f"SELECT * FROM ({_flags_sql()}) WHERE n_flags >= 2"))
+#: At the default 1.5 nothing in the synthetic data is an outlier; a narrower fence flags both tails.
+_NARROW = 0.4
+
+
+@register("outlier_rows_removed", q(_bounds_sql(k=_NARROW), f"SELECT * FROM ({_flags_sql()}) WHERE n_flags >= 2"))
 def outlier_rows_removed(spark, sf_dir):
-    _, removed = QL.outlier_rows_removed(QL.outlier_flags(_fact_metrics(spark, sf_dir), _QM))
+    _, removed = QL.outlier_rows_removed(QL.outlier_flags(_fact_metrics(spark, sf_dir), _QM, k=_NARROW))
     return removed
 
 
-@register("outlier_value_log", q(_bounds_sql() + ",\nlg AS (" + " UNION ALL ".join(
+@register("outlier_value_log", q(_bounds_sql(k=_NARROW) + ",\nlg AS (" + " UNION ALL ".join(
     f"SELECT fm.receipt_no, fm.product_id, '{m}' AS col, fm.{m} AS value, bd.lower_{m} AS lower, bd.upper_{m} AS upper FROM fm, bd"
     for m in _QM) + ")", """
-SELECT receipt_no, product_id, col AS "column", value, 'iqr' AS method, 1.5 AS k, lower, upper,
+SELECT receipt_no, product_id, col AS "column", value, 'iqr' AS method, CAST(0.4 AS DOUBLE) AS k, lower, upper,
        round(CASE WHEN value < lower THEN value - lower ELSE value - upper END, 6) AS deviation
 FROM lg WHERE value < lower OR value > upper"""))
 def outlier_value_log(spark, sf_dir):
-    return QL.outlier_value_log(_fact_metrics(spark, sf_dir), ["receipt_no", "product_id"], _QM)
+    return QL.outlier_value_log(_fact_metrics(spark, sf_dir), ["receipt_no", "product_id"], _QM, k=_NARROW)
 
 
 @register("coercion_report", q("", """
@@ -504,7 +529,7 @@ SELECT product_id, product_name, CAST(price AS DOUBLE) AS price,
        CAST(round(CAST(price AS DECIMAL(10,2)) * CAST(0.60 AS DECIMAL(3,2)), 2) AS DOUBLE) AS product_cost,
        dt AS last_transaction_datetime, CAST(rv AS INTEGER) AS record_version, rv = mx AS is_current,
        {parent_sku_sql('product_name')} AS parent_sku, {category_sql('product_name', 'product_id')} AS category
-FROM h WHERE product_id IN (SELECT product_id FROM combined WHERE date >= DATE '{_CUT}')""")
+FROM h WHERE product_id IN (SELECT product_id FROM combined WHERE date >= DATE '{_CUT}' AND qty >= 50 AND line_total > 85000)""")
 
 
 @register("history_lookup", _history_lookup_sql())
@@ -512,7 +537,8 @@ def history_lookup_q(spark, sf_dir):
     from ..operators.dimensions import history_lookup
     w = wh(spark, sf_dir)
     _, new = _split(spark, sf_dir)
-    return history_lookup(w.history, new.select("product_id")).withColumn("price", F.col("price").cast("double")) \
+    large = new.filter("qty >= 50 and line_total > 85000")
+    return history_lookup(w.history, large.select("product_id")).withColumn("price", F.col("price").cast("double")) \
         .withColumn("product_cost", F.col("product_cost").cast("double"))
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import (
-    canonical_product_id,
+    apply_canonical_ids,
+    canonical_product_ids,
     exclude_latest_month,
     fact_projection,
     normalize_names,
@@ -38,7 +39,7 @@ from ..sources.pos import line_report, receipt_report
 _OPENED: dict[tuple, "Warehouse"] = {}
 
 #: Tables the ETL stage writes (name -> partition columns).
-STORED = {"lines_distinct": ("month",), "current": (), "history": (), "baskets": ()}
+STORED = {"canonical": (), "lines_distinct": ("month",), "current": (), "history": (), "baskets": ()}
 
 
 class Warehouse:
@@ -68,7 +69,8 @@ class Warehouse:
             df = getattr(step, name)
             parts = STORED[name]
             if parts:
-                df = df.withColumn("month", F.trunc("date", "MM"))
+                # rows of a month meet before the write, large months split: few files, none too large
+                df = df.withColumn("month", F.trunc("date", "MM")).hint("rebalance", F.col("month"))
             writer = df.write.mode("overwrite")
             if parts:
                 writer = writer.partitionBy(*parts)
@@ -81,15 +83,24 @@ class Warehouse:
         return bool(self.root) and name in STORED and name not in self._pending
 
     def _stored(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        return df.drop("month") if STORED[name] else df
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
     # -- tables -------------------------------------------------------------------
     @cached_property
     def lines(self) -> DataFrame:
         """Line report after standardisation (C11), canonical ids (C12), names."""
-        raw = line_report(self.spark, self.sf_dir)
-        return normalize_names(canonical_product_id(standardize_products(raw)))
+        return normalize_names(apply_canonical_ids(self.standardized, self.canonical))
+
+    @cached_property
+    def standardized(self) -> DataFrame:
+        return standardize_products(line_report(self.spark, self.sf_dir))
+
+    @cached_property
+    def canonical(self) -> DataFrame:
+        """First-seen id of each name (C12): catalogue-sized, stored before the lines are read again."""
+        if self._has("canonical"):
+            return self._stored("canonical")
+        return canonical_product_ids(self.standardized)
 
     @cached_property
     def header(self) -> DataFrame:
@@ -108,7 +119,7 @@ class Warehouse:
         ``seq_last`` keep the first / last ingest position of each duplicate group.
         The one large table of the warehouse (written partitioned by month)."""
         if self._has("lines_distinct"):
-            return self._stored("lines_distinct")
+            return self._stored("lines_distinct").drop("month")
         return distinct_rows(self.combined, "seq", "seq_last")
 
     @cached_property
@@ -118,8 +129,13 @@ class Warehouse:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """Analytic fact: distinct lines without the latest month (C14)."""
-        return exclude_latest_month(self.distinct_lines)
+        """Analytic fact: distinct lines without the latest month (C14); of the stored
+        table the month is a partition value, so its files are not opened."""
+        if not self._has("lines_distinct"):
+            return exclude_latest_month(self.distinct_lines)
+        lines = self._stored("lines_distinct")
+        latest = lines.select(F.max("month")).scalar()
+        return fact_projection(lines.filter(~F.col("month").eqNullSafe(latest)).drop("month", "seq_last"))
 
     @cached_property
     def current(self) -> DataFrame:

@@ -1,23 +1,23 @@
 """Operator 1, SimHash near-dedup by Golay-code fuzzy hashing.
 
-Fingerprints are 64 bits.  A fingerprint is cut into segments of 21, 21 and
-22 bits, each read as a word of the perfect binary Golay code (23 bits, short
-segments padded with zeros).  The key of a segment is the 12-bit index of a
-code word: its *own* one (the one within 3 bits) or all its *near* ones (all
-within 4 bits: one, or six where the own one is 3 bits away).  Two words that
-differ in two bits or fewer share a near index; if they differ in one bit or
-none, the own index of either is near the other.  Of at most four errors in
-three segments, the two segments with fewest hold (0 and at most 2) or
-(1 and 1), so every link has one of these keys in common:
-
-* segment i exact, a near index of segment j (six ordered pairs);
-* the own index of i with a near index of j, or a near of i with the own of j.
-
-Buckets hold distinct fingerprints.  In each, every member is compared with
-four hubs (two least and two greatest by value), the links found are joined
-into components, and only members of buckets that still hold two components
-are compared with each other.  So a dense group costs a star for each bucket,
-not all its pairs, and no link is lost.
+Fingerprints are 64 bits, cut into four segments of 16, each read as a word of
+the perfect binary Golay code (23 bits, padded with zeros).  The key of a segment
+is the 12-bit index of a code word: its *own* one (within 3 bits) or all its
+*near* ones (within 4 bits: one, or six where the own one is 3 bits away).  If
+two words differ in one bit or none, the own index of either is near the other.
+At most four errors in four segments leave, in rising order, (0, 0), (0, 1, 1) or
+(1, 1, 1, 1), so every link has one of these keys in common:
+
+* two segments exact (six pairs);
+* one segment exact and two by index, the own of one with a near of the other;
+* the first three by index: two own ones with a near one, or the reverse.
+
+That is some 160 keys of 32 to 40 bits for a fingerprint.  Buckets hold distinct
+fingerprints.  A bucket of two is one comparison; in a larger one every member
+is compared with two hubs (the least and the greatest), the links found are
+joined into components, and only members of buckets that still hold two
+components are compared with each other.  So a dense group costs a star for
+each bucket, not all its pairs, and no link is lost.
 
 Defined cases: null and empty text and text without words has fingerprint 0
 and links like any other; a text of fewer words than a shingle is one shingle;
@@ -27,7 +27,7 @@ and ties share a component; other columns are not read.
 
 from __future__ import annotations
 
-from itertools import combinations, permutations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,10 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 
-#: (shift, width) of the segments.
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
+#: First bits of the segments.
+SEGMENTS = (0, 16, 32, 48)
 #: Generator polynomial of the Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
-#: Values by which fingerprints are flipped before their order picks hubs.
-HUB_FLIPS = (0, 0x5A5AA5A53C3CC3C3)
 
 _LOWER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 
@@ -94,13 +92,13 @@ def _remainder(words: np.ndarray) -> np.ndarray:
 
 def _error_patterns() -> tuple[np.ndarray, np.ndarray]:
     """By syndrome: error patterns of 4 bits or fewer (own one first, -1: none) and how many there are."""
-    table, count = np.full((2048, 6), -1, np.int64), np.zeros(2048, np.int64)
+    table, found = np.full((2048, 6), -1, np.int64), np.zeros(2048, np.int64)
     for weight in range(5):
         errors = np.array([sum(1 << b for b in bits) for bits in combinations(range(23), weight)], np.int64)
         for e, s in zip(errors.tolist(), _remainder(errors).tolist()):
-            table[s, count[s]] = e
-            count[s] += 1
-    return table, count
+            table[s, found[s]] = e
+            found[s] += 1
+    return table, found
 
 
 _PATTERNS, _COUNTS = _error_patterns()
@@ -115,21 +113,30 @@ def near_indices(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row number, key): the distinct keys of each fingerprint."""
-    parts = [(prints.astype(np.uint64) >> np.uint64(at)).astype(np.int64) & (1 << width) - 1 for at, width in SEGMENTS]
+    parts = [(prints.astype(np.uint64) >> np.uint64(at)).astype(np.int64) & 0xFFFF for at in SEGMENTS]
     near = [near_indices(p)[0] for p in parts]
-    rows, keys = [], []
+    own = [n[:, :1] for n in near]
+    tags, rows, keys = count(), [], []
 
     def add(tag: int, values: np.ndarray, there: np.ndarray) -> None:
         row, col = np.nonzero(there)
         rows.append(row)
         keys.append(values[row, col] | tag << 48)
 
-    for tag, (i, j) in enumerate(permutations(range(3), 2)):
-        add(tag, parts[i][:, None] << 12 | near[j], near[j] >= 0)
-    for tag, (i, j) in enumerate(combinations(range(3), 2), start=6):
-        add(tag, near[i][:, :1] << 12 | near[j], near[j] >= 0)
-        rest = near[i][:, 1:]
-        add(tag, rest << 12 | near[j][:, :1], rest >= 0)
+    every = np.ones((len(prints), 1), bool)
+    for i, j in combinations(range(4), 2):
+        add(next(tags), (parts[i] << 16 | parts[j])[:, None], every)
+    for i in range(4):
+        for j, k in combinations([x for x in range(4) if x != i], 2):
+            tag, exact = next(tags), parts[i][:, None] << 24
+            add(tag, exact | own[j] << 12 | near[k], near[k] >= 0)
+            add(tag, exact | near[j][:, 1:] << 12 | own[k], near[j][:, 1:] >= 0)
+    tag = next(tags)
+    add(tag, own[0] << 24 | own[1] << 12 | near[2], near[2] >= 0)
+    both = (near[0][:, :, None] << 12 | near[1][:, None, :]).reshape(len(prints), -1)
+    there = ((near[0] >= 0)[:, :, None] & (near[1] >= 0)[:, None, :]).reshape(len(prints), -1)
+    there[:, 0] = False
+    add(tag, both << 12 | own[2], there)
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -154,15 +161,18 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits > 4:
         raise ValueError("the keys find links of up to 4 bits")
     keys = _with_keys(prints)
-    least = [F.min(F.col("fp").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in HUB_FLIPS]
-    most = [F.max(F.col("fp").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in HUB_FLIPS]
-    hubs = keys.groupBy("key").agg(F.array_distinct(F.array(*least, *most)).alias("hubs"), F.count("*").alias("n")).where("n > 1")
-    members = written(keys.join(hubs, "key"), "simhash-buckets")
-    spokes = members.select("fp", F.explode("hubs").alias("hub")).where((F.col("fp") != F.col("hub")) & (_bits(F.col("fp"), F.col("hub")) <= max_bits))
-    first = components(spokes.select(F.col("fp").alias("u"), F.col("hub").alias("v")))
-    first = written(first, "simhash-roots")
-    # what the hubs did not settle: members that are no hubs, in buckets that still hold two components
-    open_ = members.where("n > size(hubs) + 1 and not array_contains(hubs, fp)").select("key", "fp")
+    hubs = written(keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).where("n > 1"), "simhash-hubs")
+    large = F.col("n") > 2
+    members = written(keys.join(hubs.where(large), "key").where("fp <> low and fp <> high"), "simhash-buckets")
+    linked = lambda a, b: _bits(F.col(a), F.col(b)) <= max_bits
+    spokes = (
+        hubs.where(linked("low", "high")).select(F.col("high").alias("u"), F.col("low").alias("v"))
+        .unionByName(members.where(linked("fp", "low")).select(F.col("fp").alias("u"), F.col("low").alias("v")))
+        .unionByName(members.where(linked("fp", "high")).select(F.col("high").alias("u"), F.col("fp").alias("v")))
+    )
+    first = written(components(spokes), "simhash-roots")
+    # what the hubs did not settle: the other members of buckets that still hold two components
+    open_ = members.where("n > 3").select("key", "fp")
     open_ = open_.join(first, open_["fp"] == first["node"], "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
     mixed = open_.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     left = written(open_.join(mixed, "key"), "simhash-open")

@@ -26,6 +26,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.6
 MAX_TOKENS = 3
+#: Keys over which the pages of one token set are dealt for the last join.
+SALTS = 64
 _BLOCK = "label=block"
 
 
@@ -50,8 +52,8 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """Distinct tokens: scheme, host labels, path parts, names in the query, whether there is a fragment; digits as one #."""
-    tidy = F.regexp_replace(ascii_lower(F.coalesce(url, F.lit(""))), "[0-9]+", "#")
+    """Distinct tokens: scheme, host labels, path parts, names in the query, whether there is a fragment; digits as one 0."""
+    tidy = F.regexp_replace(ascii_lower(F.coalesce(url, F.lit(""))), "[0-9]+", "0")
     tagged = lambda tag, text, at: F.transform(F.filter(F.split(text, at), lambda x: x != ""), lambda x: F.concat(F.lit(tag), x))
     host = F.regexp_extract(tidy, r"(?s)^.*?://([^/?#]*)", 1)
     path = F.regexp_extract(tidy, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
@@ -60,7 +62,7 @@ def tokens_of(url: Column) -> Column:
     return F.when(~tidy.contains("://"), F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(
         tagged("host:", host, "\\."), tagged("path:", path, "[/.]"),
         F.transform(F.filter(names, lambda x: x != ""), lambda x: F.concat(F.lit("query:"), x)),
-        F.when(F.regexp_extract(tidy, r"(?s)^.*?://[^#]*#([^#]+)$", 1) != "", F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))))
+        F.when(F.regexp_extract(tidy, r"(?s)^.*?://[^#]*#(.+)$", 1) != "", F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))))
 
 
 def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
@@ -85,7 +87,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, **mining) -> DataFra
         sets.select("tokens", F.explode("tokens").alias("anchor")).join(mined, "anchor")
         .where(F.size(F.array_except("rule", "tokens")) == 0).select("tokens").distinct().withColumn("mined", F.lit("block"))
     )
+    # pages of one token set may be a third of all: they are dealt over SALTS keys
+    known = known.withColumn("salt", F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(SALTS)).cast("int"))
+    hit = hit.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rule = fixed_rule(F.col("host"), F.col("path"), rules)
     verdicts = F.create_map(*[F.lit(x) for h, p, v in rules for x in (h + p, v)])
-    return known.join(hit, "tokens", "left").withColumn("rule", rule).select(
+    return known.join(hit, ["tokens", "salt"], "left").withColumn("rule", rule).select(
         "page_id", "host", "path", "rule", F.coalesce(F.try_element_at(verdicts, F.col("rule")), "mined", F.lit("allow")).alias("verdict"))

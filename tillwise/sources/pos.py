@@ -22,8 +22,19 @@ MONEY = "decimal(12,2)"
 PRICE = "decimal(10,2)"
 
 
-def seq_struct(*cols) -> F.Column:
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
+#: Digits of line number, part key and price in cents inside the ordinal; the order key has the other 15.
+_SEQ_DIGITS = (2, 11, 10)
+
+
+def ingest_ordinal(order: str, line: str, part: str, price: str) -> F.Column:
+    """(order, line, part, price) as one fixed-width number in the same order, so that
+    its minimum and maximum are hash aggregates."""
+    out = F.col(order).cast("decimal(15,0)").cast("decimal(38,0)")
+    values = (F.col(line), F.col(part), F.round(F.col(price).cast("decimal(12,2)") * 100))
+    for digits, value in zip(_SEQ_DIGITS, values):
+        out = (out * F.lit(10 ** digits).cast("decimal(12,0)")).cast("decimal(38,0)") + value.cast("decimal(12,0)")
+        out = out.cast("decimal(38,0)")
+    return out
 
 
 def receipt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,5 +66,5 @@ def line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast(PRICE).alias("price"),
         line_total.alias("line_total"),
         F.round(line_total * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2).cast(MONEY).alias("net_total"),
-        seq_struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
+        ingest_ordinal("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),
     )

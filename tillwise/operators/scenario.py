@@ -101,6 +101,11 @@ def series_lengths(long: DataFrame) -> DataFrame:
     return n.groupBy(F.col("key").alias("bundle_id")).agg(F.max("n").alias("n_periods"))
 
 
+def _cents(amount) -> F.Column:
+    """An amount in cents, half up on its decimal value (a double's own half cents are not exact)."""
+    return F.round(F.col(amount).cast("decimal(20,6)"), 2).cast("double")
+
+
 def revenue_impact(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     """V4: revenue before (A+B at list) and after (A', B' at list + bundle at the
     new price) over the horizon, absolute and % impact."""
@@ -114,7 +119,7 @@ def revenue_impact(forecast: DataFrame, sc: DataFrame) -> DataFrame:
                                                  F.first("new_price").alias("new_price"))
     impact = F.col("revenue_after") - F.col("revenue_before")
     return agg.select(
-        "bundle_id", "category", F.round("new_price", 2).alias("new_price"),
+        "bundle_id", "category", _cents("new_price").alias("new_price"),
         F.round("revenue_before", 2).alias("revenue_before"), F.round("revenue_after", 2).alias("revenue_after"),
         F.round(impact, 2).alias("impact_abs"),
         F.round(F.when(F.col("revenue_before") != 0, impact / F.col("revenue_before") * 100), 4).alias("impact_pct"),
@@ -172,7 +177,7 @@ def bundle_summary(forecast: DataFrame, sc: DataFrame, long: DataFrame, discount
     impact = F.col("after") - F.col("before")
     return g.select(
         "bundle_id", "category", F.col("antecedents_names").alias("product_a"), F.col("consequents_names").alias("product_b"),
-        F.round("current_price", 2).alias("current_price"), F.round("new_price", 2).alias("bundle_price"),
+        _cents("current_price").alias("current_price"), _cents("new_price").alias("bundle_price"),
         F.round("before", 2).alias("revenue_before"), F.round("after", 2).alias("revenue_after"), F.round(impact, 2).alias("impact_abs"),
         F.round(F.when(F.col("before") != 0, impact / F.col("before") * 100), 4).alias("impact_pct"),
         signed_units(impact, F.col("new_price")).alias("bundle_units_equivalent"),

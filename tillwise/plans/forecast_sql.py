@@ -92,7 +92,7 @@ SELECT period, key, CAST(any_value(scen.bundle_row) AS INTEGER), any_value(scen.
        NULL, NULL, NULL, NULL, NULL, NULL FROM long JOIN scen ON scen.bundle_id = long.key WHERE key NOT IN (SELECT key FROM bad) GROUP BY key, period"""),
     "revenue_impact": rq(_FC + """,
 rv AS (SELECT bundle_id, category, new_price, sum(a_fc * price_a + c_fc * price_b) AS before, sum(a_after * price_a + c_after * price_b + b_adj * new_price) AS after FROM fz GROUP BY ALL)""", """
-SELECT bundle_id, category, round(new_price, 2) AS new_price, round(before, 2) AS revenue_before, round(after, 2) AS revenue_after, round(after - before, 2) AS impact_abs,
+SELECT bundle_id, category, CAST(round(CAST(new_price AS DECIMAL(20,6)), 2) AS DOUBLE) AS new_price, round(before, 2) AS revenue_before, round(after, 2) AS revenue_after, round(after - before, 2) AS impact_abs,
        round(CASE WHEN before <> 0 THEN (after - before) / before * 100 END, 4) AS impact_pct FROM rv"""),
     "break_even_by_period": rq(_FC + """,
 df AS (SELECT bundle_id, date, new_price, (a_after * price_a + c_after * price_b + b_adj * new_price) - (a_fc * price_a + c_fc * price_b) AS diff FROM fz),
@@ -100,7 +100,7 @@ dt AS (SELECT *, sum(diff) OVER (PARTITION BY bundle_id) < 0 AS neg, CASE WHEN d
 SELECT bundle_id, date AS period, CASE WHEN neg THEN 'break_even' ELSE 'surplus' END AS mode, round(CASE WHEN neg THEN gap ELSE sur END, 2) AS revenue_amount,
        CAST(CASE WHEN new_price <= 0 THEN NULL WHEN neg THEN ceil(gap / new_price) ELSE floor(sur / new_price) END AS BIGINT) AS bundle_units FROM dt"""),
     "bundle_summary": rq(_FC + "," + _SUMMARY, f"""
-SELECT bundle_id, category, product_a, product_b, round(current_price, 2) AS current_price, round(price2, 2) AS bundle_price, round(before, 2) AS revenue_before, round(after, 2) AS revenue_after,
+SELECT bundle_id, category, product_a, product_b, CAST(round(CAST(current_price AS DECIMAL(20,6)), 2) AS DOUBLE) AS current_price, CAST(round(CAST(price2 AS DECIMAL(20,6)), 2) AS DOUBLE) AS bundle_price, round(before, 2) AS revenue_before, round(after, 2) AS revenue_after,
        round(after - before, 2) AS impact_abs, round(CASE WHEN before <> 0 THEN (after - before) / before * 100 END, 4) AS impact_pct,
        CAST(CASE WHEN price2 <= 0 THEN 0 WHEN after - before >= 0 THEN floor((after - before) / price2) ELSE -ceil(-(after - before) / price2) END AS BIGINT) AS bundle_units_equivalent,
        (SELECT max(n) FROM ser WHERE ser.key = sg.bundle_id) AS n_periods, {C.HORIZON} AS horizon FROM sg"""),

@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.llm.common import blocks, id_text, mixed, ngram_hashes, powers, span_hashes, words_of, written
 
@@ -47,6 +48,8 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Seeds of the hash functions, two for each band.
 BANDS = ((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47),)
+#: Bits of the map of texts worth shuffling (8 MB), a power of two.
+MAP_BITS = 26
 WINDOW = MIN_WORDS - SHINGLE_WORDS + 1
 _ODD = 0xC6BC279692B5C323
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -221,6 +224,22 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("tid", "at", "spot", "near", "hub", "hub_at", "hub_spot", "hub_near", F.least("own", "hub_own")).mapInArrow(run, "tid bigint, at int, class_id bigint")
 
 
+def _among(ids: DataFrame):
+    """A test on a tid column that holds for every tid in `ids`, and for few others while they fill
+    little of a bitmap of fixed size: it only spares shuffling texts that no join will want."""
+    place = F.col("tid").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    found = ids.select(place.alias("p")).groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas()
+    bitmap = np.zeros(1 << MAP_BITS - 6, np.int64)  # at most so many rows, whatever the input
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    held = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf(T.BooleanType())
+    def test(tids: pa.Array) -> pa.Array:
+        at = tids.to_numpy(zero_copy_only=False) & (1 << MAP_BITS) - 1
+        return pa.array((held.value[at >> 6] >> (at & 63) & 1).astype(bool))
+    return test(F.col("tid"))
+
+
 def _shared_by(rows: DataFrame, *more) -> DataFrame:
     return rows.groupBy("key").agg(F.min("tid").alias("hub"), F.max("tid").alias("far"), *more).where("hub < far")
 
@@ -245,7 +264,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     by_text = shared.groupBy("tid").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
     # one row of each text: it travels by its document's id, so copies of a text do not meet
     by_doc = written(by_text.join(classes.select("tid", "own"), "tid").select(F.col("tid").alias("held"), "own", "runs"), "passages-runs")
-    texts = read.join(by_doc, read["doc_id"].eqNullSafe(by_doc["own"]) & (read["tid"] == by_doc["held"])).select("tid", "own", "text", "runs")
+    wanted = read.where(_among(by_doc.select(F.col("held").alias("tid"))))
+    texts = wanted.join(by_doc, wanted["doc_id"].eqNullSafe(by_doc["own"]) & (wanted["tid"] == by_doc["held"])).select("tid", "own", "text", "runs")
     rows = written(_windows(texts), "passages-windows")
     windows, members = rows.where("tier = 0").select("key", "tid", "own", "at"), rows.where("tier = 1").drop("tier")
     exact = windows.select("key", "tid", "at").join(_shared_by(windows, F.min("own").alias("class_id")).select("key", "class_id"), "key").select("tid", "at", "class_id")

@@ -48,6 +48,9 @@ SEGMENTS = (0, 16, 32, 48)
 #: Generator polynomial of the Golay code: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
 
+#: Fingerprints whose keys are made at once.
+KEY_ROWS = 1024
+
 _LOWER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 
 
@@ -143,8 +146,9 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _with_keys(prints: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
-            if len(fp):
+            whole = batch.column(0).to_numpy(zero_copy_only=False)
+            for at in range(0, len(whole), KEY_ROWS):
+                fp = whole[at: at + KEY_ROWS]
                 row, key = keys_of(fp.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row])], ["key", "fp"])
     return prints.select("fp").mapInArrow(run, "key bigint, fp bigint")
@@ -160,7 +164,8 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, root) for distinct non-null fingerprints; root is the least (signed) fingerprint reachable."""
     if max_bits > 4:
         raise ValueError("the keys find links of up to 4 bits")
-    keys = _with_keys(prints)
+    # a print makes some 160 rows: the few megabytes of prints are spread over all tasks first
+    keys = _with_keys(prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     hubs = written(keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).where("n > 1"), "simhash-hubs")
     large = F.col("n") > 2
     members = written(keys.join(hubs.where(large), "key").where("fp <> low and fp <> high"), "simhash-buckets")

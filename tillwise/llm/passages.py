@@ -158,12 +158,12 @@ def _signatures(texts: DataFrame) -> DataFrame:
 # ---- verification -------------------------------------------------------------------------
 
 def _windows(shared: DataFrame) -> DataFrame:
-    """For (tid, own, text, runs): a row per 50-word passage in the runs (tier 0) and per run (tier 1, with its shingles)."""
+    """For (tid, text, runs): a row per 50-word passage in the runs (tier 0) and per run (tier 1, with its shingles)."""
     def run(batches):
-        names = ["tier", "key", "tid", "own", "at", "spot", "near"]
+        names = ["tier", "key", "tid", "at", "spot", "near"]
         for batch in batches:
-            tids, owns, runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
-            for i, j, data, at in blocks(batch.column(2)):
+            tids, runs = batch.column(0).to_pylist(), batch.column(2)
+            for i, j, data, at in blocks(batch.column(1)):
                 grams, first, last = shingles_of(data, at)
                 sums = np.zeros(len(grams) + 1, np.uint64)
                 np.cumsum(grams * powers(_ODD, len(grams)), out=sums[1:])
@@ -183,11 +183,10 @@ def _windows(shared: DataFrame) -> DataFrame:
                         pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
                         pa.array(np.concatenate([whole.view(np.int64), np.array([x[0] for x in mine], np.int64)])),
                         pa.array(np.full(n + m, tids[k], np.int64)),
-                        pa.array([owns[k]] * (n + m), pa.int64()),
                         pa.array(np.concatenate([s, [x[1] for x in mine]]).astype(np.int32)),
                         pa.array([None] * n + [x[3] for x in mine], pa.int32()),
                         pa.array([None] * n + [short[lo: lo + more + WINDOW].tobytes() for _, lo, more, _ in mine], pa.binary())], names)
-    return shared.mapInArrow(run, "tier int, key bigint, tid bigint, own bigint, at int, spot int, near binary")
+    return shared.mapInArrow(run, "tier int, key bigint, tid bigint, at int, spot int, near binary")
 
 
 def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int = WINDOW, similarity: float = SIMILARITY) -> tuple[int, int] | None:
@@ -209,7 +208,7 @@ def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int =
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """Of members beside a hub, those near to it: a row (tid, at, class_id) for the member's window and one for the hub's."""
+    """Of members beside a hub, those near to it: a row (tid, at, least) for the member's window and one for the hub's."""
     def run(batches):
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
@@ -220,8 +219,8 @@ def _verified(pairs: DataFrame) -> DataFrame:
                     out += [(tid, at + found[0], both), (hub, hub_at + found[1], both)]
             if out:
                 t, s, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(s, pa.int32()), pa.array(c, pa.int64())], ["tid", "at", "class_id"])
-    return pairs.select("tid", "at", "spot", "near", "hub", "hub_at", "hub_spot", "hub_near", F.least("own", "hub_own")).mapInArrow(run, "tid bigint, at int, class_id bigint")
+                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(s, pa.int32()), pa.array(c, pa.int64())], ["tid", "at", "least"])
+    return pairs.select("tid", "at", "spot", "near", "hub", "hub_at", "hub_spot", "hub_near", F.least("tid", "hub")).mapInArrow(run, "tid bigint, at int, least bigint")
 
 
 def _among(ids: DataFrame):
@@ -240,17 +239,17 @@ def _among(ids: DataFrame):
     return test(F.col("tid"))
 
 
-def _shared_by(rows: DataFrame, *more) -> DataFrame:
-    return rows.groupBy("key").agg(F.min("tid").alias("hub"), F.max("tid").alias("far"), *more).where("hub < far")
+def _shared_by(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("key").agg(F.min("tid").alias("hub"), F.max("tid").alias("far")).where("hub < far")
 
 
 def _merged(links: DataFrame) -> DataFrame:
-    """tid, start_word, end_word, class_id: overlapping and adjoining windows of a text as one passage."""
+    """tid, start_word, end_word, least: overlapping and adjoining windows of a text as one passage."""
     by_text = Window.partitionBy("tid").orderBy("at")
-    starts = links.groupBy("tid", "at").agg(F.min("class_id").alias("class_id"))
+    starts = links.groupBy("tid", "at").agg(F.min("least").alias("least"))
     stepped = starts.withColumn("new", F.coalesce((F.col("at") > F.lag("at").over(by_text) + MIN_WORDS).cast("int"), F.lit(0)))
     numbered = stepped.withColumn("number", F.sum("new").over(by_text.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("tid", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("at") + MIN_WORDS).cast("long").alias("end_word"), F.min("class_id").alias("class_id"))
+    return numbered.groupBy("tid", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("at") + MIN_WORDS).cast("long").alias("end_word"), F.min("least").alias("least"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,22 +257,26 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     read = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
     copies = written(read.select("doc_id", "tid", words.alias("n_words")), "passages-copies")
-    classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n"), F.max("n_words").alias("n_words")), "passages-classes")
+    # texts are numbered in the order of their least document ids: small numbers shuffle well, and the least number is the class
+    classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n"), F.max("n_words").alias("n_words"))
+                      .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
     runs = _signatures(read)
     shared = runs.join(_shared_by(runs).select("key"), "key")
     by_text = shared.groupBy("tid").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
     # one row of each text: it travels by its document's id, so copies of a text do not meet
-    by_doc = written(by_text.join(classes.select("tid", "own"), "tid").select(F.col("tid").alias("held"), "own", "runs"), "passages-runs")
+    by_doc = written(by_text.join(classes.select("tid", "own", "number"), "tid").select(F.col("tid").alias("held"), "own", "number", "runs"), "passages-runs")
     wanted = read.where(_among(by_doc.select(F.col("held").alias("tid"))))
-    texts = wanted.join(by_doc, wanted["doc_id"].eqNullSafe(by_doc["own"]) & (wanted["tid"] == by_doc["held"])).select("tid", "own", "text", "runs")
+    texts = wanted.join(by_doc, wanted["doc_id"].eqNullSafe(by_doc["own"]) & (wanted["tid"] == by_doc["held"])).select(F.col("number").alias("tid"), "text", "runs")
     rows = written(_windows(texts), "passages-windows")
-    windows, members = rows.where("tier = 0").select("key", "tid", "own", "at"), rows.where("tier = 1").drop("tier")
-    exact = windows.select("key", "tid", "at").join(_shared_by(windows, F.min("own").alias("class_id")).select("key", "class_id"), "key").select("tid", "at", "class_id")
+    windows, members = rows.where("tier = 0").select("key", "tid", "at"), rows.where("tier = 1").drop("tier")
+    exact = windows.join(_shared_by(windows).select("key", F.col("hub").alias("least")), "key").select("tid", "at", "least")
     hubs = _shared_by(members).select("key", F.explode(F.array("hub", "far")).alias("tid"))
     first = members.groupBy("key", "tid").agg(F.min("at").alias("at")).join(hubs, ["key", "tid"])
-    hubs = members.join(first, ["key", "tid", "at"]).select("key", *[F.col(c).alias(f"hub_{c}") for c in ("own", "at", "spot", "near")], F.col("tid").alias("hub"))
+    hubs = members.join(first, ["key", "tid", "at"]).select("key", *[F.col(c).alias(f"hub_{c}") for c in ("at", "spot", "near")], F.col("tid").alias("hub"))
     near = _verified(members.join(hubs, "key").where("tid <> hub"))
-    merged = written(_merged(exact.unionByName(near)), "passages-merged").select("tid", "start_word", "end_word", "class_id")
+    merged = written(_merged(exact.unionByName(near)), "passages-merged")
+    merged = merged.select(F.col("tid").alias("number"), "start_word", "end_word", "least").join(classes.select("number", "tid"), "number").join(
+        classes.select(F.col("number").alias("least"), F.col("own").alias("class_id")), "least").select("tid", "start_word", "end_word", "class_id")
     whole = classes.where((F.col("n") > 1) & (F.col("n_words") >= MIN_WORDS)).select("tid", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("own").alias("class_id"))
     # a text that has copies is a passage from end to end, beside those it shares with other texts
     found = merged.unionByName(whole).groupBy("tid", "start_word", "end_word").agg(F.min("class_id").alias("class_id"))

@@ -8,20 +8,24 @@ the intervals of a text are disjoint.  An interval join of the intervals of the
 two functions of a band gives signatures: runs of 50-word passages with the same
 two min-hashes.  A signature counts where two different texts have it.
 
-Only the texts with such signatures are read again, and verified in two tiers:
+Runs of a signature with the same shingles around the same min-hash are one
+content: its first text speaks for all.  A signature with one content is settled
+by that; the first texts of the others are read again, and their contents are
+verified in two tiers:
 
-* exact: the hash of every 50-word passage inside a shared run; equal ones are
+* exact: the hash of every 50-word passage inside a run; equal ones are
   repeats.  As passages that are equal have equal signatures, this finds every
   repeat of 50 words or more, whatever surrounds it.
-* near: in each signature's group, members are compared with two hubs (the
-  least and the greatest text); aligned at the shared min-hash, two 50-word
-  passages with a Jaccard similarity of 0.8 or more of their shingles are near
-  duplicates.
+* near: in each signature's group, contents are compared with two hubs (those
+  of the least and the greatest first text); aligned at the shared min-hash,
+  two 50-word passages with a Jaccard similarity of 0.8 or more of their
+  shingles are near duplicates.
 
 A group costs a row or two for each member, never all its pairs; sums are
-combined before shuffles and joins on a hot signature can be split.  Equal
-texts have equal rows and are reduced to one by their 64-bit hash; each copy
-gets its rows in the end.
+combined before shuffles and joins on a hot signature can be split.  A run has
+at most 46 starts, so what is found in one is one passage.  Equal texts have
+equal rows, whose sums do not tell them apart; each copy gets its rows in the
+end.
 
 The result has a row for each passage (overlapping and adjoining repeats are
 merged) of each document: words start to end, exclusive, and class_id, the
@@ -143,50 +147,65 @@ def runs_of(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int =
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _sums(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums and the powers that take a run's place out of their difference."""
+    sums = np.zeros(len(grams) + 1, np.uint64)
+    np.cumsum(grams * powers(_ODD, len(grams)), out=sums[1:])
+    return sums, powers(_INVERSE, len(grams) + 1)
+
+
 def _signatures(texts: DataFrame) -> DataFrame:
-    """A row per run of a text: key, tid, place (first start, then 6 bits each: last start and spot, from the first)."""
+    """A row per run of a text: key, tid, place (first start, then 6 bits each: last start and spot, from the first), content."""
     def run(batches):
         for batch in batches:
             tid = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, data, at in blocks(batch.column(1)):
-                key, text, lo, hi, spot = runs_of(*shingles_of(data, at))
+                grams, first, last = shingles_of(data, at)
+                key, text, lo, hi, spot = runs_of(grams, first, last)
                 place = lo << 12 | hi - lo << 6 | spot - lo
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(tid[i + text]), pa.array(place)], ["key", "tid", "place"])
-    return texts.select("tid", "text").mapInArrow(run, "key bigint, tid bigint, place bigint")
+                sums, back = _sums(grams)
+                head = first[text] + lo
+                content = mixed((sums[head + hi - lo + WINDOW] - sums[head]) * back[head] + (place & 4095).astype(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(tid[i + text]), pa.array(place), pa.array(content.view(np.int64))], ["key", "tid", "place", "content"])
+    return texts.select("tid", "text").mapInArrow(run, "key bigint, tid bigint, place bigint, content bigint")
 
 
 # ---- verification -------------------------------------------------------------------------
 
-def _windows(shared: DataFrame) -> DataFrame:
-    """For (tid, text, runs): a row per 50-word passage in the runs (tier 0) and per run (tier 1, with its shingles)."""
+def _windows(open_: DataFrame) -> DataFrame:
+    """For (tid, text, runs): a row per 50-word passage in the runs (tier 0, its hash as key) and per run (tier 1, with its shingles)."""
     def run(batches):
-        names = ["tier", "key", "tid", "at", "spot", "near"]
+        names = ["tier", "key", "run", "off", "tid", "far", "hub", "spot", "near"]
         for batch in batches:
-            tids, runs = batch.column(0).to_pylist(), batch.column(2)
+            tids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2)
+            ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+            fields = lists.flatten()
+            number, key, place, far = (fields.field(n).to_numpy(zero_copy_only=False) for n in ("run", "key", "place", "far"))
+            hub = fields.field("hub").to_numpy(zero_copy_only=False)
             for i, j, data, at in blocks(batch.column(1)):
-                grams, first, last = shingles_of(data, at)
-                sums = np.zeros(len(grams) + 1, np.uint64)
-                np.cumsum(grams * powers(_ODD, len(grams)), out=sums[1:])
-                back = powers(_INVERSE, len(grams) + 1)
-                for k in range(i, j):
-                    mine = [(x["key"], x["place"] >> 12, x["place"] >> 6 & 63, x["place"] & 63) for x in runs[k].as_py()]
-                    head = int(first[k - i])
-                    inside = np.zeros(int(last[k - i]) - head + 1, np.int64)
-                    for _, lo, more, _ in mine:
-                        inside[lo] += 1
-                        inside[lo + more + 1] -= 1
-                    s = np.flatnonzero(np.cumsum(inside) > 0)
-                    whole = mixed((sums[head + s + WINDOW] - sums[head + s]) * back[head + s])
-                    short = (grams[head: int(last[k - i])] >> np.uint64(32)).astype("<u4")
-                    n, m = len(s), len(mine)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
-                        pa.array(np.concatenate([whole.view(np.int64), np.array([x[0] for x in mine], np.int64)])),
-                        pa.array(np.full(n + m, tids[k], np.int64)),
-                        pa.array(np.concatenate([s, [x[1] for x in mine]]).astype(np.int32)),
-                        pa.array([None] * n + [x[3] for x in mine], pa.int32()),
-                        pa.array([None] * n + [short[lo: lo + more + WINDOW].tobytes() for _, lo, more, _ in mine], pa.binary())], names)
-    return shared.mapInArrow(run, "tier int, key bigint, tid bigint, at int, spot int, near binary")
+                grams, first, _ = shingles_of(data, at)
+                sums, back = _sums(grams)
+                mine = np.arange(ends[i], ends[j])
+                text = np.repeat(np.arange(i, j), np.diff(ends[i: j + 1]))
+                lo, more = first[text - i] + (place[mine] >> 12), place[mine] >> 6 & 63
+                each = np.repeat(np.arange(len(mine)), more + 1)
+                off = np.arange(len(each)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+                s = lo[each] + off
+                whole = mixed((sums[s + WINDOW] - sums[s]) * back[s])
+                short = (grams >> np.uint64(32)).astype("<u4")
+                near = [short[x: x + m + WINDOW].tobytes() for x, m in zip(lo.tolist(), more.tolist())]
+                n, m, rows = len(s), len(mine), np.append(each, np.arange(len(mine)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
+                    pa.array(np.append(whole.view(np.int64), key[mine])),
+                    pa.array(number[mine][rows]),
+                    pa.array(np.append(off, np.zeros(m, np.int64)).astype(np.int32)),
+                    pa.array(tids[text][rows]),
+                    pa.array(far[mine][rows]),
+                    pa.array(hub[mine][rows].astype(bool)),
+                    pa.array([None] * n + (place[mine] & 63).tolist(), pa.int32()),
+                    pa.array([None] * n + near, pa.binary())], names)
+    return open_.mapInArrow(run, "tier int, key bigint, run bigint, off int, tid bigint, far bigint, hub boolean, spot int, near binary")
 
 
 def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int = WINDOW, similarity: float = SIMILARITY) -> tuple[int, int] | None:
@@ -208,19 +227,18 @@ def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int =
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """Of members beside a hub, those near to it: a row (tid, at, least) for the member's window and one for the hub's."""
+    """Of contents beside a hub, those near to it: a row (run, off, least) for the content's window and one for the hub's."""
     def run(batches):
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
             out = []
-            for tid, at, spot, near, hub, hub_at, hub_spot, hub_near, both in zip(*cols):
+            for run_, spot, near, hub, hub_spot, hub_near, least in zip(*[c.to_pylist() for c in batch.columns]):
                 found = similar(np.frombuffer(near, "<u4"), spot, np.frombuffer(hub_near, "<u4"), hub_spot)
                 if found is not None:
-                    out += [(tid, at + found[0], both), (hub, hub_at + found[1], both)]
+                    out += [(run_, found[0], least), (hub, found[1], least)]
             if out:
-                t, s, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(s, pa.int32()), pa.array(c, pa.int64())], ["tid", "at", "least"])
-    return pairs.select("tid", "at", "spot", "near", "hub", "hub_at", "hub_spot", "hub_near", F.least("tid", "hub")).mapInArrow(run, "tid bigint, at int, least bigint")
+                r, o, c = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(o, pa.int32()), pa.array(c, pa.int64())], ["run", "off", "least"])
+    return pairs.select("run", "spot", "near", "hub_run", "hub_spot", "hub_near", F.least("tid", "hub_tid")).mapInArrow(run, "run bigint, off int, least bigint")
 
 
 def _among(ids: DataFrame):
@@ -239,17 +257,41 @@ def _among(ids: DataFrame):
     return test(F.col("tid"))
 
 
-def _shared_by(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key").agg(F.min("tid").alias("hub"), F.max("tid").alias("far")).where("hub < far")
+def _shared_by(rows: DataFrame, far: str = "tid") -> DataFrame:
+    return rows.groupBy("key").agg(F.min("tid").alias("least"), F.max(far).alias("far")).where("least < far")
+
+
+def _contents(members: DataFrame) -> DataFrame:
+    """A row per signature and content: key, content, run (a number), tid and place of its first text, far (its last text),
+    open (the signature has other contents) and hub."""
+    of = members.groupBy("key", "content").agg(F.min(F.struct("tid", "place")).alias("first"), F.max("tid").alias("far")).select("key", "content", "first.*", "far")
+    ends = of.groupBy("key").agg(F.min(F.struct("tid", "content")).alias("low"), F.max(F.struct("tid", "content")).alias("high"))
+    opened = F.col("low.content") != F.col("high.content")
+    hub = F.col("content").isin(F.col("low.content"), F.col("high.content"))
+    return written(of.join(ends, "key").select("key", "content", "tid", "place", "far", opened.alias("open"), hub.alias("hub")).withColumn("run", F.monotonically_increasing_id()), "passages-contents")
+
+
+def _found(contents: DataFrame, rows: DataFrame) -> DataFrame:
+    """run, first, last, least: the repeated starts of each content, counted in its run."""
+    windows, held = rows.where("tier = 0").select("key", "run", "off", "tid", "far"), rows.where("tier = 1").drop("tier", "off")
+    exact = windows.select("key", "run", "off").join(_shared_by(windows, "far").select("key", "least"), "key").select("run", "off", "least")
+    hubs = held.where("hub").select("key", *[F.col(c).alias(f"hub_{c}") for c in ("run", "tid", "far", "spot", "near")])
+    # two hubs are compared once; a pair of one text's own runs is none
+    pairs = held.join(hubs, "key").where((~F.col("hub") & (F.col("run") != F.col("hub_run"))) | (F.col("run") < F.col("hub_run")))
+    near = _verified(pairs.where(F.least("tid", "hub_tid") < F.greatest("far", "hub_far")))
+    whole = contents.where("tid < far").select("run", F.lit(0).alias("first"), F.shiftright("place", 6).bitwiseAND(F.lit(63)).cast("int").alias("last"), F.col("tid").alias("least"))
+    part = exact.unionByName(near).select("run", F.col("off").alias("first"), F.col("off").alias("last"), "least")
+    return whole.unionByName(part).groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("least").alias("least"))
 
 
 def _merged(links: DataFrame) -> DataFrame:
-    """tid, start_word, end_word, least: overlapping and adjoining windows of a text as one passage."""
+    """tid, start_word, end_word, least: overlapping and adjoining passages (first start `at`, last start `last`) as one."""
     by_text = Window.partitionBy("tid").orderBy("at")
-    starts = links.groupBy("tid", "at").agg(F.min("least").alias("least"))
-    stepped = starts.withColumn("new", F.coalesce((F.col("at") > F.lag("at").over(by_text) + MIN_WORDS).cast("int"), F.lit(0)))
+    starts = links.groupBy("tid", "at").agg(F.max("last").alias("last"), F.min("least").alias("least"))
+    so_far = F.max("last").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
+    stepped = starts.withColumn("new", F.coalesce((F.col("at") > so_far + MIN_WORDS).cast("int"), F.lit(0)))
     numbered = stepped.withColumn("number", F.sum("new").over(by_text.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("tid", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("at") + MIN_WORDS).cast("long").alias("end_word"), F.min("least").alias("least"))
+    return numbered.groupBy("tid", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("last") + MIN_WORDS).cast("long").alias("end_word"), F.min("least").alias("least"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,19 +304,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
     runs = _signatures(read)
     shared = runs.join(_shared_by(runs).select("key"), "key")
-    by_text = shared.groupBy("tid").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
+    members = written(shared.join(classes.select("tid", "number"), "tid").select("key", "content", F.col("number").alias("tid"), "place"), "passages-members")
+    contents = _contents(members)
+    by_text = contents.where("open").groupBy("tid").agg(F.collect_list(F.struct("run", "key", "place", "far", "hub")).alias("runs"))
     # one row of each text: it travels by its document's id, so copies of a text do not meet
-    by_doc = written(by_text.join(classes.select("tid", "own", "number"), "tid").select(F.col("tid").alias("held"), "own", "number", "runs"), "passages-runs")
+    by_doc = written(by_text.withColumnRenamed("tid", "number").join(classes.select("number", "own", F.col("tid").alias("held")), "number").select("held", "own", "number", "runs"), "passages-runs")
     wanted = read.where(_among(by_doc.select(F.col("held").alias("tid"))))
     texts = wanted.join(by_doc, wanted["doc_id"].eqNullSafe(by_doc["own"]) & (wanted["tid"] == by_doc["held"])).select(F.col("number").alias("tid"), "text", "runs")
-    rows = written(_windows(texts), "passages-windows")
-    windows, members = rows.where("tier = 0").select("key", "tid", "at"), rows.where("tier = 1").drop("tier")
-    exact = windows.join(_shared_by(windows).select("key", F.col("hub").alias("least")), "key").select("tid", "at", "least")
-    hubs = _shared_by(members).select("key", F.explode(F.array("hub", "far")).alias("tid"))
-    first = members.groupBy("key", "tid").agg(F.min("at").alias("at")).join(hubs, ["key", "tid"])
-    hubs = members.join(first, ["key", "tid", "at"]).select("key", *[F.col(c).alias(f"hub_{c}") for c in ("at", "spot", "near")], F.col("tid").alias("hub"))
-    near = _verified(members.join(hubs, "key").where("tid <> hub"))
-    merged = written(_merged(exact.unionByName(near)), "passages-merged")
+    found = _found(contents, written(_windows(texts), "passages-windows"))
+    found = found.join(contents.select("run", "key", "content"), "run").select("key", "content", "first", "last", "least")
+    at = F.shiftright("place", 12)
+    links = members.join(found, ["key", "content"]).select("tid", (at + F.col("first")).alias("at"), (at + F.col("last")).alias("last"), "least")
+    merged = written(_merged(links), "passages-merged")
     merged = merged.select(F.col("tid").alias("number"), "start_word", "end_word", "least").join(classes.select("number", "tid"), "number").join(
         classes.select(F.col("number").alias("least"), F.col("own").alias("class_id")), "least").select("tid", "start_word", "end_word", "class_id")
     whole = classes.where((F.col("n") > 1) & (F.col("n_words") >= MIN_WORDS)).select("tid", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("own").alias("class_id"))

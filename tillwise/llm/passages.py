@@ -51,7 +51,9 @@ SHINGLE_WORDS = 5
 MIN_WORDS = 50
 SIMILARITY = 0.8
 #: Seeds of the hash functions, two for each band.
-BANDS = ((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47),)
+BANDS = ((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47), (0x6A09E667F3BCC909, 0xD1B54A32D192ED03))
+#: Lowest bits of a signature that tell its band.
+BAND_BITS = 3
 #: Bits of the map of texts worth shuffling (8 MB), a power of two.
 MAP_BITS = 26
 WINDOW = MIN_WORDS - SHINGLE_WORDS + 1
@@ -137,7 +139,7 @@ def runs_of(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int =
         if not len(starts):
             continue
         i, j = np.searchsorted(lo1, starts, "right") - 1, np.searchsorted(lo2, starts, "right") - 1
-        key = mixed(v1[i] * np.uint64(_ODD) + v2[j] + np.uint64(band))
+        key = mixed(v1[i] * np.uint64(_ODD) + v2[j]) & ~np.uint64(BAND_BITS) | np.uint64(band)
         text = np.searchsorted(first, starts, "right") - 1
         head = first[text]
         out.append((key, text, starts - head, np.minimum(hi1[i], hi2[j]) - head, c1[i] - head))
@@ -173,7 +175,7 @@ def _signatures(texts: DataFrame) -> DataFrame:
 # ---- verification -------------------------------------------------------------------------
 
 def _windows(open_: DataFrame) -> DataFrame:
-    """For (tid, text, runs): a row per 50-word passage in the runs (tier 0, its hash as key) and per run (tier 1, with its shingles)."""
+    """For (tid, text, runs): a row per 50-word passage in the first band's runs (tier 0, its hash as key) and per run (tier 1, with its shingles)."""
     def run(batches):
         names = ["tier", "key", "run", "off", "tid", "far", "hub", "spot", "near"]
         for batch in batches:
@@ -188,8 +190,10 @@ def _windows(open_: DataFrame) -> DataFrame:
                 mine = np.arange(ends[i], ends[j])
                 text = np.repeat(np.arange(i, j), np.diff(ends[i: j + 1]))
                 lo, more = first[text - i] + (place[mine] >> 12), place[mine] >> 6 & 63
-                each = np.repeat(np.arange(len(mine)), more + 1)
-                off = np.arange(len(each)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+                # equal passages have equal signatures in every band: the first one's tell all
+                starts = np.where(key[mine] & BAND_BITS == 0, more + 1, 0)
+                each = np.repeat(np.arange(len(mine)), starts)
+                off = np.arange(len(each)) - np.repeat(np.cumsum(starts) - starts, starts)
                 s = lo[each] + off
                 whole = mixed((sums[s + WINDOW] - sums[s]) * back[s])
                 short = (grams >> np.uint64(32)).astype("<u4")

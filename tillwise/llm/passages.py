@@ -307,7 +307,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n"), F.max("n_words").alias("n_words"))
                       .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
     runs = _signatures(read)
-    shared = runs.join(_shared_by(runs).select("key"), "key")
+    # a written table, so that both sides come straight from a shuffle and a hot signature's part can be split
+    keys = written(_shared_by(runs).select("key"), "passages-keys")
+    shared = runs.join(keys.hint("merge"), "key")
     members = written(shared.join(classes.select("tid", "number"), "tid").select("key", "content", F.col("number").alias("tid"), "place"), "passages-members")
     contents = _contents(members)
     by_text = contents.where("open").groupBy("tid").agg(F.collect_list(F.struct("run", "key", "place", "far", "hub")).alias("runs"))

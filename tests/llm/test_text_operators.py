@@ -202,6 +202,46 @@ def test_near_passages(spark):
     assert sum(a in found and b in found for a, b in pairs) >= 0.6 * len(pairs)
 
 
+def common_line(n=30):
+    """Words whose shingles hold the least hashes of the first band among any others near them."""
+    for seed in range(100_000):
+        words = prose(seed, n, 3000)
+        raw = words.encode()
+        grams, _, _ = passages.shingles_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        if all(int((passages.mixed(grams ^ np.uint64(s)) | np.uint64(1)).min()) < (1 << 64) // 2000 for s in passages.BANDS[0]):
+            return words.split()
+    raise AssertionError("no line found")
+
+
+def test_near_passages_in_a_crowded_group(spark):
+    """Many different contents around one line: near ones are found though no hub is near to them, others are not."""
+    line, docs = common_line(), []
+    for i in range(40):
+        words = prose(3000 + i, 15, 5000).split() + line + prose(4000 + i, 15, 5000).split()
+        docs += [(i, " ".join(words)), (1000 - i, " ".join(words[:12] + [f"other{i}"] + words[13:]))]
+    docs += [(5000 + i, " ".join(prose(6000 + i, 15, 5000).split() + line + prose(7000 + i, 15, 5000).split())) for i in range(20)]
+    got = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.class_id)
+    assert got == {d: {min(d, 1000 - d)} for i in range(40) for d in (i, 1000 - i)}
+
+
+def test_near_windows_share_a_place():
+    rng = np.random.default_rng(6)
+    runs = []
+    for i in range(60):
+        a = rng.choice(60 if i % 2 else 4000, 46 + i % 20).astype("<u4")
+        b = a.copy()
+        b[rng.choice(len(b), i % 8, replace=False)] = rng.choice(4000, i % 8)
+        runs += [a, b]
+    counts = Counter(x for r in runs for x in set(r.tolist()))
+    ranked = {x: n for x, n in counts.items() if n > 1}
+    sizes = sorted(set().union(*map(passages.window_sizes, runs)))
+    places = [passages.prefixes(r, ranked, sizes) for r in runs]
+    near = [(i, j) for i in range(len(runs)) for j in range(i) if passages.similar(runs[i], 0, runs[j], 0)]
+    assert len(near) > 40 and len(sizes) > 5 and all(places[i] & places[j] for i, j in near)
+
+
 # ---- secrets ------------------------------------------------------------------------------
 
 def brute_spans(text):

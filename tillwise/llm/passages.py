@@ -16,13 +16,17 @@ verified in two tiers:
 * exact: the hash of every 50-word passage inside a run; equal ones are
   repeats.  As passages that are equal have equal signatures, this finds every
   repeat of 50 words or more, whatever surrounds it.
-* near: in each signature's group, contents are compared with two hubs (those
-  of the least and the greatest first text); aligned at the shared min-hash,
-  two 50-word passages with a Jaccard similarity of 0.8 or more of their
-  shingles are near duplicates.
-
-A group costs a row or two for each member, never all its pairs; sums are
-combined before shuffles and joins on a hot signature can be split.  A run has
+* near: aligned at the shared min-hash, two 50-word passages with a Jaccard
+  similarity of 0.8 or more of their shingles are near duplicates.  In each
+  signature's group, contents are first compared with two hubs (those of the
+  least and the greatest first text).  Where that leaves several components,
+  contents meet again in buckets of their shingles that are rarest in the group:
+  near ones share a bucket without exception.  A bucket gets two hubs too; what
+  these leave unlinked is compared in full.  Linked contents are one class.
+
+A group costs a row or two for each member, and pairs only inside buckets that
+no hub settles; sums are combined before shuffles and joins on a hot signature
+can be split.  A run has
 at most 46 starts, so what is found in one is one passage.  Equal texts have
 equal rows, whose sums do not tell them apart; each copy gets its rows in the
 end.
@@ -39,12 +43,15 @@ are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.llm import graph
 from tillwise.llm.common import blocks, id_text, mixed, ngram_hashes, powers, span_hashes, words_of, written
 
 SHINGLE_WORDS = 5
@@ -231,20 +238,148 @@ def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int =
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """Of contents beside a hub, those near to it: a row (run, off, least) for the content's window and one for the hub's."""
+    """Of pairs of contents, the near ones: a row (run, off, other) for the window of each."""
     def run(batches):
         for batch in batches:
             out = []
-            for run_, spot, near, hub, hub_spot, hub_near, least in zip(*[c.to_pylist() for c in batch.columns]):
+            for run_, spot, near, hub, hub_spot, hub_near in zip(*[c.to_pylist() for c in batch.columns]):
                 found = similar(np.frombuffer(near, "<u4"), spot, np.frombuffer(hub_near, "<u4"), hub_spot)
                 if found is not None:
-                    out += [(run_, found[0], least), (hub, found[1], least)]
+                    out += [(run_, found[0], hub), (hub, found[1], run_)]
             if out:
                 r, o, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(o, pa.int32()), pa.array(c, pa.int64())], ["run", "off", "least"])
-    return pairs.select("run", "spot", "near", "hub_run", "hub_spot", "hub_near", F.least("tid", "hub_tid")).mapInArrow(run, "run bigint, off int, least bigint")
+                yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(o, pa.int32()), pa.array(c, pa.int64())], ["run", "off", "other"])
+    met = pairs.where(F.least("tid", "hub_tid") < F.greatest("far", "hub_far"))  # a pair of one text's own runs is none
+    return met.select("run", "spot", "near", "hub_run", "hub_spot", "hub_near").mapInArrow(run, "run bigint, off int, other bigint")
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    return links.where("run > other").select(F.col("run").alias("u"), F.col("other").alias("v"))
+
+
+# ---- near contents that no hub is near to -------------------------------------------------
+
+def prefix_size(size: int, least: int, similarity: float = SIMILARITY) -> int:
+    """Of two sets of these sizes with this Jaccard similarity, shingles of the first (in any one order) of which the other's first ones hold one."""
+    return size - math.ceil(similarity / (1 + similarity) * (size + least) - 1e-9) + 1
 
 
+def window_sizes(near: np.ndarray, width: int = WINDOW) -> set[int]:
+    """Numbers of different shingles in a run's windows."""
+    if len(set(near.tolist())) == len(near):
+        return {width}
+    return {len(set(near[k: k + width].tolist())) for k in range(len(near) - width + 1)}
+
+
+def prefixes(near: np.ndarray, ranked: dict[int, int], sizes: list[int], width: int = WINDOW) -> set[tuple[int, int]]:
+    """(size, shingle): the places where a run's windows meet every window near to them.
+
+    Shingles come in the order of how many runs of the group hold them (`ranked`; those in no other run are
+    left out in the end).  Near windows of p >= q shingles share one of the first prefix_size(p, q) of the one and
+    prefix_size(q, p) of the other, which prefix_size(q, q) holds: they meet at size q.  `sizes` are those that the group has.
+    """
+    out = set()
+    values = near.tolist()
+    order = {x: (ranked.get(x, 0), x) for x in values}
+    for k in range(len(values) - width + 1):
+        held = sorted(set(values[k: k + width]), key=order.__getitem__)
+        p = len(held)
+        for q in sizes:
+            if SIMILARITY * p <= q + 1e-9 and q <= p:
+                out.update((q, x) for x in held[: prefix_size(p, q)] if x in ranked)
+    return out
+
+
+def _shingles(left: DataFrame) -> DataFrame:
+    """key, run, shingle: the different shingles of each run."""
+    def run(batches):
+        for batch in batches:
+            for key, run_, near in zip(*[c.to_pylist() for c in batch.columns]):
+                held = np.unique(np.frombuffer(near, "<u4")).view(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), key)), pa.array(np.full(len(held), run_)), pa.array(held)], ["key", "run", "shingle"])
+    return left.select("key", "run", "near").mapInArrow(run, "key bigint, run bigint, shingle int")
+
+
+def _sizes(left: DataFrame) -> DataFrame:
+    """key, sizes (at most WINDOW): the numbers of different shingles in the windows of a group's runs."""
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def of(near: pa.Array) -> pa.Array:
+        return pa.array([sorted(window_sizes(np.frombuffer(x, "<u4"))) for x in near.to_pylist()], pa.list_(pa.int32()))
+    return left.select("key", F.explode(of(F.col("near"))).alias("size")).distinct().groupBy("key").agg(F.collect_list("size").alias("sizes"))
+
+
+def _buckets(left: DataFrame) -> DataFrame:
+    """key, size, shingle, run, root: near windows of a group share a bucket."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, run_, root, near, ranked, sizes in zip(*[c.to_pylist() for c in batch.columns]):
+                order = {x["shingle"] & 0xFFFFFFFF: x["n"] for x in ranked}
+                rows += [(key, q, x, run_, root) for q, x in prefixes(np.frombuffer(near, "<u4"), order, sizes)]
+            if rows:
+                names = ["key", "size", "shingle", "run", "root"]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    shingles = _shingles(left)
+    counts = written(shingles.groupBy("key", "shingle").agg(F.count("*").alias("n")).where("n > 1"), "passages-counts")
+    ranked = shingles.join(counts.hint("merge"), ["key", "shingle"]).groupBy("run").agg(F.collect_list(F.struct("n", "shingle")).alias("ranked"))
+    sized = written(_sizes(left), "passages-sizes")
+    return left.join(ranked, "run").join(sized.hint("merge"), "key").select("key", "run", "root", "near", "ranked", "sizes").mapInArrow(
+        run, "key bigint, size int, shingle bigint, run bigint, root bigint")
+
+
+def _late(left: DataFrame) -> DataFrame:
+    """Links (run, off, other) between the components that the hubs left in a group.
+
+    Buckets of shared rare shingles get a star each; in those that still hold
+    two components all contents of different ones are compared.
+    """
+    of = ["key", "size", "shingle"]
+    held = left.select("run", "tid", "far", "spot", "near")
+    hub = held.select(*[F.col(c).alias(f"hub_{c}") for c in held.columns])
+    verified = lambda pairs, name: written(_verified(pairs.distinct().join(held, "run").join(hub, "hub_run")), name)
+    buckets = written(_buckets(left), "passages-buckets")
+
+    def mixed(rows: DataFrame, name: str) -> DataFrame:
+        ends = rows.groupBy(*of).agg(F.min(F.struct("root", "run")).alias("low"), F.max(F.struct("root", "run")).alias("high")).where("low.root < high.root")
+        return written(rows.join(written(ends, f"{name}-ends").hint("merge"), of), name)
+
+    met = mixed(buckets, "passages-mixed")
+    spoke = lambda end: met.where(F.col("root") != F.col(f"{end}.root")).select(F.greatest("run", f"{end}.run").alias("run"), F.least("run", f"{end}.run").alias("hub_run"))
+    star = verified(spoke("low").unionByName(spoke("high")), "passages-spokes")
+    roots = left.select("run", "root")
+    joined = _edges(star).join(roots.withColumnRenamed("run", "u").withColumnRenamed("root", "a"), "u").join(roots.withColumnRenamed("run", "v").withColumnRenamed("root", "b"), "v")
+    second = written(graph.components(joined.select(F.col("a").alias("u"), F.col("b").alias("v"))), "passages-second")
+    again = met.select(*of, "run", "root").join(second.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left")
+    open_ = mixed(again.select(*of, "run", F.coalesce("last", "root").alias("root")), "passages-open").select(*of, "run", "root")
+    a, b = open_.alias("a"), open_.alias("b")
+    rest = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in of] + [F.col("a.root") < F.col("b.root")]).select(
+        F.greatest("a.run", "b.run").alias("run"), F.least("a.run", "b.run").alias("hub_run"))
+    return star.unionByName(verified(rest, "passages-rest"))
+
+
+def _near(held: DataFrame) -> DataFrame:
+    """run, off, least: windows that are near to one of another content; least is the least text of all that are linked."""
+    hubs = held.where("hub").select("key", *[F.col(c).alias(f"hub_{c}") for c in ("run", "tid", "far", "spot", "near")])
+    # two hubs are compared once
+    pairs = held.join(hubs, "key").where((~F.col("hub") & (F.col("run") != F.col("hub_run"))) | (F.col("run") < F.col("hub_run")))
+    links = written(_verified(pairs), "passages-star")
+    roots = written(graph.components(_edges(links)), "passages-roots")
+    placed = held.select("key", "run").join(roots.withColumnRenamed("node", "run"), "run", "left").select("key", "run", F.coalesce("root", "run").alias("root"))
+    # groups of three contents are settled by their hubs
+    mixed = written(placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a < b and n > 3").select("key"), "passages-unsettled")
+    open_ = held.join(mixed.hint("merge"), "key").select("key", "run", "tid", "far", "spot", "near")
+    left = written(open_.join(placed.select("run", "root"), "run"), "passages-left")
+    if not left.isEmpty():
+        links = links.unionByName(_late(left))
+        roots = written(graph.components(_edges(links)), "passages-linked")
+    rooted = roots.withColumnRenamed("node", "run")
+    least = rooted.join(held.select("run", "tid"), "run").groupBy("root").agg(F.min("tid").alias("least"))
+    return links.select("run", "off").join(rooted.join(least, "root").select("run", "least"), "run")
+
+
+# ---- the texts ----------------------------------------------------------------------------
+
 def _among(ids: DataFrame):
     """A test on a tid column that holds for every tid in `ids`, and for few others while they fill
     little of a bitmap of fixed size: it only spares shuffling texts that no join will want."""
@@ -279,10 +414,7 @@ def _found(contents: DataFrame, rows: DataFrame) -> DataFrame:
     """run, first, last, least: the repeated starts of each content, counted in its run."""
     windows, held = rows.where("tier = 0").select("key", "run", "off", "tid", "far"), rows.where("tier = 1").drop("tier", "off")
     exact = windows.select("key", "run", "off").join(_shared_by(windows, "far").select("key", "least"), "key").select("run", "off", "least")
-    hubs = held.where("hub").select("key", *[F.col(c).alias(f"hub_{c}") for c in ("run", "tid", "far", "spot", "near")])
-    # two hubs are compared once; a pair of one text's own runs is none
-    pairs = held.join(hubs, "key").where((~F.col("hub") & (F.col("run") != F.col("hub_run"))) | (F.col("run") < F.col("hub_run")))
-    near = _verified(pairs.where(F.least("tid", "hub_tid") < F.greatest("far", "hub_far")))
+    near = _near(held)
     whole = contents.where("tid < far").select("run", F.lit(0).alias("first"), F.shiftright("place", 6).bitwiseAND(F.lit(63)).cast("int").alias("last"), F.col("tid").alias("least"))
     part = exact.unionByName(near).select("run", F.col("off").alias("first"), F.col("off").alias("last"), "least")
     return whole.unionByName(part).groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("least").alias("least"))

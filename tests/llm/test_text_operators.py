@@ -202,15 +202,13 @@ def test_near_passages(spark):
     assert sum(a in found and b in found for a, b in pairs) >= 0.6 * len(pairs)
 
 
-def common_line(n=30):
+def common_line():
     """Words whose shingles hold the least hashes of the first band among any others near them."""
-    for seed in range(100_000):
-        words = prose(seed, n, 3000)
-        raw = words.encode()
-        grams, _, _ = passages.shingles_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        if all(int((passages.mixed(grams ^ np.uint64(s)) | np.uint64(1)).min()) < (1 << 64) // 2000 for s in passages.BANDS[0]):
-            return words.split()
-    raise AssertionError("no line found")
+    words = prose(10397, 30, 3000)
+    raw = words.encode()
+    grams, _, _ = passages.shingles_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert all(int((passages.mixed(grams ^ np.uint64(s)) | np.uint64(1)).min()) < (1 << 64) // 2000 for s in passages.BANDS[0])
+    return words.split()
 
 
 def test_near_passages_in_a_crowded_group(spark):
@@ -226,6 +224,22 @@ def test_near_passages_in_a_crowded_group(spark):
     assert got == {d: {min(d, 1000 - d)} for i in range(40) for d in (i, 1000 - i)}
 
 
+def test_passage_classes(spark):
+    """Blocks that adjoin keep their own classes; two contents near to one hub are one class."""
+    p, q = prose(11, 70, 5000), prose(12, 70, 5000)
+    line = common_line()
+    words = prose(13, 15, 5000).split() + line + prose(14, 15, 5000).split()
+    put = lambda at, x: " ".join(words[:at] + [x] + words[at + 1:])
+    docs = [(1, p), (2, q), (3, p + " " + q), (11, put(11, "one")), (12, put(48, "two")), (13, " ".join(words))]
+    got = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got[r.doc_id].add((r.start_word, r.end_word, r.class_id))
+    assert (got[1], got[2], got[3]) == ({(0, 70, 1)}, {(0, 70, 2)}, {(0, 70, 1), (70, 140, 2)})
+    classes = {d: {c for _, _, c in got[d]} for d in (11, 12, 13)}
+    assert all(classes[a] & classes[b] for a, b in ((11, 13), (12, 13)))
+    assert all(sum(c in classes[d] for d in classes) > 1 for held in classes.values() for c in held)
+
+
 def test_near_windows_share_a_place():
     rng = np.random.default_rng(6)
     runs = []

@@ -31,10 +31,11 @@ at most 46 starts, so what is found in one is one passage.  Equal texts have
 equal rows, whose sums do not tell them apart; each copy gets its rows in the
 end.
 
-The result has a row for each passage (overlapping and adjoining repeats are
-merged) of each document: words start to end, exclusive, and class_id, the
-least document id of the texts it was found equal or near to (itself
-included).  Defined cases: null, empty and shorter texts have no passage and
+The result has a row for each passage and class of each document: words start
+to end, exclusive, and class_id, the least document id of the texts it was
+found equal or near to (itself included).  Overlapping and adjoining repeats of
+one class are merged; those of several classes have a row each, so that every
+link between two texts is a class that both have.  Defined cases: null, empty and shorter texts have no passage and
 no row; null ids are kept (a class has a null id only if all its members
 have); repeated rows are copies of one text and get a row each; tied hashes in
 a text go to the leftmost; an empty table gives an empty result; other columns
@@ -411,23 +412,23 @@ def _contents(members: DataFrame) -> DataFrame:
 
 
 def _found(contents: DataFrame, rows: DataFrame) -> DataFrame:
-    """run, first, last, least: the repeated starts of each content, counted in its run."""
+    """run, least, first, last: the repeated starts of each content and class, counted in its run."""
     windows, held = rows.where("tier = 0").select("key", "run", "off", "tid", "far"), rows.where("tier = 1").drop("tier", "off")
     exact = windows.select("key", "run", "off").join(_shared_by(windows, "far").select("key", "least"), "key").select("run", "off", "least")
     near = _near(held)
     whole = contents.where("tid < far").select("run", F.lit(0).alias("first"), F.shiftright("place", 6).bitwiseAND(F.lit(63)).cast("int").alias("last"), F.col("tid").alias("least"))
     part = exact.unionByName(near).select("run", F.col("off").alias("first"), F.col("off").alias("last"), "least")
-    return whole.unionByName(part).groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("least").alias("least"))
+    return whole.unionByName(part).groupBy("run", "least").agg(F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 def _merged(links: DataFrame) -> DataFrame:
-    """tid, start_word, end_word, least: overlapping and adjoining passages (first start `at`, last start `last`) as one."""
-    by_text = Window.partitionBy("tid").orderBy("at")
-    starts = links.groupBy("tid", "at").agg(F.max("last").alias("last"), F.min("least").alias("least"))
+    """tid, least, start_word, end_word: overlapping and adjoining passages (first start `at`, last start `last`) of one class as one."""
+    by_text = Window.partitionBy("tid", "least").orderBy("at")
+    starts = links.groupBy("tid", "least", "at").agg(F.max("last").alias("last"))
     so_far = F.max("last").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
     stepped = starts.withColumn("new", F.coalesce((F.col("at") > so_far + MIN_WORDS).cast("int"), F.lit(0)))
     numbered = stepped.withColumn("number", F.sum("new").over(by_text.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("tid", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("last") + MIN_WORDS).cast("long").alias("end_word"), F.min("least").alias("least"))
+    return numbered.groupBy("tid", "least", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("last") + MIN_WORDS).cast("long").alias("end_word"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -458,5 +459,5 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         classes.select(F.col("number").alias("least"), F.col("own").alias("class_id")), "least").select("tid", "start_word", "end_word", "class_id")
     whole = classes.where((F.col("n") > 1) & (F.col("n_words") >= MIN_WORDS)).select("tid", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("own").alias("class_id"))
     # a text that has copies is a passage from end to end, beside those it shares with other texts
-    found = merged.unionByName(whole).groupBy("tid", "start_word", "end_word").agg(F.min("class_id").alias("class_id"))
+    found = merged.unionByName(whole).distinct()
     return copies.select("doc_id", "tid").join(found, "tid").select("doc_id", "start_word", "end_word", "class_id")

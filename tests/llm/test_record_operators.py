@@ -233,3 +233,13 @@ def test_oracle(spark, name):
     cols = [d[0] for d in want.description]
     assert sorted(cols) == sorted(df.columns)
     assert sorted(map(str, map(tuple, df.select(*cols).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_url_rule_of_four_tokens(spark):
+    """Four tokens that are bad only together make a rule."""
+    bad, good = "http://a.b/c/d", ("http://z.b/c/d", "http://a.z/c/d", "http://a.b/z/d", "http://a.b/c/z")
+    urls_ = [bad] * 3 + [u for u in good for _ in range(3)]
+    pages = spark.createDataFrame([*enumerate(urls_), (99, bad + "/e")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(u != bad), 0) for i, u in enumerate(urls_)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, labels).collect()}
+    assert got == {i: "block" if i < 3 or i == 99 else "allow" for i in got} and len(got) == 16

@@ -65,13 +65,14 @@ def tokens_of(url: Column) -> Column:
         F.when(F.regexp_extract(tidy, r"(?s)^.*?://[^#]*#(.+)$", 1) != "", F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
     """(tokens, anchor): antecedents of rules that end in block, with the rarest token of each."""
     bad = F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.col("quality") == 0, F.col("toxic") == 1, F.lit(False))
     seen = pages.join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id").select(
         F.when(F.col("bad"), F.array_append("tokens", F.lit(_BLOCK))).otherwise(F.col("tokens")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(seen)
-    rules = model.associationRules.where((F.col("consequent")[0] == _BLOCK) & (F.size("antecedent") <= max_tokens)).select(F.sort_array("antecedent").alias("rule"))
+    found = model.associationRules.where(F.col("consequent")[0] == _BLOCK).select(F.sort_array("antecedent").alias("rule"))
+    rules = found if max_tokens is None else found.where(F.size("rule") <= max_tokens)
     singles = model.freqItemsets.where("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
     filed = rules.select("rule", F.explode("rule").alias("token")).join(singles, "token")
     return filed.groupBy("rule").agg(F.min_by("token", F.struct("freq", "token")).alias("anchor"))

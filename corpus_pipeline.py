@@ -32,7 +32,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and `n_chars` counted anew."""
-    return secrets.mask_secrets(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return secrets.mask_secrets(docs, by_window=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

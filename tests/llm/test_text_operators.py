@@ -313,6 +313,18 @@ def test_secrets_masked(spark, empty):
         assert r.text == (None if t is None else want + t[at:])
 
 
+def test_secrets_beside_allowed_words_are_masked(spark):
+    """The pipeline masks a secret whose string holds a word of the allow-list; words alone stay."""
+    import corpus_pipeline
+
+    key = "Zk3vQ9xW2rT7yU1pL5mN8bC4"
+    texts = [f"src/example/config_{key} end", f"example_key_{key}", f"{key}/example", "see placeholder_x1Y2z3w4V5u6 here", "plain text"]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.masked(spark, docs, "").collect()}
+    assert all(key not in got[i] and secrets.MASK in got[i] for i in range(3))
+    assert got[3] == texts[3] and got[4] == texts[4]
+
+
 # ---- token counts and packing -------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tillwise.llm import chat, quality, secrets, urls
+from tillwise.llm import centroids, chat, quality, secrets, urls
 
 SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -147,9 +147,35 @@ b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality
 SELECT *, NOT base_failed AND NOT ({bad}) AS kept FROM b"""
 
 
+# ---- 13: centroids ------------------------------------------------------------------------
+
+def centroids_sql() -> str:
+    """Lloyd's rounds with every vector compared with every centroid."""
+    fits = f"len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMS}"
+    rounds = []
+    for t in range(centroids.ROUNDS + 1):
+        rounds.append(f"""
+d{t} AS (SELECT p.rid, c.c, CAST(sum((p.x - c.x) * (p.x - c.x)) AS BIGINT) AS d FROM p JOIN c{t} c ON c.j = p.j GROUP BY p.rid, c.c),
+a{t} AS MATERIALIZED (SELECT rid, c, d FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY d, c) AS o FROM d{t}) WHERE o = 1)""")
+        if t < centroids.ROUNDS:
+            rounds.append(f"""
+s{t} AS (SELECT a.c, p.j, CAST(sum(p.x) AS BIGINT) AS s, count(*) AS n FROM a{t} a JOIN p ON p.rid = a.rid GROUP BY a.c, p.j),
+c{t + 1} AS MATERIALIZED (SELECT c.c, c.j, CASE WHEN s.n IS NULL THEN c.x ELSE (s.s - ((s.s % s.n) + s.n) % s.n) // s.n END AS x FROM c{t} c LEFT JOIN s{t} s ON s.c = c.c AND s.j = c.j)""")
+    last = centroids.ROUNDS
+    return f"""WITH k AS (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), embedding) - 1 AS rid, vec_id, embedding FROM embeddings WHERE {fits}),
+p AS MATERIALIZED (SELECT rid, j, CAST(floor({centroids.SCALE} * CAST(embedding[j] AS DOUBLE)) AS BIGINT) AS x FROM k, range(1, {centroids.DIMS} + 1) r(j)),
+c0 AS (SELECT rid AS c, j, x FROM p WHERE rid < {centroids.CLUSTERS}),
+{','.join(r.strip() for r in rounds)},
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS told FROM c{last} GROUP BY c),
+i AS (SELECT c, CAST(sum(d) AS BIGINT) AS own FROM a{last} GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, i.own AS cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a{last}) AS inertia, h.told AS centroid_sha256
+FROM a{last} a JOIN k ON k.rid = a.rid JOIN h ON h.c = a.c JOIN i ON i.c = a.c"""
+
+
 ORACLES = {
     "op6_secret_scans": secrets_sql(),
     "op7_chat_formatting": chat_sql(),
     "op8_url_filters": urls_sql(),
     "op9_quality_rules": quality_sql(),
+    "op13_centroid_clustering": centroids_sql(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import attribution, chat, decontaminate, packing, passages, quality, secrets, sharding, simhash, urls
+from tillwise.llm import attribution, centroids, chat, decontaminate, packing, passages, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
 from tillwise.llm.oracles import ORACLES
 
@@ -62,6 +62,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("scans")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_substring_dedup": substring_dedup,
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_url_filters": url_filters,
     "op9_quality_rules": quality_rules,
     "op10_packing": kk_packing,
+    "op13_centroid_clustering": centroid_clustering,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bitmap_test(df: DataFrame, column: str, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A test on arrays of longs that holds for every value of `column`, and for few others while these
+    fill little of a bitmap of 2 ** `bits` places: it only spares shuffling rows that no join will want.
+
+    Values should be hashes.  At most 2 ** (bits - 6) rows pass the driver, whatever the input.
+    """
+    last = (1 << bits) - 1
+    place = F.col(column).bitwiseAND(F.lit(last))
+    words = df.select(place.alias("p")).groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas()
+    bitmap = np.zeros(1 << max(0, bits - 6), np.int64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    held = df.sparkSession.sparkContext.broadcast(bitmap)
+
+    def test(values: np.ndarray) -> np.ndarray:
+        at = values & last
+        return (held.value[at >> 6] >> (at & 63) & 1).astype(bool)
+    return test
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that `df` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -77,7 +77,7 @@ def test_every_link_keeps_a_signature():
     """Also after each set drops its `spare` first ones in any one order."""
     rng = random.Random(9)
     pairs = 0
-    for trial in range(400):
+    for trial in range(600):
         base = prose(trial, rng.randrange(1, 260)).split()
         a, b = " ".join(base), " ".join(changed(base, rng.randrange(0, 2 + len(base) // 22), rng))
         hashes, first = partenum.sets_of(*block([a, b]))

@@ -203,8 +203,7 @@ def linked(left: pa.Array, right: pa.Array, width: int = SHINGLE_WORDS, percent:
 
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, text), one text for each node of `wanted` (node, first_id); the text of its least document."""
-    hashed = F.xxhash64(F.col("doc_id"))
-    ids = wanted.select("node", hashed.alias("held"))
+    ids = wanted.select("node", F.xxhash64("first_id").alias("held"))
     test = bitmap_test(ids, "held", MAP_BITS)
 
     def run(batches):
@@ -212,7 +211,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             batch = batch.filter(pa.array(test(batch.column(0).to_numpy(zero_copy_only=False))))
             for i, j, data, at in blocks(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(nodes_of(*sets_of(data, at, width))), batch.column(1).slice(i, j - i)], ["held", "node", "text"])
-    near = docs.select(hashed.alias("held"), "text").mapInArrow(run, "held bigint, node bigint, text string")
+    near = docs.select(F.xxhash64("doc_id").alias("held"), "text").mapInArrow(run, "held bigint, node bigint, text string")
     return near.join(ids, ["held", "node"]).dropDuplicates(["held", "node"]).select("node", "text")
 
 

@@ -41,13 +41,24 @@ def bitmap_test(df: DataFrame, column: str, bits: int) -> Callable[[np.ndarray],
     """A test on arrays of longs that holds for every value of `column`, and for few others while these
     fill little of a bitmap of 2 ** `bits` places: it only spares shuffling rows that no join will want.
 
-    Values should be hashes.  At most 2 ** (bits - 6) rows pass the driver, whatever the input.
+    Values should be hashes.  The bitmap reaches the driver in a few hundred pieces of 8 KB, whatever the input.
     """
     last = (1 << bits) - 1
     place = F.col(column).bitwiseAND(F.lit(last))
-    words = df.select(place.alias("p")).groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas()
-    bitmap = np.zeros(1 << max(0, bits - 6), np.int64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    words = df.select(place.alias("p")).groupBy(F.shiftrightunsigned("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits"))
+
+    def pieces(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word, bit = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for piece in np.unique(word >> 10).tolist():
+                mine = word >> 10 == piece
+                held.setdefault(piece, np.zeros(1024, np.int64))[word[mine] & 1023] |= bit[mine]
+        for piece, found in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece]), pa.array([found.tobytes()], pa.binary())], ["piece", "bits"])
+    bitmap = np.zeros(1 << max(10, bits - 6), np.int64)
+    for row in words.repartition(4, F.shiftrightunsigned("word", 10)).mapInArrow(pieces, "piece bigint, bits binary").toLocalIterator():
+        bitmap[row.piece << 10: row.piece + 1 << 10] = np.frombuffer(row.bits, np.int64)
     held = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def test(values: np.ndarray) -> np.ndarray:

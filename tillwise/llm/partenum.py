@@ -49,8 +49,8 @@ PERCENT = 80
 SLACK = 0.42
 #: Signatures that a set may drop as too frequent, as a share of the most differing shingles.
 SPARE = 0.2
-#: Bits of the map that spares shuffling signatures nobody shares (8 MB).
-MAP_BITS = 26
+#: Bits of the map that spares shuffling signatures nobody shares (4 MB).
+MAP_BITS = 25
 #: Text bytes compared at once inside a task.
 PAIR_BYTES = 1 << 20
 

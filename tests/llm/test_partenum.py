@@ -70,7 +70,9 @@ def test_sets_and_linked():
     left = [" ".join(b) for b in base]
     right = [" ".join(changed(b, rng.randrange(0, 1 + len(b) // 20), rng)) for b in base]
     want = [100 * len(shingles(a) & shingles(b)) >= 80 * len(shingles(a) | shingles(b)) for a, b in zip(left, right)]
-    assert partenum.linked(pa.array(left), pa.array(right)).tolist() == want and 10 < sum(want) < 60
+    n, m, both, pair, more = partenum.compared(pa.array(left), pa.array(right))
+    assert partenum.enough(both, n, m).tolist() == want and 10 < sum(want) < 60
+    assert np.bincount(pair, minlength=60).tolist() == [len(shingles(b) - shingles(a)) for a, b in zip(left, right)] and len(more) == len(pair)
 
 
 def test_every_link_keeps_a_signature():
@@ -81,7 +83,8 @@ def test_every_link_keeps_a_signature():
         base = prose(trial, rng.randrange(1, 260)).split()
         a, b = " ".join(base), " ".join(changed(base, rng.randrange(0, 2 + len(base) // 22), rng))
         hashes, first = partenum.sets_of(*block([a, b]))
-        if not partenum.linked(pa.array([a]), pa.array([b]))[0] or len(set(partenum.nodes_of(hashes, first).tolist())) < 2:
+        n, m, both, *_ = partenum.compared(pa.array([a]), pa.array([b]))
+        if not partenum.enough(both, n, m)[0] or len(set(partenum.nodes_of(hashes, first).tolist())) < 2:
             continue
         key, owner, size, tag, spare = partenum.signatures_of(hashes, first)
         assert len(set(zip(key.tolist(), owner.tolist()))) == len(key)
@@ -126,6 +129,23 @@ def test_crowded_groups(spark):
     assert got(partenum.similar_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))) == brute(rows)
 
 
+def test_large_group_around_the_threshold(spark):
+    """Near copies of which a part is linked with none, some share a change, some are cut off."""
+    rng = random.Random(77)
+    base, other = prose(900, 130).split(), prose(901, 30).split()
+    rows = []
+    for i in range(260):
+        words = changed(base, rng.randrange(0, 11), rng)
+        if i % 4 == 0:
+            words = words[: 40] + other + words[60:]
+        if i % 7 == 0:
+            words = words[: rng.randrange(80, 125)]
+        rows.append((i, " ".join(words)))
+    want = brute(rows)
+    assert 20 < len({c for _, _, c in want}) < 200
+    assert got(partenum.similar_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
+
+
 def test_empty(spark, empty):
     assert partenum.similar_sets(empty).collect() == []
     bare = spark.createDataFrame([(1, None), (None, ""), (3, " ")], "doc_id long, text string")

@@ -18,11 +18,17 @@ some other set has too, each set then drops its `spare` most frequent ones under
 each tag, again in one order for all, which leaves at least one shared: so a line
 or passage that a third of all documents hold does not fill a bucket.
 
-Buckets hold distinct sets.  Their members are compared in three steps, each
-only where a bucket still holds two components: every set with one hub, the least
-set that it meets; then with the least and the greatest of each of its buckets;
-then with all others of such a bucket.  A comparison works out both whole sets and
-their exact intersection, so similarity is never estimated.
+Buckets hold distinct sets, and each has a hub, the set that meets most others.
+Links are looked for in three steps, each only where a bucket still holds two
+components: every set is compared with the best hub that it meets; then the sets
+of a bucket with its hub; then pairs of sets that hub can not tell apart.  For a set
+x that adds a(x) shingles to the hub's and lacks r(x) of them, two sets differ in
+a(x) + a(y) - 2 * common additions + |r(x) - r(y)| shingles at least.  Pairs with a common
+addition meet by it, and the others can only be linked where a(x) + a(y) +
+|r(x) - r(y)| is small, which a join over cells of (a, r) finds.  So in a large group
+of near copies, whose changes are each copy's own, those too far from the hub are
+settled without being compared with all others, and no link is lost.  A comparison
+works out both whole sets and their exact intersection, so similarity is never estimated.
 
 Shingles and sets are told apart by 64-bit hashes.  Defined cases: null and empty
 text and text without words has no shingles, is linked with nothing and is its
@@ -188,17 +194,24 @@ def _shared_keys(docs: DataFrame, shared: DataFrame, width: int, percent: int) -
 
 # ---- comparison ---------------------------------------------------------------------------
 
-def linked(left: pa.Array, right: pa.Array, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> np.ndarray:
-    """Whether the sets of two texts are similar enough, pair by pair."""
+def compared(left: pa.Array, right: pa.Array, width: int = SHINGLE_WORDS) -> tuple[np.ndarray, ...]:
+    """Pair by pair: set sizes, shingles in both; and (pair, hash) of what the right one adds."""
     data, at = utf8_bytes(pa.concat_arrays([left.cast(pa.large_string()), right.cast(pa.large_string())]))
     m = len(left)
     hashes, first = sets_of(data, at, width)
     n = np.diff(first)
-    pair = np.repeat(np.arange(2 * m) % m, n)
-    order = np.lexsort((hashes, pair))
-    pair, hashes = pair[order], hashes[order]
-    both = np.bincount(pair[1:][(pair[1:] == pair[:-1]) & (hashes[1:] == hashes[:-1])], minlength=m)
-    return 100 * both >= percent * (n[:m] + n[m:] - both)
+    text = np.repeat(np.arange(2 * m), n)
+    side, pair = text // max(m, 1), text % max(m, 1)
+    order = np.lexsort((side, hashes, pair))
+    side, pair, hashes = side[order], pair[order], hashes[order]
+    same = np.zeros(len(pair), bool)
+    same[1:] = (pair[1:] == pair[:-1]) & (hashes[1:] == hashes[:-1])
+    more = (side == 1) & ~same
+    return n[:m], n[m:], np.bincount(pair[same], minlength=m), pair[more], hashes[more]
+
+
+def enough(both: Column | np.ndarray, left: Column | np.ndarray, right: Column | np.ndarray, percent: int = PERCENT) -> Column | np.ndarray:
+    return 100 * both >= percent * (left + right - both)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -215,8 +228,11 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return near.join(ids, ["held", "node"]).dropDuplicates(["held", "node"]).select("node", "text")
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough.  v's text travels to u, so a hub's text moves once."""
+def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """For pairs (u, v): set sizes su and sv, shingles in both, and those that v has and u has not.
+
+    v's text travels to u, so the text of a hub u moves once.
+    """
     def run(batches):
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
@@ -224,21 +240,59 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
             i = 0
             while i < len(ends):
                 j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIR_BYTES, "right")))
-                there = np.flatnonzero(linked(left.slice(i, j - i), right.slice(i, j - i), width, percent)) + i
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(there)), batch.column(1).take(pa.array(there))], ["u", "v"])
+                su, sv, both, pair, more = compared(left.slice(i, j - i), right.slice(i, j - i), width)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(pair, minlength=j - i))).astype(np.int32)), pa.array(more.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(su), pa.array(sv), pa.array(both), lists], ["u", "v", "su", "sv", "both", "more"])
                 i = j
     met = pairs.join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v").join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u")
-    return met.select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint")
+    return met.select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint, su bigint, sv bigint, both bigint, more array<bigint>")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    return _compared(pairs, texts, width).where(enough(F.col("both"), F.col("su"), F.col("sv"), percent)).select("u", "v")
 
 
-def _may_fit(a: Column | str, b: Column | str, percent: int) -> Column:
-    a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
+def _may_fit(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _pairs(u: Column | str, v: Column | str) -> list[Column]:
-    u, v = (F.col(x) if isinstance(x, str) else x for x in (u, v))
-    return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
+def _open(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """key, node, size, root and the hub (with its size and root) of the members of buckets that hold two components."""
+    now = members.withColumn("root", F.col("node")) if roots is None else (
+        members.join(roots, "node", "left").select("key", "node", "size", "weight", F.coalesce("root", "node").alias("root")))
+    ends = now.groupBy("key").agg(F.max(F.struct("weight", "node", "size", "root")).alias("hub"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
+    return now.join(ends.select("key", "hub"), "key").select("key", "node", "size", "root", "hub")
+
+
+def _unlike(facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) under one hub, in different components, that their differences from the hub leave open.
+
+    `facts`: hub, hub_size, hub_root, node, size, root, a (additions), r (lacking shingles) and more (the
+    additions).  One of a pair, x, is not in the hub's component.
+    """
+    loose = (F.col("root") != F.col("hub_root")).alias("loose")
+    rows = facts.select("hub", "node", "size", "root", "a", "r", "more", loose)
+    differ = F.floor((F.col("x.size") + F.col("y.size")) * F.lit(100 - percent) / F.lit(100 + percent))
+    apart = F.col("x.loose") & (F.col("x.root") != F.col("y.root")) & (~F.col("y.loose") | (F.col("x.node") < F.col("y.node"))) & _may_fit("x.size", "y.size", percent)
+    gap = F.col("x.a") + F.col("y.a") + F.abs(F.col("x.r") - F.col("y.r"))
+    # a common addition
+    each = rows.select("hub", "node", "size", "root", "a", "r", "loose", F.explode("more").alias("at"))
+    by_more = each.where("loose").alias("x").join(each.alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.at") == F.col("y.at")) & apart)
+    by_more = by_more.groupBy("x.hub", F.col("x.node").alias("u"), F.col("y.node").alias("v")).agg(F.min(gap - differ).alias("beyond"), F.count("*").alias("common"))
+    by_more = by_more.where("beyond <= 2 * common").select("u", "v")
+    # none: cells of a width that grows with the sizes, so that a set reaches a fixed number of them
+    # (partners are in one band or in adjacent ones, hence the width of the hub's band)
+    most = F.floor(F.col("size") * F.lit(100 - percent) / F.lit(percent)).cast("long") + 1  # differing shingles, any partner
+    cell = F.greatest(F.lit(1), F.floor(F.col("hub_size") / F.lit(8 * 9))).cast("long")
+    cells = facts.select("hub", "node", "size", "root", "a", "r", loose, (most - F.col("a")).alias("room"), cell.alias("w"))
+    home = cells.select("hub", "node", "size", "root", "a", "r", "loose", F.floor(F.col("a") / F.col("w")).alias("ca"), F.floor(F.col("r") / F.col("w")).alias("cr"))
+    reach = cells.where("loose and room >= 0").withColumn("ca", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("room") / F.col("w")))))
+    left = F.col("room") - F.col("ca") * F.col("w")  # what |r - r'| may still be
+    reach = reach.withColumn("cr", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("r") - left) / F.col("w"))).cast("long"), F.floor((F.col("r") + left) / F.col("w")).cast("long"))))
+    by_cell = reach.alias("x").join(home.alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.ca") == F.col("y.ca")) & (F.col("x.cr") == F.col("y.cr"))
+                                    & apart & (gap <= differ))
+    found = by_more.unionByName(by_cell.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")))
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def classes(docs: DataFrame, sized: DataFrame, width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -247,36 +301,32 @@ def classes(docs: DataFrame, sized: DataFrame, width: int = SHINGLE_WORDS, perce
                      .where("low < high").select("key", "n"), "partenum-shared")
     found = _shared_keys(docs, shared, width, percent).join(shared, "key").distinct()
     rank = F.row_number().over(Window.partitionBy("node", "tag").orderBy(F.desc("n"), "key"))
-    members = found.withColumn("rank", rank).where("rank > spare").select("key", "node", "size")
-    members = written(members, "partenum-members")
+    # how many others a set meets: greatest for the least changed of a group of near copies
+    weight = F.sum("n").over(Window.partitionBy("node"))
+    members = written(found.withColumn("rank", rank).withColumn("weight", weight).where("rank > spare").select("key", "node", "size", "weight"), "partenum-members")
     firsts = sized.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     texts = written(_texts(docs, members.select("node").distinct().join(firsts, "node"), width), "partenum-texts")
 
-    low = lambda: F.min(F.struct("node", "size", "root"))
-    high = lambda: F.max(F.struct("node", "size", "root"))
-    links, roots = None, None
-    for step in ("one hub", "two hubs", "all"):
-        now = members.withColumn("root", F.col("node")) if roots is None else (
-            members.join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root")))
-        ends = now.groupBy("key").agg(low().alias("low"), high().alias("high"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
-        if step == "one hub":
-            best = now.join(ends.select("key", "low"), "key").where((F.col("node") != F.col("low.node")) & _may_fit("size", "low.size", percent))
-            pairs = best.groupBy("node").agg(F.min("low.node").alias("hub")).select(*_pairs("node", "hub"))
-        else:
-            # a written table, so that a hot bucket's part of the join can be split
-            open_ = written(now.join(ends.select("key", "low", "high"), "key"), "partenum-open")
-            if step == "two hubs":
-                ends = [F.col(e) for e in ("low", "high")]
-                spokes = [open_.where((F.col("node") != e["node"]) & (F.col("root") != e["root"]) & _may_fit(F.col("size"), e["size"], percent)).select(*_pairs(F.col("node"), e["node"])) for e in ends]
-                pairs = spokes[0].unionByName(spokes[1]).distinct()
-            else:
-                a, b = open_.select("key", "node", "size", "root").alias("a"), open_.select("key", "node", "size", "root").alias("b")
-                pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
-                               & _may_fit("a.size", "b.size", percent)).select(*_pairs("a.node", "b.node")).distinct()
-        more = written(_links(pairs, texts, width, percent), "partenum-links")
-        links = more if links is None else links.unionByName(more)
-        roots = written(components(links), "partenum-roots")
-    return roots
+    # 1: every set with the best hub of its buckets
+    met = _open(members, None).where((F.col("node") != F.col("hub.node")) & _may_fit("size", "hub.size", percent))
+    best = met.groupBy("node").agg(F.max(F.struct("hub.weight", "hub.node")).alias("hub")).select(F.col("hub.node").alias("u"), F.col("node").alias("v"))
+    links = written(_links(best, texts, width, percent), "partenum-links")
+    roots = written(components(links), "partenum-roots")
+
+    # 2: the sets of open buckets with the bucket's hub
+    open_ = written(_open(members, roots).groupBy("node", "hub.node").agg(F.first("size").alias("size"), F.first("hub.size").alias("hub_size")).toDF("node", "hub", "size", "hub_size"), "partenum-open")
+    facts = written(_compared(open_.select(F.col("hub").alias("u"), F.col("node").alias("v")), texts, width).select(
+        F.col("u").alias("hub"), F.col("v").alias("node"), F.col("sv").alias("size"), F.col("su").alias("hub_size"), (F.col("sv") - F.col("both")).alias("a"), (F.col("su") - F.col("both")).alias("r"), "both", "more"), "partenum-facts")
+    links = links.unionByName(facts.where(enough(F.col("both"), F.col("hub_size"), F.col("size"), percent) & (F.col("hub") != F.col("node"))).select(F.col("hub").alias("u"), F.col("node").alias("v")))
+    roots = written(components(links), "partenum-roots")
+
+    # 3: what the hubs leave open
+    rooted = facts.drop("both").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed_ = rooted.groupBy("hub").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max(F.when(F.col("node") == F.col("hub"), F.col("root"))).alias("hub_root"))
+    mixed_ = mixed_.where("r0 < r1").select("hub", "hub_root")
+    pairs = _unlike(written(rooted.join(mixed_, "hub"), "partenum-unlike"), percent)
+    links = links.unionByName(written(_links(pairs, texts, width, percent), "partenum-links"))
+    return written(components(links), "partenum-roots")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:

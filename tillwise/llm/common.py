@@ -105,12 +105,12 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int,
         i = j
 
 
-def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word starts, ends (exclusive) and text numbers in a block of texts."""
+def words_of(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word starts, ends (exclusive) and text numbers in a block of texts; `space` says which bytes are between words."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    word = ~_SPACE[data]
+    word = ~space[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     before = np.empty(len(data), bool)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from tillwise.llm import centroids, chat, quality, secrets, urls
+from tillwise.llm import centroids, chat, collocations, partenum, quality, secrets, urls
 
 SPACE = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -147,6 +147,49 @@ b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality
 SELECT *, NOT base_failed AND NOT ({bad}) AS kept FROM b"""
 
 
+# ---- 11: collocations ---------------------------------------------------------------------
+
+def collocations_sql() -> str:
+    """All phrases counted and scored, none left out by a bound."""
+    cut = "CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST({l} AS HUGEINT) * {r}) AS BIGINT)"
+    return f"""WITH p AS (SELECT row_number() OVER () AS pid, lang, words FROM (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)) WHERE len(words) > 0),
+t AS MATERIALIZED (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM p),
+f1 AS MATERIALIZED (SELECT lang, words[i] AS x, count(*) AS c FROM t GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, words[i] AS x, words[i + 1] AS y, count(*) AS c FROM t WHERE i < len(words) GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+f3 AS MATERIALIZED (SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z, count(*) AS c FROM t WHERE i < len(words) - 1 GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+s2 AS (SELECT a.lang, a.x || ' ' || a.y AS phrase, a.c AS a, u.c AS l, v.c AS r FROM f2 a JOIN f1 u ON u.lang = a.lang AND u.x = a.x JOIN f1 v ON v.lang = a.lang AND v.x = a.y
+  WHERE NOT EXISTS (SELECT 1 FROM f3 b WHERE b.lang = a.lang AND b.x = a.x AND b.y = a.y AND 100 * b.c >= {collocations.DROP_PERCENT} * a.c)
+    AND NOT EXISTS (SELECT 1 FROM f3 b WHERE b.lang = a.lang AND b.y = a.x AND b.z = a.y AND 100 * b.c >= {collocations.DROP_PERCENT} * a.c)),
+s3 AS (SELECT b.lang, b.x || ' ' || b.y || ' ' || b.z AS phrase, b.c AS a, u.c AS l1, h.c AS r1, g.c AS l2, v.c AS r2
+  FROM f3 b JOIN f1 u ON u.lang = b.lang AND u.x = b.x JOIN f2 h ON h.lang = b.lang AND h.x = b.y AND h.y = b.z
+  JOIN f2 g ON g.lang = b.lang AND g.x = b.x AND g.y = b.y JOIN f1 v ON v.lang = b.lang AND v.x = b.z),
+c3 AS (SELECT *, {cut.format(l="l1", r="r1")} AS k1, {cut.format(l="l2", r="r2")} AS k2 FROM s3),
+every AS (
+  SELECT lang, phrase, a, l, r, {cut.format(l="l", r="r")} AS score FROM s2
+  UNION ALL SELECT lang, phrase, a, CASE WHEN k1 <= k2 THEN l1 ELSE l2 END, CASE WHEN k1 <= k2 THEN r1 ELSE r2 END, least(k1, k2) FROM c3),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM every) JOIN n USING (lang)
+WHERE rank <= {collocations.LIMIT}"""
+
+
+# ---- 12: Jaccard join ---------------------------------------------------------------------
+
+def jaccard_sql() -> str:
+    """Every pair that shares a shingle; components by repeated least ids along the links."""
+    w = partenum.SHINGLE_WORDS
+    return f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '{SPACE}+'), lambda x: x <> '') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT rid, array_to_string(words[i: i + {w - 1}], ' ') AS gram FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - {w - 2}, 2))) AS i FROM d WHERE len(words) > 0)),
+n AS MATERIALIZED (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+l AS MATERIALIZED (
+  SELECT a.rid AS u, b.rid AS v FROM s a JOIN s b ON a.gram = b.gram AND a.rid <> b.rid JOIN n x ON x.rid = a.rid JOIN n y ON y.rid = b.rid
+  GROUP BY a.rid, b.rid, x.n, y.n HAVING 100 * count(*) >= {partenum.PERCENT} * (x.n + y.n - count(*))),
+r AS (SELECT rid, rid AS near FROM d UNION SELECT r.rid, l.v FROM r JOIN l ON l.u = r.near)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id FROM r JOIN d ON d.rid = r.rid JOIN d o ON o.rid = r.near LEFT JOIN n ON n.rid = d.rid GROUP BY d.rid, d.doc_id"""
+
+
 # ---- 13: centroids ------------------------------------------------------------------------
 
 def centroids_sql() -> str:
@@ -177,5 +220,7 @@ ORACLES = {
     "op7_chat_formatting": chat_sql(),
     "op8_url_filters": urls_sql(),
     "op9_quality_rules": quality_sql(),
+    "op11_collocation_mining": collocations_sql(),
+    "op12_ngram_jaccard_join": jaccard_sql(),
     "op13_centroid_clustering": centroids_sql(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import attribution, centroids, chat, decontaminate, packing, partenum, passages, quality, secrets, sharding, simhash, urls
+from tillwise.llm import attribution, centroids, chat, collocations, decontaminate, packing, partenum, passages, quality, secrets, sharding, simhash, urls
 from tillwise.llm.common import table
 from tillwise.llm.oracles import ORACLES
 
@@ -62,6 +62,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_sets(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op8_url_filters": url_filters,
     "op9_quality_rules": quality_rules,
     "op10_packing": kk_packing,
+    "op11_collocation_mining": collocation_mining,
     "op12_ngram_jaccard_join": ngram_jaccard_join,
     "op13_centroid_clustering": centroid_clustering,
 }

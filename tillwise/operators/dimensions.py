@@ -28,7 +28,7 @@ def _datetime_col(df: DataFrame) -> F.Column:
     return F.lit(None).cast("timestamp_ntz")
 
 
-def _derived(df: DataFrame, cost_lookup: DataFrame | None = None) -> DataFrame:
+def derived_columns(df: DataFrame, cost_lookup: DataFrame | None = None) -> DataFrame:
     """parent_sku (F1), category (F2), product_cost (F10) from name/id/price."""
     df = df.withColumns({
         "parent_sku": parent_sku(F.col("product_name")),
@@ -60,7 +60,7 @@ def product_dim_current(lines: DataFrame, cost_lookup: DataFrame | None = None,
         last_non_null("price").alias("price"),
         last_non_null("__dt").alias("last_transaction_datetime"),
     ).withColumns({"record_version": F.lit(1), "is_current": F.lit(True)})
-    return _derived(cur, cost_lookup).select(*DIM_COLUMNS)
+    return derived_columns(cur, cost_lookup).select(*DIM_COLUMNS)
 
 
 def product_dim_history(lines: DataFrame, cost_lookup: DataFrame | None = None, seq_col: str = "seq") -> DataFrame:
@@ -83,7 +83,7 @@ def product_dim_history(lines: DataFrame, cost_lookup: DataFrame | None = None,
         "is_current",
         F.col("record_version") == F.max("record_version").over(Window.partitionBy("product_id")),
     )
-    return _derived(hist, cost_lookup).select(*DIM_COLUMNS)
+    return derived_columns(hist, cost_lookup).select(*DIM_COLUMNS)
 
 
 def history_lookup(history: DataFrame, product_ids: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def scd_incremental(batch: DataFrame, history: DataFrame, cost_lookup: DataFrame
         .select(*[F.col(c).alias("old_" + c) for c in DIM_COLUMNS], "__max_rv")
     )
     j = latest.join(cur, F.col("product_id") == F.col("old_product_id"), "left")
-    new_derived = _derived(
+    new_derived = derived_columns(
         j.select("product_id", "product_name", "price"), cost_lookup
     ).select("product_id", F.col("parent_sku").alias("new_parent_sku"),
              F.col("category").alias("new_category"), F.col("product_cost").alias("new_cost"))

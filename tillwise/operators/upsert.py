@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
+from graphlib import TopologicalSorter
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,16 @@ TABLE_KEYS = {
     "time_dimension": ("time_id",),
 }
 
+#: Child table -> (its column, parent table, the parent's column): keys that must be found in the parent (K3).
+FOREIGN_KEYS = {
+    "fact_transaction_dimension": (("product_id", "current_product_dimension", "product_id"), ("time_id", "time_dimension", "time_id")),
+    "history_product_dimension": (("product_id", "current_product_dimension", "product_id"),),
+}
+
+
+class ForeignKeyError(ValueError):
+    """Rows of a table refer to keys that its parent does not have."""
+
 
 def upsert_merge(target: DataFrame, updates: DataFrame, keys, order_col: str | None = None) -> DataFrame:
     """K1: insert; on key conflict overwrite every non-key column; when the table
@@ -79,11 +92,62 @@ def publish_run(spark: SparkSession, manifest_path: str, versions: dict[str, str
     return df
 
 
+def published_path(spark: SparkSession, manifest_path: str, table: str) -> str | None:
+    """Path of a table in the newest manifest that names it (one value)."""
+    try:
+        m = spark.read.schema("table_name string, path string, published_at string").json(manifest_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return m.filter(F.col("table_name") == table).select(F.max_by("path", "published_at")).first()[0]
+
+
 def read_published(spark: SparkSession, manifest_path: str, table: str) -> DataFrame:
-    """Resolve a table through a manifest written by :func:`publish_run`."""
-    m = spark.read.schema("table_name string, path string, published_at string").json(manifest_path)
-    newest = m.filter(F.col("table_name") == table).select(F.max_by("path", "published_at"))
-    return spark.read.parquet(newest.first()[0])  # one value: the newest manifest entry
+    """Resolve a table through a manifest written by :func:`publish_run` or :func:`publish_checked`."""
+    from .keyed import read_at
+    return read_at(spark, published_path(spark, manifest_path, table))
+
+
+def publish_order(tables, foreign_keys=FOREIGN_KEYS) -> list[str]:
+    """The tables with every parent before its children; a cycle is an error."""
+    graph = {t: {parent for _, parent, _ in foreign_keys.get(t, ()) if parent in tables} for t in sorted(tables)}
+    return list(TopologicalSorter(graph).static_order())
+
+
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Distinct non-null keys of the child that the parent does not have (a null refers to nothing)."""
+    keys = child.select(F.col(column).alias("key")).filter("key is not null").distinct()
+    return keys.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+
+
+def publish_checked(spark: SparkSession, manifest_path: str, versions: Mapping[str, str], changed: Mapping[str, DataFrame] | None = None,
+                    foreign_keys=FOREIGN_KEYS) -> DataFrame:
+    """K3: check staged tables in the order of their foreign keys, then publish them together.
+
+    A child's keys must be in its parent: the staged one, else the one that is
+    published.  `changed` has the rows of a child that are new in this run, where
+    only these need to be checked (a parent whose keys never go away).  On a key
+    that is not found nothing is published: the manifest stays as it was, and the
+    staged folders are kept for a look.  Returns the manifest's rows in the order
+    of the check."""
+    from .keyed import read_at
+    order = publish_order(versions, foreign_keys)
+    for child in order:
+        for column, parent, parent_column in foreign_keys.get(child, ()):
+            path = versions.get(parent) or published_path(spark, manifest_path, parent)
+            if path is None:
+                raise ForeignKeyError(f"{child}.{column}: {parent} is neither staged nor published")
+            rows = (changed or {}).get(child)
+            rows = read_at(spark, versions[child]) if rows is None else rows
+            if column not in rows.columns:
+                continue
+            lost = orphans(rows, column, read_at(spark, path), parent_column)
+            found = lost.agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).first()
+            if found["n"]:
+                raise ForeignKeyError(f"{child}.{column}: {found['n']} keys are not in {parent}, such as {found['first']!r}; staged: {versions[child]}")
+    publish_run(spark, manifest_path, dict(versions))
+    return spark.createDataFrame([(i, t, versions[t]) for i, t in enumerate(order)], "position int, table_name string, path string")
 
 
 def append_table(df: DataFrame, path: str) -> None:

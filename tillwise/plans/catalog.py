@@ -538,4 +538,5 @@ def bundle_summary(spark, sf_dir):
     return SC.bundle_summary(_forecast(spark, sf_dir), _scenario(spark, sf_dir), _bundle_long(spark, sf_dir))
 from . import catalog_ops  # noqa: E402,F401
 from . import catalog_more  # noqa: E402,F401
+from . import catalog_uploads  # noqa: E402,F401
 from . import forecast_sql  # noqa: E402,F401

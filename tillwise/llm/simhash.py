@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.common import fresh, id_text, written
+from tillwise.llm.common import bitmap_test, fresh, id_text, written
 from tillwise.llm.graph import components
 
 SHINGLE_WORDS = 4
@@ -50,6 +50,8 @@ GENERATOR = 0b101011100011
 
 #: Fingerprints whose keys are made at once.
 KEY_ROWS = 1024
+#: Bits of the maps that spare shuffling rows that no join wants (4 MB).
+MAP_BITS = 25
 
 _LOWER = bytes(range(256)).translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
 
@@ -143,13 +145,26 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _with_keys(prints: DataFrame) -> DataFrame:
+def _folded(key):
+    """Number or column: keys so folded that their low bits hold all of them (keys are not hashes)."""
+    if isinstance(key, Column):
+        return key.bitwiseXOR(F.shiftrightunsigned(key, 17)).bitwiseXOR(F.shiftrightunsigned(key, 34))
+    return key ^ key >> 17 ^ key >> 34
+
+
+def _with_keys(prints: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """(key, fp): the keys of all fingerprints; with `among`, few others than those in its `key`."""
+    test = bitmap_test(among.select(_folded(F.col("key")).alias("key")), "key", MAP_BITS) if among is not None else None
+
     def run(batches):
         for batch in batches:
             whole = batch.column(0).to_numpy(zero_copy_only=False)
             for at in range(0, len(whole), KEY_ROWS):
                 fp = whole[at: at + KEY_ROWS]
                 row, key = keys_of(fp.view(np.uint64))
+                if test:
+                    wanted = test(_folded(key))
+                    row, key = row[wanted], key[wanted]
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row])], ["key", "fp"])
     return prints.select("fp").mapInArrow(run, "key bigint, fp bigint")
 
@@ -165,10 +180,10 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits > 4:
         raise ValueError("the keys find links of up to 4 bits")
     # a print makes some 160 rows: the few megabytes of prints are spread over all tasks first
-    keys = _with_keys(prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
-    hubs = written(keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).where("n > 1"), "simhash-hubs")
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    hubs = written(_with_keys(spread).groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n")).where("n > 1"), "simhash-hubs")
     large = F.col("n") > 2
-    members = written(keys.join(hubs.where(large), "key").where("fp <> low and fp <> high"), "simhash-buckets")
+    members = written(_with_keys(spread, hubs.where(large)).join(hubs.where(large), "key").where("fp <> low and fp <> high"), "simhash-buckets")
     linked = lambda a, b: _bits(F.col(a), F.col(b)) <= max_bits
     spokes = (
         hubs.where(linked("low", "high")).select(F.col("high").alias("u"), F.col("low").alias("v"))
@@ -210,8 +225,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     Of several rows with that id, in the component, the text with the least hash stays, once.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min("text_hash").alias("stay_hash")).select(F.col("doc_id").alias("stay_id"), "stay_hash")
-    hashed = fresh(docs, "text_hash")
-    with_hash = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    left = with_hash.join(stay, with_hash[id_col].eqNullSafe(stay["stay_id"]) & (with_hash[hashed] == stay["stay_hash"]), "left_semi")
-    return left.dropDuplicates([id_col, hashed]).drop(hashed)
+    rows = written(found.groupBy("root", "doc_id", "text_hash").agg(F.first("component_id").alias("component_id"), F.count("*").alias("n")), "simhash-decided")
+    stay = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.min(F.struct("text_hash", "n")).alias("stays"))
+    stay = written(stay.select(F.col("doc_id").alias("stay_id"), "stays.*"), "simhash-stay")
+    # documents are told by id and text; only those that go or are repeated meet their like, all others stay where they are
+    told = lambda i, h: F.xxhash64(i, h)
+    once = stay.where("n = 1").select("stay_id", F.col("text_hash").alias("stay_hash"))
+    unsure = rows.join(once, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("text_hash") == F.col("stay_hash")), "left_anti")
+    test = bitmap_test(unsure.select(told(F.col("doc_id"), F.col("text_hash")).alias("told")), "told", MAP_BITS)
+
+    @F.arrow_udf(T.BooleanType())
+    def may_go(values: pa.Array) -> pa.Array:
+        return pa.array(test(values.to_numpy(zero_copy_only=False)))
+    hashed, flag = fresh(docs, "text_hash"), fresh(docs, "may_go")
+    with_hash = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).withColumn(flag, may_go(told(F.col(id_col), F.col(hashed))))
+    asked = with_hash.where(F.col(flag))
+    left = asked.join(stay, asked[id_col].eqNullSafe(stay["stay_id"]) & (asked[hashed] == stay["text_hash"]), "left_semi").dropDuplicates([id_col, hashed])
+    return with_hash.where(~F.col(flag)).unionByName(left).drop(hashed, flag)

@@ -73,10 +73,25 @@ def test_leaks_in_parts(spark, monkeypatch):
     docs = spark.createDataFrame([(i, prose(i, 60, 2000) + " " + t) for i, t in ITEMS if t], "doc_id long, text string")
     whole = {tuple(r[:2]): round(r.score, 6) for r in decontaminate.find_leaks(docs, items).collect()}
     monkeypatch.setattr(decontaminate, "PART_ITEMS", 8)
-    assert len(decontaminate.indexes(items)) > 2
+    assert len(list(decontaminate.indexes(items))) > 2
     assert {tuple(r[:2]): round(r.score, 6) for r in decontaminate.find_leaks(docs, items).collect()} == whole and len(whole) >= 30
 
 
+def test_leaks_do_not_depend_on_size_or_files(spark, monkeypatch):
+    """600 items, which are split into parts, in two file layouts; question and answer of an item stand some hundred words apart."""
+    rows = [(i, prose(3000 + i, 12, 3000) + "\n" + prose(4000 + i, 12, 3000)) for i in range(599)] + [(599, prose(5000, 300, 3000) + "\n" + prose(5001, 300, 3000))]
+    texts = [q + " " + prose(7000 + i, 250, 3000) + " " + a for i, (q, a) in ((i, rows[i][1].split("\n")) for i in range(0, 599, 60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for items in (rows, rows[300:] + rows[:300]):
+        frame = spark.createDataFrame(items, "item_id long, text string").repartition(1 + len(found) * 5)
+        found.append(sorted(tuple(r) for r in decontaminate.find_leaks(docs, frame).collect()))
+    assert found[0] == found[1] and len(found[0]) == len(texts)
+    monkeypatch.setattr(decontaminate, "CELLS", 1)
+    monkeypatch.setattr(decontaminate, "PART_ITEMS", 10 ** 6)
+    assert sorted(tuple(r) for r in decontaminate.find_leaks(docs, frame).collect()) == found[0]
+
+
 # ---- chat ---------------------------------------------------------------------------------
 
 TURNS = [
@@ -140,17 +155,14 @@ def brute_rule(url):
 
 
 def brute_mined(pages, labels):
-    """Rules by counting every token set of up to MAX_TOKENS in labelled pages."""
-    tokens = dict(pages)
-    seen = [(frozenset(tokens[d]), q == 0 or t == 1) for d, q, t in labels if d in tokens]
-    least = -(-urls.MIN_SUPPORT * len(seen) // 1)
-    all_, bad = Counter(), Counter()
-    for held, is_bad in seen:
-        for n in range(1, urls.MAX_TOKENS + 1):
-            for c in itertools.combinations(sorted(held), n):
-                all_[c] += 1
-                bad[c] += is_bad
-    return [set(c) for c in all_ if bad[c] >= max(1, least) and bad[c] / all_[c] >= urls.MIN_CONFIDENCE]
+    """Rules by counting every token set of bad labelled pages."""
+    tokens = defaultdict(list)
+    for i, t in pages:
+        tokens[i].append(frozenset(t))
+    seen = [(held, q == 0 or t == 1) for d, q, t in labels for held in tokens.get(d, ())]
+    bad = Counter(c for held, is_bad in seen if is_bad for n in range(1, len(held) + 1) for c in itertools.combinations(sorted(held), n))
+    often = {c: n for c, n in bad.items() if n >= urls.MIN_PAGES}
+    return [set(c) for c, n in often.items() if n / sum(set(c) <= held for held, _ in seen) >= urls.MIN_CONFIDENCE]
 
 
 def test_url_rules(spark):
@@ -174,14 +186,52 @@ def test_url_mining(spark, sf):
     verdicts = {h + p: v for h, p, v in urls.RULES}
     got = {r.page_id: r for r in E.queries()["op8_url_filters"](spark, sf).collect()}
     assert len(got) == len(pages)
-    mined = 0
     for r in pages:
         host, path, rule = brute_rule(r.url)
         hit = any(x <= set(r.tokens) for x in rules)
-        mined += hit and rule is None
         assert (got[r.page_id].host, got[r.page_id].path, got[r.page_id].rule) == (host, path, rule)
         assert got[r.page_id].verdict == verdicts.get(rule, "block" if hit else "allow")
-    assert mined
+
+
+def url_fixture():
+    """A bad host far below one page in a hundred, tokens that are bad only four together, one bad page too few, null and repeated labels."""
+    urls_, labels = [], []
+
+    def add(url, bad, n=1):
+        for _ in range(n):
+            labels.append((len(urls_), 0 if bad else 1, 0))
+            urls_.append(url)
+    add("http://spam.example/a", True, 12)
+    add("http://few.example/a", True, 9)
+    for left in range(5):
+        parts = [p for i, p in enumerate("wxyz") if i != left]
+        add("https://shop.example/" + "/".join(parts), left == 4, 12)
+    add("https://fine.example/p/q?id=1#top", False, 2500)
+    urls_ += ["http://spam.example/other", "https://shop.example/z/y/x/w/new", "https://shop.example/x/y/z", "http://few.example/b", None, "no url"]
+    labels += [(0, None, 1), (None, 0, 1), (3, 0, None), (10 ** 9, 0, 0), (len(urls_) - 1, None, None)]
+    return list(enumerate(urls_)), labels
+
+
+def test_url_mining_decides(spark):
+    pages, labels = url_fixture()
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    known = frame.select("page_id", urls.tokens_of(urls.F.col("url")).alias("tokens")).collect()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = brute_mined([(r.page_id, r.tokens) for r in known], labels)
+    assert any(len(r) >= 4 for r in rules) and {"host:spam"} in rules and not any("host:few" in r for r in rules)
+    got = {r.page_id: r for r in urls.judge(frame, marks).collect()}
+    verdicts = {h + p: v for h, p, v in urls.RULES}
+    for r in known:
+        rule = brute_rule(pages[r.page_id][1])[2]
+        assert got[r.page_id].verdict == verdicts.get(rule, "block" if any(x <= set(r.tokens) for x in rules) else "allow"), pages[r.page_id]
+    at = len(pages) - 6
+    assert [got[at + k].verdict for k in range(6)] == ["block", "block", "allow", "allow", "allow", "allow"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER, toxic INTEGER)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+    con.executemany("INSERT INTO labels VALUES (?, ?, ?)", labels)
+    assert sorted(con.execute(E.oracle_sql()["op8_url_filters"]).fetchall()) == sorted((i, r.host, r.path, r.rule, r.verdict) for i, r in got.items())
 
 
 # ---- pipeline and catalogue ---------------------------------------------------------------
@@ -241,5 +291,5 @@ def test_url_rule_of_four_tokens(spark):
     urls_ = [bad] * 3 + [u for u in good for _ in range(3)]
     pages = spark.createDataFrame([*enumerate(urls_), (99, bad + "/e")], "page_id long, url string")
     labels = spark.createDataFrame([(i, int(u != bad), 0) for i, u in enumerate(urls_)], "doc_id long, quality int, toxic int")
-    got = {r.page_id: r.verdict for r in urls.judge(pages, labels).collect()}
+    got = {r.page_id: r.verdict for r in urls.judge(pages, labels, min_pages=3).collect()}
     assert got == {i: "block" if i < 3 or i == 99 else "allow" for i in got} and len(got) == 16

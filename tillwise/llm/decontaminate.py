@@ -12,9 +12,10 @@ found in the passage, for the question (the first line, or the first half of a
 text of one line) and for the answer (the rest), must reach MIN_OVERLAP each.
 
 The index that a task holds is bounded: a benchmark above PART_ITEMS items or
-PART_BYTES bytes is dealt by hash to several parts, each collected and
-broadcast on its own, with term statistics over all items; each part is one
-more pass over the passages.
+PART_BYTES bytes is dealt by a hash of the item to several parts, each collected
+and broadcast on its own, with term statistics and passage width of all items;
+each part is one more pass over the passages.  Results depend neither on the
+number of parts nor on the benchmark's files.
 
 Words are ASCII-lower-cased and split at ASCII characters that are no letter
 or digit.  Defined cases: null or empty texts hold no passage and items
@@ -25,6 +26,8 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +43,8 @@ SHINGLE_WORDS = 5
 BLOCK_ITEMS = 4
 PART_ITEMS = 512
 PART_BYTES = 4 << 20
+#: Cells of a text whose bounds are held at once.
+CELLS = 4096
 
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 _LEAK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()),
@@ -71,7 +76,7 @@ def postings(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
         F.when((F.size("q") > 0) & (F.size("a") > 0), F.col("q")).otherwise(F.slice("words", F.lit(1), half)).alias("question"),
         F.when((F.size("q") > 0) & (F.size("a") > 0), F.col("a")).otherwise(F.slice("words", half + 1, F.size("words"))).alias("answer"))
         .where(F.size("words") > 0).withColumn("number", F.monotonically_increasing_id())
-        .withColumn("part", F.pmod(F.xxhash64("number"), F.lit(parts)).cast("int")), "benchmark-items")
+        .withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(parts)).cast("int")), "benchmark-items")
     terms = known.select("number", "part", F.size("words").alias("len"), F.explode("words").alias("term")).groupBy("number", "part", "len", "term").agg(F.count("*").alias("tf"))
     spread = terms.groupBy("term").agg(F.count("*").alias("df"))
     whole = known.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean")).first()
@@ -84,7 +89,7 @@ def postings(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
 class Index:
     """One part of the benchmark, as arrays: what a task needs to score and verify."""
 
-    def __init__(self, items, weights) -> None:
+    def __init__(self, items, weights, cell: int) -> None:
         self.vocab = {t: i for i, t in enumerate(sorted({w[1].encode() for w in weights}))}
         number = {r.number: i for i, r in enumerate(items)}
         self.ids = [r.item_id for r in items]
@@ -102,7 +107,7 @@ class Index:
             w = np.array(self.weights[i])[order]
             self.weights[i] = w / w.sum()
             np.maximum.at(self.greatest[:, i // BLOCK_ITEMS], self.terms[i], self.weights[i].astype(np.float32))
-        self.cell = max((len(r.words) for r in items), default=1)
+        self.cell = cell
 
     def _ids(self, words) -> list[int]:
         return [self.vocab[w.encode()] for w in words]
@@ -116,6 +121,17 @@ class Index:
         wanted = {tuple(part[k: k + n]) for k in range(len(part) - n + 1)}
         return len(wanted & held) / len(wanted)
 
+    def _verify(self, passage: np.ndarray, block: int, best: dict[int, tuple]) -> None:
+        """Keep the items of a block that the passage retrieves and that stand the verification."""
+        there = np.unique(passage)
+        for i in range(block * BLOCK_ITEMS, min(len(self.ids), (block + 1) * BLOCK_ITEMS)):
+            score = round(float(self.weights[i][np.isin(self.terms[i], there, assume_unique=True)].sum()), 9)
+            if score >= THRESHOLD:
+                held = passage.tolist()
+                overlaps = [self.overlap(p, held) for p in self.parts[i]]
+                if min(overlaps) >= MIN_OVERLAP:
+                    best[i] = max(best.get(i, (0.0,)), (score, *overlaps))
+
     def search(self, text: str) -> list[dict]:
         """Items that the text's passages retrieve and that stand the verification, best score first by item."""
         words = words_of(text)
@@ -127,29 +143,28 @@ class Index:
         pairs = np.unique(at // self.cell * v + ids[at])
         cell = pairs // v
         first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-        bound = np.zeros((-(-len(ids) // self.cell) + 1, self.greatest.shape[1]), np.float32)
-        bound[cell[first]] = np.add.reduceat(self.greatest[pairs % v], first, axis=0)
         best: dict[int, tuple] = {}
-        # the slack covers rounding in single precision, so that no item is lost
-        for c, block in zip(*np.nonzero(bound[:-1] + bound[1:] >= THRESHOLD - 1e-4)):
-            passage = ids[c * self.cell: (c + 2) * self.cell]
-            there = np.unique(passage)
-            for i in range(block * BLOCK_ITEMS, min(len(self.ids), (block + 1) * BLOCK_ITEMS)):
-                score = round(float(self.weights[i][np.isin(self.terms[i], there, assume_unique=True)].sum()), 9)
-                if score >= THRESHOLD:
-                    held = passage.tolist()
-                    overlaps = [self.overlap(p, held) for p in self.parts[i]]
-                    if min(overlaps) >= MIN_OVERLAP:
-                        best[i] = max(best.get(i, (0.0,)), (score, *overlaps))
+        # a long text's bounds are worked out for some cells at a time; the last cell of one run is the first of the next
+        for lo in range(0, -(-len(ids) // self.cell), CELLS):
+            run = first[(cell[first] >= lo) & (cell[first] <= lo + CELLS)]
+            if not len(run):
+                continue
+            last = np.searchsorted(cell, lo + CELLS, "right")
+            bound = np.zeros((CELLS + 1, self.greatest.shape[1]), np.float32)
+            bound[cell[run] - lo] = np.add.reduceat(self.greatest[pairs[run[0]: last] % v], run - run[0], axis=0)
+            # the slack covers rounding in single precision, so that no item is lost
+            for c, block in zip(*np.nonzero(bound[:-1] + bound[1:] >= THRESHOLD - 1e-4)):
+                self._verify(ids[(lo + c) * self.cell: (lo + c + 2) * self.cell], block, best)
         return [{"item_id": self.ids[i], "score": s, "question_overlap": q, "answer_overlap": a} for i, (s, q, a) in sorted(best.items())]
 
 
-def indexes(items: DataFrame, **cols) -> list[Index]:
-    """The benchmark as index parts of bounded size."""
+def indexes(items: DataFrame, **cols) -> Iterator[Index]:
+    """The benchmark as index parts of bounded size, one at a time; passages are as wide for all of them."""
     known, weights = postings(items, **cols)
-    parts = sorted(r.part for r in known.select("part").distinct().collect())
-    return [Index(known.where(F.col("part") == p).orderBy("number").collect(), [tuple(r) for r in weights.where(F.col("part") == p).select("number", "term", "weight").collect()])
-            for p in parts]
+    cell = known.agg(F.max(F.size("words"))).first()[0] or 1
+    for p in sorted(r.part for r in known.select("part").distinct().collect()):
+        rows = known.where(F.col("part") == p).orderBy(F.asc_nulls_first("item_id"), "words").collect()
+        yield Index(rows, [tuple(r) for r in weights.where(F.col("part") == p).select("number", "term", "weight").collect()], cell)
 
 
 def leaks(text: Column, items: DataFrame, **cols) -> Column:

@@ -32,7 +32,7 @@ def _found(name: str, pattern: str) -> str:
 def secrets_sql() -> str:
     assign = secrets.ASSIGN + secrets.ASSIGNED
     parts = [_found("m_assign", assign), _found("m_access", secrets.ACCESS), _found("m_hex", secrets.HEX)]
-    allowed = " OR ".join(f"regexp_matches(m, {_text(p)})" for p in secrets.ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(m, {_text(p)})" for p in secrets.ALLOWED[:-1])
     hot = []
     for name, (chars, width, bits, must) in secrets.CLASSES.items():
         terms = "[" + ", ".join(map(str, secrets.terms(width))) + "]"
@@ -43,7 +43,7 @@ h_{name} AS (
   SELECT rid, s, m, k FROM (
     SELECT rid, s, m, k, list_sum(list_transform(list_distinct(string_split(substr(m, CAST(k + 1 AS BIGINT), {width}), '')),
              lambda c: ({terms})[{width} - length(replace(substr(m, CAST(k + 1 AS BIGINT), {width}), c, '')) + 1])) AS total
-    FROM w_{name}) WHERE total <= {secrets.hot_limit(width, bits)}
+    FROM w_{name}) WHERE total <= {secrets.hot_limit(width, bits)} AND NOT regexp_matches(substr(m, CAST(k + 1 AS BIGINT), {width}), {_text(secrets.WORDS)})
 ),
 x_{name} AS (SELECT rid, s + min(k) AS s, s + max(k) + {width} AS e, substr(any_value(m), CAST(min(k) + 1 AS BIGINT), CAST(max(k) + {width} - min(k) AS BIGINT)) AS m FROM h_{name} GROUP BY rid, s)""")
         hot.append(f"SELECT rid, s, e FROM x_{name} WHERE NOT ({allowed})")
@@ -104,18 +104,16 @@ def urls_sql() -> str:
     for h, p, _ in sorted(urls.RULES, key=lambda r: len(r[0] + r[1])):
         rule = f"CASE WHEN (host = {_text(h)} OR ends_with(host, {_text('.' + h)})) AND starts_with(path, {_text(p)}) THEN {_text(h + p)} ELSE {rule} END"
     verdict = "CASE rule " + " ".join(f"WHEN {_text(h + p)} THEN {_text(v)}" for h, p, v in urls.RULES) + " END"
-    sets = ["SELECT rid, bad, [t] AS rule FROM u", "SELECT a.rid, a.bad, list_sort([a.t, b.t]) FROM u a JOIN u b ON a.rid = b.rid AND a.t < b.t",
-            "SELECT a.rid, a.bad, list_sort([a.t, b.t, c.t]) FROM u a JOIN u b ON a.rid = b.rid AND a.t < b.t JOIN u c ON b.rid = c.rid AND b.t < c.t"][: urls.MAX_TOKENS]
     return f"""WITH p0 AS (SELECT page_id, url, {tidy} AS tidy, coalesce(regexp_extract({lower}, '(?s)^.*?://([^/?#]*)', 1), '') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 p AS (SELECT page_id, host, path, {rule} AS rule, CASE WHEN NOT contains(tidy, '://') THEN [] ELSE list_distinct(list_concat(
         {tagged('host:', '(?s)^.*?://([^/?#]*)', '[.]')}, {tagged('path:', '(?s)^.*?://[^/?#]*(/[^?#]*)', '[/.]')}, {names},
         CASE WHEN {part('(?s)^.*?://[^#]*#(.+)$')} <> '' THEN ['fragment'] ELSE [] END)) END AS tokens FROM p0),
 seen AS (SELECT row_number() OVER () AS rid, tokens, coalesce(l.quality = 0 OR l.toxic = 1, l.quality = 0, l.toxic = 1, FALSE) AS bad FROM p JOIN labels l ON l.doc_id = p.page_id),
-u AS (SELECT rid, bad, unnest(tokens) AS t FROM seen),
-sets AS ({' UNION ALL '.join(sets)}),
-mined AS (SELECT rule FROM sets GROUP BY rule HAVING count(*) FILTER (bad) >= greatest(1, ceil({urls.MIN_SUPPORT} * (SELECT count(*) FROM seen)))
-          AND count(*) FILTER (bad) / count(*) >= {urls.MIN_CONFIDENCE})
+sets AS (SELECT list_filter(tokens, lambda x, i: (b >> (i - 1)) & 1 = 1) AS rule
+  FROM (SELECT list_sort(tokens) AS tokens, unnest(range(1, CAST(2 ** len(tokens) AS BIGINT))) AS b FROM seen WHERE bad AND len(tokens) > 0)),
+often AS (SELECT rule, count(*) AS n FROM sets GROUP BY rule HAVING count(*) >= {urls.MIN_PAGES}),
+mined AS (SELECT o.rule FROM often o JOIN seen s ON list_has_all(s.tokens, o.rule) GROUP BY o.rule, o.n HAVING o.n / count(*) >= {urls.MIN_CONFIDENCE})
 SELECT page_id, host, path, rule, coalesce({verdict}, CASE WHEN EXISTS (SELECT 1 FROM mined WHERE list_has_all(p.tokens, mined.rule)) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p"""
 

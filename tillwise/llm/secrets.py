@@ -107,17 +107,17 @@ def _counted(x: Column, window: int) -> Column:
     return F.struct(x["start"].alias("start"), x["match"].alias("match"), x["codes"].alias("codes"), counts.alias("counts"))
 
 
-def _hot_span(x: Column, window: int, bits: float, by_window: bool = False) -> Column:
+def _hot_span(x: Column, window: int, bits: float) -> Column:
     """(start, end, match) from the first to the last hot window of a candidate; nulls where none is hot.
 
-    With `by_window`, windows that hold one of the WORDS are not hot.
+    Windows that hold one of the WORDS are not hot.
     """
     term = F.array(*[F.lit(t).cast("long") for t in terms(window)])
     limit = F.lit(hot_limit(window, bits)).cast("long")
     sum_first = F.aggregate(x["counts"], F.lit(0).cast("long"), lambda s, c: s + F.get(term, c))
-    plain = ~x["match"].rlike(WORDS) if by_window else F.lit(True)
+    plain = ~x["match"].rlike(WORDS)
     fits = lambda total, at: (total <= limit) & (plain | ~F.substring(x["match"], at + 1, F.lit(window)).rlike(WORDS))
-    hot = lambda total, at, was: F.when(fits(total, at) if by_window else total <= limit, at).otherwise(was)
+    hot = lambda total, at, was: F.when(fits(total, at), at).otherwise(was)
     nothing = F.lit(None).cast("int")
     start = F.struct(x["counts"].alias("counts"), sum_first.alias("total"), hot(sum_first, F.lit(0), nothing).alias("lo"), hot(sum_first, F.lit(0), nothing).alias("hi"))
 
@@ -136,19 +136,19 @@ def _hot_span(x: Column, window: int, bits: float, by_window: bool = False) -> C
         F.substring(x["match"], s["lo"] + 1, s["hi"] + window - s["lo"]).alias("match")))
 
 
-def entropy_spans(text: Column, base: Column, by_window: bool = False) -> Column:
+def entropy_spans(text: Column, base: Column) -> Column:
     """Spans of candidate strings with a hot window, without allow-listed ones and those inside `base`.
 
-    With `by_window`, a word of the allow-list takes out the windows that hold it, not the span around it.
+    A word of the allow-list takes out the windows that hold it, not the span around it.
     """
     found = []
     for chars, window, bits, must in CLASSES.values():
         run = f"{chars}{{{window},}}"
         candidates = F.filter(_places(text, run), lambda p: p["match"].rlike(must))
-        for step in (_coded, _numbered, lambda x: _counted(x, window), lambda x: _hot_span(x, window, bits, by_window)):
+        for step in (_coded, _numbered, lambda x: _counted(x, window), lambda x: _hot_span(x, window, bits)):
             candidates = F.transform(candidates, step)
         hot = F.filter(candidates, lambda h: h["start"].isNotNull())
-        for pattern in ALLOWED[:-1] if by_window else ALLOWED:
+        for pattern in ALLOWED[:-1]:
             hot = F.filter(hot, lambda h: ~h["match"].rlike(pattern))
         hot = F.filter(hot, lambda h: ~F.exists(base, lambda b: (b["start"] <= h["start"]) & (b["end"] >= h["end"])))
         found.append(F.when(text.rlike(run), _as_spans(hot, "entropy")).otherwise(_none()))
@@ -160,8 +160,8 @@ def _told(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _with_spans(df: DataFrame, text: Column, base: str, spans: str, by_window: bool = False) -> DataFrame:
-    return df.withColumn(base, base_spans(text)).withColumn(spans, F.sort_array(F.concat(F.col(base), entropy_spans(text, F.col(base), by_window))))
+def _with_spans(df: DataFrame, text: Column, base: str, spans: str) -> DataFrame:
+    return df.withColumn(base, base_spans(text)).withColumn(spans, F.sort_array(F.concat(F.col(base), entropy_spans(text, F.col(base)))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,9 +183,9 @@ def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
     return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
 
 
-def mask_secrets(docs: DataFrame, text_col: str = "text", by_window: bool = False) -> DataFrame:
-    """All documents and columns, with secrets masked in the text (texts without one are unchanged); `by_window` as in entropy_spans."""
+def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """All documents and columns, with secrets masked in the text (texts without one are unchanged)."""
     base, spans = fresh(docs, "secret_base"), fresh(docs, "secret_spans")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = _with_spans(docs, text, base, spans, by_window)
+    out = _with_spans(docs, text, base, spans)
     return out.withColumn(text_col, F.when(F.size(spans) > 0, masked(text, F.col(spans))).otherwise(F.col(text_col))).drop(base, spans)

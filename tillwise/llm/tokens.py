@@ -1,14 +1,17 @@
 """Public byte-level BPE tokenizers, loaded once in each worker.
 
 `byte_bpe_50k` is read from its rank file: the same vocabulary and merges as
-its JSON form, so the same ids, several times faster.  Strings of special
-tokens inside a text are ordinary text.
+its JSON form, so the same ids, several times faster.  The JSON's added tokens
+(`<|endoftext|>`) are taken from it, and their strings inside a text become
+their ids, as the JSON's own reading has it.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import json
+import os
 
 import numpy as np
 import public_tokenizers
@@ -19,13 +22,24 @@ TOKENIZER = "byte_bpe_50k.tiktoken"
 CHUNK_CHARS = 100_000
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """String and id of the added tokens, from the JSON form beside a rank file."""
+    form = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(form):
+        return {}
+    with open(form, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", ())}
+
+
 @functools.lru_cache(maxsize=2)
 def _loaded(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-    lengths[list(ranks.values())] = [len(t) for t in ranks]
-    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
+    added = added_tokens(path)
+    sizes = {i: len(t) for t, i in ranks.items()} | {i: len(t.encode()) for t, i in added.items()}
+    lengths = np.zeros(max(sizes) + 1, np.int64)
+    lengths[list(sizes)] = list(sizes.values())
+    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added), lengths
 
 
 def default_path() -> str:
@@ -50,8 +64,8 @@ def encode(text: str, path: str) -> np.ndarray:
     """Token ids of a whole text (unsigned 32-bit)."""
     encoding = _loaded(path)[0]
     if len(text) <= CHUNK_CHARS:
-        return encoding.encode_to_numpy(text, disallowed_special=())
-    return np.concatenate([encoding.encode_to_numpy(c, disallowed_special=()) for c in chunks(text)])
+        return encoding.encode_to_numpy(text, allowed_special="all")
+    return np.concatenate([encoding.encode_to_numpy(c, allowed_special="all") for c in chunks(text)])
 
 
 def byte_lengths(path: str) -> np.ndarray:

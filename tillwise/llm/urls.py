@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 #: (host, path prefix, verdict), fixed rules; a rule is written host + path.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-MIN_SUPPORT = 0.01
+#: A rule needs this many bad labelled pages that hold all its tokens, however many pages there are.
+MIN_PAGES = 10
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 3
 #: Keys over which the pages of one token set are dealt for the last join.
 SALTS = 64
 _BLOCK = "label=block"
@@ -65,14 +65,15 @@ def tokens_of(url: Column) -> Column:
         F.when(F.regexp_extract(tidy, r"(?s)^.*?://[^#]*#(.+)$", 1) != "", F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(tokens, anchor): antecedents of rules that end in block, with the rarest token of each."""
     bad = F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.col("quality") == 0, F.col("toxic") == 1, F.lit(False))
     seen = pages.join(labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), "page_id").select(
         F.when(F.col("bad"), F.array_append("tokens", F.lit(_BLOCK))).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(seen)
-    found = model.associationRules.where(F.col("consequent")[0] == _BLOCK).select(F.sort_array("antecedent").alias("rule"))
-    rules = found if max_tokens is None else found.where(F.size("rule") <= max_tokens)
+    # FP-growth takes a share and rounds the count up: half a page less is on the safe side of rounding
+    share = min(1.0, (min_pages - 0.5) / max(seen.count(), 1))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(seen)
+    rules = model.associationRules.where(F.col("consequent")[0] == _BLOCK).select(F.sort_array("antecedent").alias("rule"))
     singles = model.freqItemsets.where("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
     filed = rules.select("rule", F.explode("rule").alias("token")).join(singles, "token")
     return filed.groupBy("rule").agg(F.min_by("token", F.struct("freq", "token")).alias("anchor"))

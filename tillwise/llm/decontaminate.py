@@ -145,12 +145,13 @@ class Index:
         first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
         best: dict[int, tuple] = {}
         # a long text's bounds are worked out for some cells at a time; the last cell of one run is the first of the next
-        for lo in range(0, -(-len(ids) // self.cell), CELLS):
+        cells = -(-len(ids) // self.cell)
+        for lo in range(0, cells, CELLS):
             run = first[(cell[first] >= lo) & (cell[first] <= lo + CELLS)]
             if not len(run):
                 continue
             last = np.searchsorted(cell, lo + CELLS, "right")
-            bound = np.zeros((CELLS + 1, self.greatest.shape[1]), np.float32)
+            bound = np.zeros((min(CELLS, cells - lo) + 1, self.greatest.shape[1]), np.float32)
             bound[cell[run] - lo] = np.add.reduceat(self.greatest[pairs[run[0]: last] % v], run - run[0], axis=0)
             # the slack covers rounding in single precision, so that no item is lost
             for c, block in zip(*np.nonzero(bound[:-1] + bound[1:] >= THRESHOLD - 1e-4)):

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.llm import graph
-from tillwise.llm.common import blocks, id_text, mixed, ngram_hashes, powers, span_hashes, words_of, written
+from tillwise.llm.common import bitmap_test, blocks, id_text, mixed, ngram_hashes, powers, span_hashes, words_of, written
 
 SHINGLE_WORDS = 5
 MIN_WORDS = 50
@@ -164,14 +164,20 @@ def _sums(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, powers(_INVERSE, len(grams) + 1)
 
 
-def _signatures(texts: DataFrame) -> DataFrame:
-    """A row per run of a text: key, tid, place (first start, then 6 bits each: last start and spot, from the first), content."""
+def _signatures(texts: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """A row per run of a text: key, tid, place (first start, then 6 bits each: last start and spot, from the first), content;
+    with `among`, few others than those whose key is in it."""
+    test = bitmap_test(among, "key", MAP_BITS) if among is not None else None
+
     def run(batches):
         for batch in batches:
             tid = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, data, at in blocks(batch.column(1)):
                 grams, first, last = shingles_of(data, at)
                 key, text, lo, hi, spot = runs_of(grams, first, last)
+                if test:
+                    wanted = test(key.view(np.int64))
+                    key, text, lo, hi, spot = (x[wanted] for x in (key, text, lo, hi, spot))
                 place = lo << 12 | hi - lo << 6 | spot - lo
                 sums, back = _sums(grams)
                 head = first[text] + lo
@@ -439,10 +445,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # texts are numbered in the order of their least document ids: small numbers shuffle well, and the least number is the class
     classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n"), F.max("n_words").alias("n_words"))
                       .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
-    runs = _signatures(read)
     # a written table, so that both sides come straight from a shuffle and a hot signature's part can be split
-    keys = written(_shared_by(runs).select("key"), "passages-keys")
-    shared = runs.join(keys.hint("merge"), "key")
+    keys = written(_shared_by(_signatures(read)).select("key"), "passages-keys")
+    shared = _signatures(read, keys).join(keys.hint("merge"), "key")
     members = written(shared.join(classes.select("tid", "number"), "tid").select("key", "content", F.col("number").alias("tid"), "place"), "passages-members")
     contents = _contents(members)
     by_text = contents.where("open").groupBy("tid").agg(F.collect_list(F.struct("run", "key", "place", "far", "hub")).alias("runs"))

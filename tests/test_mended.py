@@ -124,3 +124,17 @@ def test_ordinal_keeps_the_order(spark):
     rows = [(10 ** 12, 1, 5, 1.5), (3, 7, 2 * 10 ** 10, 104949.5), (3, 7, 2 * 10 ** 10, 104949.49), (3, 2, 9, 1.0), (2, 7, 1, 0.0)]
     df = spark.createDataFrame(rows, "o long, l int, p long, x double").select("*", ingest_ordinal("o", "l", "p", "x").alias("seq"))
     assert [tuple(r)[:4] for r in df.orderBy("seq").collect()] == sorted(rows)
+
+
+def test_one_extreme_value_leaves_no_deep_range(spark):
+    """Ranges follow ranks: with one value of 1e12, no range holds more than its share of the others."""
+    n = 6400
+    values = [(float(i * i % 7919) + i / 10, "g") for i in range(n)] + [(1e12, "g"), (-1e12, "g")]
+    df = spark.createDataFrame(values, "x double, g string")
+    held = df.select("g", F.lit("x").alias("metric"), F.col("x").alias("v"), F.lit(1).alias("c"))
+    depth = quality._ranges(held, ["g", "metric"], False).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert depth <= n * (1 / quality.RANGES + 2 / quality.ACCURACY) + 2
+    want = [float(np.quantile([v for v, _ in values], q)) for q in (0.25, 0.75)]
+    for by in ([], ["g"]):
+        got = quality._exact_quartiles(df, ["x"], by, ()).first()
+        assert [got.q1, got.q3] == pytest.approx(want)

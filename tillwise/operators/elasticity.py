@@ -49,7 +49,8 @@ def bundle_receipts(fact: DataFrame, bundles: DataFrame, strict: bool = False) -
         F.min_by("date", "seq").alias("date"),
     ).filter(F.col("__n") == 2).drop("__n")
     if strict:
-        sizes = fact.groupBy("receipt_no").agg(F.count_distinct("product_id").alias("__all"))
+        # only receipts that hold a pair are counted, so the fact is pruned to them before its shuffle
+        sizes = fact.join(per.select("receipt_no").distinct(), "receipt_no", "left_semi").groupBy("receipt_no").agg(F.count_distinct("product_id").alias("__all"))
         per = per.join(sizes.filter(F.col("__all") == 2).select("receipt_no"), "receipt_no", "left_semi")
     return per
 

@@ -1,11 +1,12 @@
 """Data-quality flags (D1-D7): IQR outlier flags, row removal, value log and
 the numeric-coercion report.
 
-Exact quartiles are spread out: values are counted (map-side first), distinct
-values are dealt to ranges by a histogram of fixed width, running counts of the
-ranges say in which range each of the two neighbours of a quartile lies, and
-only those ranges are ranked.  No task holds a group's values.  ``exact=False``
-uses the bounded ``percentile_approx`` sketch instead.
+Exact quartiles are spread out: values are counted (map-side first), a mergeable
+quantile sketch cuts each group into ranges of about equal depth, running counts
+of the ranges say in which of them each neighbour of a quartile lies, and these are
+cut again, LEVELS times in all, before the few values left are ranked.  Ranges follow
+the values' ranks, not their size, so one extreme value changes nothing.  No task holds
+a group's values.  ``exact=False`` uses the bounded ``percentile_approx`` sketch alone.
 """
 
 from __future__ import annotations
@@ -16,12 +17,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .common import fixed_broadcast
 
 METRICS = ("qty", "price", "line_total", "net_total")
 
 
-#: Ranges into which a group's value span is cut to find a quartile.
-RANGES = 1024
+#: Ranges into which a group's distinct values are cut, and how often.
+RANGES, LEVELS = 64, 2
+#: Accuracy of the sketch: a range is deeper than 1 / RANGES by 2 / ACCURACY at most.
+ACCURACY = 1024
+
+
+def _range_of(v: F.Column, splits: F.Column) -> F.Column:
+    """How many of the rising splits are below v, by halving."""
+    def among(lo: int, hi: int) -> F.Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v > splits[mid], among(mid + 1, hi)).otherwise(among(lo, mid))
+    return among(0, RANGES - 1)
+
+
+def _joined(df: DataFrame, few: DataFrame, keys, fixed: bool) -> DataFrame:
+    """Join on keys of which nulls match each other; `few` has a fixed number of rows where there are no groups."""
+    few = few.withColumnsRenamed({k: f"__{k}" for k in keys})
+    few = fixed_broadcast(few) if fixed else few
+    return df.join(few, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
+
+
+def _ranges(values: DataFrame, keys, fixed: bool) -> DataFrame:
+    """The values with the number of their range of about equal depth, among the values of the same keys."""
+    splits = values.groupBy(*keys).agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("splits"))
+    return _joined(values, splits, keys, fixed).withColumn("bucket", _range_of(F.col("v"), F.col("splits"))).drop("splits")
 
 
 def _exact_quartiles(df: DataFrame, metrics, by, log_metrics) -> DataFrame:
@@ -32,30 +59,31 @@ def _exact_quartiles(df: DataFrame, metrics, by, log_metrics) -> DataFrame:
         x = F.col(m).cast("double")
         values.append(F.struct(F.lit(m).alias("metric"), (F.when(x > 0, F.ln(x)) if m in log_metrics else x).alias("v")))
     long = df.select(*by, F.explode(F.array(*values)).alias("x")).select(*by, "x.metric", "x.v").filter(F.col("v").isNotNull())
-    keys = [*by, "metric"]
-    counted = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
-    span = counted.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    # one row per group and metric: nulls among the group columns match each other
-    on = counted.join(span.withColumnsRenamed({k: f"__{k}" for k in keys}),
-                      [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
-    bucket = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(RANGES - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * RANGES))).otherwise(F.lit(0)).cast("int")
-    on = on.withColumn("bucket", bucket)
-    # at most RANGES rows per group and metric
-    ranges = on.groupBy(*keys, "n", "bucket").agg(F.sum("c").alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = ranges.withColumn("before", before)
-    ranks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("n") - 1) * F.lit(q)).alias("at")) for q in (0.25, 0.75)]))
-    wanted = ranges.withColumn("r", ranks).select(*keys, "bucket", "before", F.col("c").alias("held"), "r.q", "r.at").filter(
-        (F.col("before") <= F.ceil("at")) & (F.col("before") + F.col("held") > F.floor("at")))
-    w = wanted.withColumnsRenamed({k: f"__{k}" for k in [*keys, "bucket"]})
-    inside = on.join(w, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in [*keys, "bucket"]])
-    below = F.coalesce(F.sum("c").over(Window.partitionBy(*keys, "q", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
-    ranked = inside.withColumn("below", below)
+    group, fixed = [*by, "metric"], not by
+    held = long.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("c"))
+    keys = group
+    for level in range(LEVELS):
+        held = _ranges(held, keys, fixed)
+        # at most RANGES rows for each of the keys
+        ranges = held.groupBy(*keys, *(["at"] if level else []), "bucket").agg(F.sum("c").alias("n"))
+        running = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        if level == 0:
+            ranges = ranges.withColumns({"below": running, "all": F.sum("n").over(Window.partitionBy(*keys))})
+            ranks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("all") - 1) * F.lit(q)).alias("at")) for q in (0.25, 0.75)]))
+            ranges = ranges.withColumn("r", ranks).select(*group, "bucket", "n", "below", "r.q", "r.at")
+        else:
+            ranges = ranges.withColumn("below", F.col("before") + running)
+        wanted = ranges.filter((F.col("below") <= F.ceil("at")) & (F.col("below") + F.col("n") > F.floor("at")))
+        wanted = wanted.select(*keys, "bucket", "below", *([] if level else ["q", "at"]))
+        held = _joined(held, wanted, [*keys, "bucket"], fixed).select(*group, "q", "at", F.col("below").alias("before"), "v", "c")
+        keys = [*group, "q", "before"]
+    below = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
+    ranked = held.withColumn("below", below)
     has = lambda rank: (F.col("below") <= rank) & (rank < F.col("below") + F.col("c"))
     pick = lambda rank: F.max(F.when(has(rank), F.col("v")))
-    two = ranked.groupBy(*keys, "q", "at").agg(pick(F.floor("at")).alias("a"), pick(F.ceil("at")).alias("b"))
+    two = ranked.groupBy(*group, "q", "at").agg(pick(F.floor("at")).alias("a"), pick(F.ceil("at")).alias("b"))
     value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))
-    return two.groupBy(*keys).agg(F.max(F.when(F.col("q") == 0.25, value)).alias("q1"), F.max(F.when(F.col("q") == 0.75, value)).alias("q3"))
+    return two.groupBy(*group).agg(F.max(F.when(F.col("q") == 0.25, value)).alias("q1"), F.max(F.when(F.col("q") == 0.75, value)).alias("q3"))
 
 
 def _quartiles(df: DataFrame, metrics, by, log_metrics, exact: bool) -> DataFrame:

@@ -153,6 +153,10 @@ def _orders(spark, sf_dir):
     return read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("receipt_no"), F.col("o_orderpriority").alias("category"), F.col("o_totalprice").alias("total"))
 
 
+def _changed(orders):
+    return orders.withColumns({"category": F.upper("category"), "total": 2 * F.col("total")})
+
+
 @register("append_table", _ORDER)
 def append_table(spark, sf_dir):
     path, o = _folder(spark, "append"), _orders(spark, sf_dir)
@@ -161,11 +165,12 @@ def append_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("replace_table", _ORDER + " WHERE o_orderkey % 3 = 0")
+@register("replace_table", "SELECT receipt_no, upper(category) AS category, 2 * total AS total FROM (" + _ORDER + ")")
 def replace_table(spark, sf_dir):
+    """The second load has the same receipts with other values."""
     path, o = _folder(spark, "replace"), _orders(spark, sf_dir)
     U.replace_table(o, path)
-    U.replace_table(o.filter("receipt_no % 3 = 0"), path)
+    U.replace_table(_changed(o), path)
     return spark.read.parquet(path)
 
 
@@ -176,15 +181,17 @@ def export_by_category(spark, sf_dir):
     return spark.read.csv(path, header=True, schema="receipt_no bigint, total double, category string").select("receipt_no", "category", "total")
 
 
-@register("publish_run", "SELECT 'fact' AS table_name, count(*) AS n_rows FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'dimension', count(*) FROM part")
+@register("publish_run", "SELECT 'fact' AS table_name, count(*) AS n_rows, CAST(2 * sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total FROM orders UNION ALL SELECT 'dimension', count(*), NULL FROM part")
 def publish_run(spark, sf_dir):
     """Two runs publish; readers see the tables of the newer one."""
     root = _folder(spark, "publish")
     o, p = _orders(spark, sf_dir), read_table(spark, sf_dir, "part")
-    for fact in (o, o.filter("receipt_no % 3 = 0")):
+    for fact in (o, _changed(o)):
         U.publish_run(spark, f"{root}/manifest", {"fact": U.write_version(fact, f"{root}/fact"), "dimension": U.write_version(p, f"{root}/dimension")})
-    count = lambda t: U.read_published(spark, f"{root}/manifest", t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
-    return count("fact").unionByName(count("dimension"))
+    def count(t, total):
+        rows = U.read_published(spark, f"{root}/manifest", t).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(total).cast("double").alias("total"))
+        return rows.select(F.lit(t).alias("table_name"), "n_rows", "total")
+    return count("fact", F.col("total").cast("decimal(14,2)")).unionByName(count("dimension", F.lit(None).cast("double")))
 
 
 @register("table_keys", q("", """

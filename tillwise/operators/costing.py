@@ -2,8 +2,9 @@
 
 A sheet can reach the accepted score only by holding the whole normalised name,
 or by a shared size together with a shared temperature.  Names and sheets meet
-by equi-joins: on the name's length and text among the sheet name's substrings,
-and on (size, temperature); no pair is formed otherwise.
+by an equi-join on the name's length and text among the sheet name's substrings.
+By size and temperature alone all sheets of a class score the same, so only the
+first in order can win: one sheet stands for each of the (at most six) classes.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.products import cost_match_score, normalize_drink_name
+from .common import fixed_broadcast
 
 
 def _temperature(name: F.Column, product: bool) -> F.Column:
@@ -36,7 +38,8 @@ def fuzzy_cost_match(products: DataFrame, sheets: DataFrame, min_score: int = C.
         .select("sheet", F.substring(F.col("sn"), F.col("at"), F.col("len")).alias("pn")).distinct()
     by_name = p.join(parts, "pn").select("product_name", "sheet")
     pt = p.select("product_name", F.explode(_sizes(F.col("pn"))).alias("size"), F.col("pn")).select("product_name", "size", F.explode(_temperature(F.col("pn"), True)).alias("temp"))
-    st = s.select("sheet", F.explode(_sizes(F.col("sn"))).alias("size"), F.col("sn")).select("sheet", "size", F.explode(_temperature(F.col("sn"), False)).alias("temp"))
+    st = s.select("sheet", "sheet_order", F.explode(_sizes(F.col("sn"))).alias("size"), F.col("sn")).withColumn("temp", F.explode(_temperature(F.col("sn"), False)))
+    st = fixed_broadcast(st.groupBy("size", "temp").agg(F.min_by("sheet", "sheet_order").alias("sheet")))
     met = by_name.unionByName(pt.join(st, ["size", "temp"]).select("product_name", "sheet")).distinct()
     scored = met.join(p, "product_name").join(s, "sheet").withColumn("score", cost_match_score(F.col("pn"), F.col("sn"))).filter(F.col("score") >= min_score)
     return scored.groupBy("product_name").agg(F.max_by(F.struct("sheet", "total_cost", "score"), F.struct("score", -F.col("sheet_order"))).alias("b")).select("product_name", "b.*")

@@ -331,7 +331,7 @@ def pick_elasticity(spark, sf_dir):
 
 
 _SHEETS = """SELECT DISTINCT p_name || CASE WHEN p_partkey % 3 = 0 THEN ' ICED ' ELSE ' HOT ' END || CASE WHEN p_size % 2 = 0 THEN '12OZ' ELSE '16OZ' END AS sheet,
-  CAST(round(p_retailprice / 10) AS INTEGER) * 100000 + p_partkey AS sheet_order, round(p_retailprice / 2, 2) AS total_cost FROM part WHERE p_partkey % 7 = 0"""
+  CAST(round(p_retailprice / 10) AS INTEGER) * 100000 + p_partkey AS sheet_order, round(p_retailprice / 2, 2) AS total_cost FROM part"""
 _DRINKS = "SELECT DISTINCT upper(p_name) || CASE WHEN p_partkey % 2 = 0 THEN ' HOT 12OZ' WHEN p_partkey % 3 = 0 THEN ' COLD 16OZ' ELSE '' END AS product_name FROM part"
 
 

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cleaning import exclude_latest_month, fact_projection, require_columns
+from .cleaning import require_columns
 
 
 def dedup_keep_first(df: DataFrame, keys, seq_col: str = "seq") -> DataFrame:
     """One row per key, the first in ingest order; a frame without one of the
     key columns is left as it is (a part of the key would merge other rows).
 
-    Expressed as ``min_by(struct(row), seq)`` per key: a hash aggregate with
-    map-side partial aggregation, so a hot key collapses before the shuffle
-    (a row_number window would pull the whole hot key into one task)."""
+    Expressed as ``min_by(struct(row), seq)`` per key, combined before the shuffle,
+    so a hot key collapses there (a row_number window would pull the whole hot key
+    into one task).  Spark plans it as a sort aggregate, as it carries whole rows."""
     keys = list(keys)
     if not set(keys) <= set(df.columns):
         return df
@@ -76,11 +76,6 @@ def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def fact_table(combined: DataFrame) -> DataFrame:
-    """Fact rows: projection (C5), distinct (W1), latest month excluded (C14)."""
-    return exclude_latest_month(distinct_rows(fact_projection(combined)))
-
-
 def basket_lines(lines: DataFrame, current_dim: DataFrame) -> DataFrame:
     """A7 (long form): (receipt_no, sku, seq) — SKU is the product's parent SKU,
     falling back to the product id.  ``lines`` is the distinct fact projection

@@ -62,7 +62,8 @@ class Warehouse:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
         root = shared_path(spark, "warehouse", tag)
         # tables are written in order; each is derived from the ones already
-        # written (a fresh reader per step), so the raw reports are read once
+        # written (a fresh reader per step); the line report is read twice, for the
+        # canonical names and for the fact
         names = list(STORED)
         for i, name in enumerate(names):
             step = cls(spark, sf_dir, root, pending=set(names[i:]))

@@ -14,9 +14,3 @@ TABLES = (
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Full-table read; projection/filters applied later reach the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temp view (for the SQL front end)."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)

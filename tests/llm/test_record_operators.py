@@ -267,7 +267,7 @@ def test_pipeline_by_stage(spark):
 
 def test_catalogue():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 LLM_ORACLES = [n for n in E.oracle_sql() if re.match(r"op\d+_", n)]

@@ -3,13 +3,11 @@
 import datetime as dt
 import math
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from tillwise.operators import baskets as B
 from tillwise.operators import cleaning as CL
 from tillwise.operators import dimensions as DM
-from tillwise.operators import forecast as FC
 from tillwise.operators import quality as QL
 from tillwise.operators.scenario import signed_units
 from tillwise.operators.upsert import upsert_merge
@@ -104,17 +102,6 @@ def test_rules_conviction_and_mirrors(spark):
     assert len(pairs) == len(set(pairs)) and top[0].bundle_id == "BF01"
 
 
-def test_holt_winters_fold(spark):
-    y = [10, 12, 14, 11, 12, 15, 16, 12, 14, 16, 18, 14]
-    fitted, fc = FC.holt_winters_additive(y)
-    df = spark.createDataFrame([("k", "s", dt.date(2020 + i // 4, 3 * (i % 4) + 1, 1), float(v)) for i, v in enumerate(y)],
-                               "key string, series string, period date, units double")
-    got = [r.forecast for r in FC.holt_winters(df).orderBy("step").collect()]
-    assert np.allclose(got, fc)
-    assert FC.holt_winters_additive([1, 2, 3]) is None
-    assert np.allclose(FC.holt_winters_additive([])[1], 0)
-
-
 def test_signed_units(spark):
     df = spark.createDataFrame([(250.0, 100.0), (-250.0, 100.0), (5.0, 0.0)], "i double, p double")
     assert [r[0] for r in df.select(signed_units(F.col("i"), F.col("p"))).collect()] == [2, -3, 0]

@@ -413,7 +413,8 @@ def series_bundle(spark, sf_dir):
     return S.bundle_series(br)
 
 
-@register("series_interpolated", q("""
+#: z, nb: months in order with their neighbours that had demand; filled_months: the interpolated series.
+_MONTHS = """
 rdm AS (SELECT receipt_no, arg_min(date, seq) AS date FROM fact GROUP BY receipt_no),
 cnt_m AS (SELECT 1 AS k, last_day(date) AS period, count(*) AS units FROM rdm WHERE date IS NOT NULL GROUP BY ALL),
 """ + _fill_sql("cnt_m", "k", 1).strip() + """,
@@ -425,9 +426,14 @@ nb AS (
          first_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ni,
          first_value(v IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nv
   FROM z
-)""", """
+),
+filled_months AS (
 SELECT period AS month, round(CASE WHEN v IS NOT NULL THEN v WHEN pv IS NOT NULL AND nv IS NOT NULL
-       THEN pv + (nv - pv) * (i - pi) / (ni - pi) WHEN pv IS NOT NULL THEN pv ELSE 0.0 END, 6) AS receipts FROM nb"""))
+       THEN pv + (nv - pv) * (i - pi) / (ni - pi) WHEN pv IS NOT NULL THEN pv ELSE 0.0 END, 6) AS receipts FROM nb
+)"""
+
+
+@register("series_interpolated", q(_MONTHS, "SELECT month, receipts FROM filled_months"))
 def series_interpolated(spark, sf_dir):
     return S.monthly_series_interpolated(wh(spark, sf_dir).fact)
 
@@ -502,14 +508,22 @@ def forecast_metrics(spark, sf_dir):
     return FC.forecast_metrics(FC.fitted_values(_bundle_long(spark, sf_dir)))
 
 
-@register("holt_winters_tuned")
-def holt_winters_tuned(spark, sf_dir):
+def _monthly_receipts(spark, sf_dir) -> DataFrame:
+    """Monthly demand as one series, without the last month present."""
     m = S.monthly_series_interpolated(wh(spark, sf_dir).fact)
-    # like monthly demand, without the last month present
     m = m.filter(F.col("month") < m.select(F.max("month")).scalar())
-    s = m.select(F.lit("overall").alias("key"), F.lit("receipts").alias("series"), F.col("month").alias("period"),
-                 F.col("receipts").alias("units"))
-    return FC.holt_winters_tuned(s)
+    return m.select(F.lit("overall").alias("key"), F.lit("receipts").alias("series"), F.col("month").alias("period"),
+                    F.col("receipts").alias("units"))
+
+
+@register("holt_winters_tuned")
+def holt_winters_tuned(spark, sf_dir):
+    return FC.holt_winters_tuned(_monthly_receipts(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("alpha", "beta", "gamma")})
+
+
+@register("forecast_metrics_monthly")
+def forecast_metrics_monthly(spark, sf_dir):
+    return FC.tuned_metrics(_monthly_receipts(spark, sf_dir))
 
 
 def _forecast(spark, sf_dir) -> DataFrame:

@@ -3,33 +3,70 @@
 from __future__ import annotations
 
 from .. import config as C
+from ..operators import forecast as FC
 from . import catalog
-from .catalog import _QEND, _SCEN_CTES, Q_SUPPORT, _fill_sql
+from .catalog import _MONTHS, _QEND, _SCEN_CTES, Q_SUPPORT, _fill_sql
 from .oracle_sql import basket_ctes, q
 
-_A, _B, _G = C.HW_ALPHA, C.HW_BETA, C.HW_GAMMA
-
 
 def rq(ctes: str, select: str) -> str:
     return q(ctes, select).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-def hw_ctes(series: str, a: str = str(_A), b: str = str(_B), g: str = str(_G), keep: str = "") -> str:
-    """ser (series as lists) and hw (level, trend, season and fitted value after t periods) from (key, series, period, units)."""
-    mean = lambda i: f"(y[{i}] + y[{i + 1}] + y[{i + 2}] + y[{i + 3}]) / 4"
-    season = lambda i: f"CASE WHEN t % 4 = {i} THEN {g} * (y[t + 1] - level - trend) + (1 - {g}) * season[{i + 1}] ELSE season[{i + 1}] END"
-    new = f"({a} * (y[t + 1] - season[(t % 4) + 1]) + (1 - {a}) * (level + trend))"
+def start_ctes(series: str, m: int = C.SEASON_LENGTH) -> str:
+    """ser (series as lists) and st (those long enough, with the start state) from (key, series, period, units); m is even."""
+    half, points = m // 2, FC.START_POINTS
+    need, mid = points + 2 * half, (points + 1) / 2
+    spread = sum((x - mid) ** 2 for x in range(1, points + 1))
+    raw = ", ".join(f"list_avg([rest[p + 1] for p in range(0, len(rest)) if (p + {half}) % {m} = {j}])" for j in range(m))
+    mean = f"list_sum(y[1:{m}]) / {m}"
     return f"""
-ser AS (SELECT key, series{keep}, list(CAST(units AS DOUBLE) ORDER BY period) AS y, list(period ORDER BY period) AS periods, count(*) AS n FROM {series} GROUP BY key, series{keep}),
-hw AS (
-  SELECT key, series{keep}, y, periods, n, CAST(0 AS BIGINT) AS t, {mean(1)} AS level, ({mean(5)} - {mean(1)}) / 4 AS trend,
-         [y[1] - {mean(1)}, y[2] - {mean(1)}, y[3] - {mean(1)}, y[4] - {mean(1)}] AS season, CAST(NULL AS DOUBLE) AS fitted FROM ser WHERE n >= 8
+ser AS (SELECT key, series, list(CAST(units AS DOUBLE) ORDER BY period) AS y, list(period ORDER BY period) AS periods, count(*) AS n FROM {series} GROUP BY key, series),
+st0 AS (SELECT *, CAST(least(n, {m} * greatest(least({FC.START_SEASONS}, n // {m}), {-(-need // m)})) AS BIGINT) AS used FROM ser WHERE n >= {2 * m}),
+st1 AS (SELECT *, CASE WHEN n >= {need} THEN [(y[i + 1] / 2 + list_sum(y[i + 2:i + {m}]) + y[i + {m + 1}] / 2) / {m} for i in range(0, used - {2 * half})] END AS ma FROM st0),
+st2 AS (SELECT *, [y[p + {half + 1}] - ma[p + 1] for p in range(0, len(ma))] AS rest, list_sum([(x - {mid}) * ma[x] for x in range(1, {points + 1})]) / {spread} AS slope FROM st1),
+st3 AS (SELECT *, [{raw}] AS raw FROM st2),
+st AS (
+  SELECT key, series, y, periods, n, list_sum(ma[1:{points}]) / {points} - {mid} * slope AS level0, slope AS trend0, [r - list_sum(raw) / {m} for r in raw] AS season0 FROM st3 WHERE n >= {need}
+  UNION ALL SELECT key, series, y, periods, n, {mean}, (list_sum(y[{m + 1}:{2 * m}]) / {m} - {mean}) / {m}, [v - {mean} for v in y[1:{m}]] FROM st3 WHERE n < {need}
+)"""
+
+
+def hw_ctes(name: str = "hw", source: str = "st", a: str = str(C.HW_ALPHA), b: str = str(C.HW_BETA), g: str = str(C.HW_GAMMA), keep: str = "") -> str:
+    """Level, trend, season (its head is the next position), fitted value and squared error after t periods of ``source``."""
+    new = f"({a} * (y[t + 1] - season[1]) + (1 - {a}) * (level + trend))"
+    return f"""
+{name} AS (
+  SELECT key, series{keep}, y, periods, n, CAST(0 AS BIGINT) AS t, level0 AS level, trend0 AS trend, season0 AS season, CAST(NULL AS DOUBLE) AS fitted, CAST(0 AS DOUBLE) AS sse FROM {source}
   UNION ALL
-  SELECT key, series{keep}, y, periods, n, t + 1, {new}, {b} * ({new} - level) + (1 - {b}) * trend, [{season(0)}, {season(1)}, {season(2)}, {season(3)}],
-         level + trend + season[(t % 4) + 1] FROM hw WHERE t < n
+  SELECT key, series{keep}, y, periods, n, t + 1, {new}, {b} * ({new} - level) + (1 - {b}) * trend, list_append(season[2:], {g} * (y[t + 1] - (level + trend)) + (1 - {g}) * season[1]),
+         level + trend + season[1], sse + (y[t + 1] - (level + trend + season[1])) * (y[t + 1] - (level + trend + season[1])) FROM {name} WHERE t < n
 )"""
 
 
+def tuned_ctes() -> str:
+    """hwt: the recursion with the parameters of least error, found by the same grid and halvings as the operator."""
+    n, p = round(1 / FC.GRID_STEP), "alpha, beta, gamma"
+    span = lambda c, d, r: f"{c} + {d} * {FC.GRID_STEP / 2 ** r}"
+    first = f"""
+p0 AS (SELECT st.*, CAST(a AS DOUBLE) / {n} AS alpha, CAST(b AS DOUBLE) / {n} AS beta, CAST(g AS DOUBLE) / {n} AS gamma
+  FROM st, range(0, {n + 1}) ra(a), range(0, {n + 1}) rb(b), range(0, {n + 1}) rg(g) WHERE b <= a AND g <= {n} - a)"""
+    parts = [first]
+    for r in range(FC.ROUNDS + 1):
+        parts.append(hw_ctes(f"w{r}", f"p{r}", *p.split(", "), keep=f", {p}"))
+        parts.append(f"\nb{r} AS (SELECT key, series, {p}, sse AS least FROM w{r} WHERE t = n QUALIFY row_number() OVER (PARTITION BY key, series ORDER BY sse, {p}) = 1)")
+        if r < FC.ROUNDS:
+            parts.append(f"""
+p{r + 1} AS (
+  SELECT DISTINCT st.*, q.alpha, least(greatest(q.beta, 0.0), q.alpha) AS beta, least(greatest(q.gamma, 0.0), 1 - q.alpha) AS gamma
+  FROM st JOIN (SELECT key, series, least(greatest({span("alpha", "da", r)}, 0.0), 1.0) AS alpha, {span("beta", "db", r)} AS beta, {span("gamma", "dg", r)} AS gamma
+                FROM b{r}, moves ma(da), moves mb(db), moves mg(dg)) q ON q.key = st.key AND q.series = st.series
+)""")
+    parts.insert(0, "\nmoves AS (SELECT unnest([CAST(-1 AS DOUBLE), -0.5, 0, 0.5, 1]) AS d)")
+    best = f"\npt AS (SELECT st.*, {p}, least FROM st JOIN b{FC.ROUNDS} b ON b.key = st.key AND b.series = st.series)"
+    return ",".join([*parts, best, hw_ctes("hwt", "pt", *p.split(", "), keep=f", {p}, least")])
+
+
 _LONG = _SCEN_CTES + f""",
 rd AS (SELECT product_id, receipt_no, arg_min(date, seq) AS date FROM fact GROUP BY product_id, receipt_no),
 cnt_p AS (SELECT product_id, {_QEND.format(d='date')} AS period, count(*) AS units FROM rd WHERE date IS NOT NULL GROUP BY ALL),
@@ -41,8 +78,8 @@ long AS (
   UNION ALL SELECT scen.bundle_id, 'antecedent', period, units FROM filled_cnt_p f JOIN scen ON f.product_id = scen.product_id_1
   UNION ALL SELECT scen.bundle_id, 'consequent', period, units FROM filled_cnt_p f JOIN scen ON f.product_id = scen.product_id_2
 )"""
-_HW = _LONG + "," + hw_ctes("long")
-_STEP = "level + k * trend + season[((n + k - 1) % 4) + 1]"
+_HW = _LONG + "," + start_ctes("long") + "," + hw_ctes()
+_STEP = f"level + k * trend + season[((k - 1) % {C.SEASON_LENGTH}) + 1]"
 _FC = _HW + f""",
 fc AS (SELECT key, series, k, {_STEP} AS f FROM hw, range(1, {C.HORIZON + 1}) r(k) WHERE t = n),
 bad AS (SELECT DISTINCT key FROM ser WHERE n < 8),
@@ -60,8 +97,18 @@ fz AS (
          c_fc, greatest(c_fc - greatest(raw_b, 0.0), 0.0) AS c_after FROM fx JOIN mult m ON m.bundle_id = fx.bundle_id
 )"""
 
-_TUNED = f"""
-rdm AS (SELECT receipt_no, arg_min(date, seq) AS date FROM fact GROUP BY receipt_no)"""
+_MONTHLY = _MONTHS + """,
+mon AS (SELECT 'overall' AS key, 'receipts' AS series, month AS period, receipts AS units FROM filled_months WHERE month < (SELECT max(month) FROM filled_months))""" + "," + start_ctes("mon", 12) + "," + tuned_ctes()
+_METRICS = """
+SELECT key, series, round(avg(abs(actual - fitted)), 6) AS mae, round(avg((actual - fitted) ** 2), 6) AS mse, round(sqrt(avg((actual - fitted) ** 2)), 6) AS rmse,
+       round(CASE WHEN sum(actual) <> 0 THEN sum(abs(actual - fitted)) / sum(abs(actual)) * 100 END, 6) AS wmape,
+       round(CASE WHEN avg(naive) <> 0 THEN avg(abs(actual - fitted)) / avg(naive) END, 6) AS mase FROM ft GROUP BY key, series"""
+
+
+def _steps(hw: str, lag: int) -> str:
+    return f""",
+ft AS (SELECT key, series, t, y[t] AS actual, fitted, abs(y[t] - lag(y[t], {lag}) OVER (PARTITION BY key, series ORDER BY t)) AS naive FROM {hw} WHERE t > 0)"""
+
 
 _SUMMARY = f"""
 sp AS (SELECT *, current_price * {1 - C.SUMMARY_DISCOUNT_RATE} AS price2 FROM fz),
@@ -78,11 +125,11 @@ FROM long GROUP BY key, period"""),
     "holt_winters": rq(_HW, f"""
 SELECT key AS bundle_id, series, CAST(k AS INTEGER) AS step, round({_STEP}, 6) AS forecast, 'ok' AS status FROM hw, range(1, {C.HORIZON + 1}) r(k) WHERE t = n
 UNION ALL SELECT key, series, NULL, NULL, 'too_short' FROM ser WHERE n < 8"""),
-    "forecast_metrics": rq(_HW + """,
-ft AS (SELECT key, series, t, y[t] AS actual, fitted, abs(y[t] - lag(y[t], 4) OVER (PARTITION BY key, series ORDER BY t)) AS naive FROM hw WHERE t > 0)""", """
-SELECT key, series, round(avg(abs(actual - fitted)), 6) AS mae, round(avg((actual - fitted) ** 2), 6) AS mse, round(sqrt(avg((actual - fitted) ** 2)), 6) AS rmse,
-       round(CASE WHEN sum(actual) <> 0 THEN sum(abs(actual - fitted)) / sum(abs(actual)) * 100 END, 6) AS wmape,
-       round(CASE WHEN avg(naive) <> 0 THEN avg(abs(actual - fitted)) / avg(naive) END, 6) AS mase FROM ft GROUP BY key, series"""),
+    "forecast_metrics": rq(_HW + _steps("hw", C.SEASON_LENGTH), _METRICS),
+    "holt_winters_tuned": rq(_MONTHLY, """
+SELECT key, series, round(alpha, 6) AS alpha, round(beta, 6) AS beta, round(gamma, 6) AS gamma, round(least, 6) AS sse, CAST(k AS INTEGER) AS step,
+       round(level + k * trend + season[k], 6) AS forecast FROM hwt, range(1, 13) r(k) WHERE t = n"""),
+    "forecast_metrics_monthly": rq(_MONTHLY + _steps("hwt", 1), _METRICS),
     "bundle_forecast": rq(_FC, """
 SELECT date, bundle_id, CAST(bundle_row AS INTEGER) AS bundle_row, category, CAST(NULL AS DOUBLE) AS bundle_units, CAST(NULL AS DOUBLE) AS antecedent_units, CAST(NULL AS DOUBLE) AS consequent_units,
        round(b_fc, 6) AS bundle_units_forecast, round(b_adj, 6) AS bundle_units_adjusted_forecast, round(a_fc, 6) AS antecedent_units_forecast, round(a_after, 6) AS antecedent_units_after_cannibalization,

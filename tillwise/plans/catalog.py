@@ -445,7 +445,7 @@ def _scenario(spark, sf_dir) -> DataFrame:
                                                           w.current, recs))
 
 
-_SCEN_CTES = _E + pricing_ctes("quantity") + """,
+_SCEN_REST = pricing_ctes("quantity") + """,
 pk AS (
   SELECT rb.bundle_id, rb.category, rb.rule_row, rb.product_id_1, rb.product_id_2, rb.antecedents_names,
          rb.consequents_names, ped.elasticity_epsilon, ped.mode
@@ -464,16 +464,30 @@ scen AS (
 )"""
 
 
-@register("scenario_price", q(_SCEN_CTES, """
+_SCEN_CTES = _E + _SCEN_REST
+_SCEN_SQL = """
 SELECT bundle_id, category, bundle_row, epsilon, round(current_price, 6) AS current_price, round(new_price, 6) AS new_price,
        round(CASE WHEN current_price > 0 THEN pow(new_price / current_price, epsilon) ELSE 1.0 END, 6) AS demand_multiplier
-FROM scen"""))
-def scenario_price(spark, sf_dir):
-    s = _scenario(spark, sf_dir)
+FROM scen"""
+
+
+def _scenario_columns(s: DataFrame) -> DataFrame:
     return s.select("bundle_id", "category", "bundle_row", "epsilon", F.round("current_price", 6).alias("current_price"),
                     F.round("new_price", 6).alias("new_price"), F.round("demand_multiplier", 6).alias("demand_multiplier"))
 
 
+@register("scenario_price", q(_SCEN_CTES, _SCEN_SQL))
+def scenario_price(spark, sf_dir):
+    return _scenario_columns(_scenario(spark, sf_dir))
+
+
+@register("scenario_price_recommended", q(elasticity_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, PRICE_BIN) + _SCEN_REST, _SCEN_SQL))
+def scenario_price_recommended(spark, sf_dir):
+    """J14 with a recommendation table that has rows: fits and prices of binned points."""
+    recs = QUERIES["price_recommendation_binned"](spark, sf_dir)
+    return _scenario_columns(SC.scenario_price(rules_table(spark, sf_dir), ped_table(spark, sf_dir, price_bin=PRICE_BIN), wh(spark, sf_dir).current, recs))
+
+
 def _bundle_long(spark, sf_dir) -> DataFrame:
     return SC.bundle_series_long(wh(spark, sf_dir).fact, _scenario(spark, sf_dir))
 

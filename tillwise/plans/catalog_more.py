@@ -261,9 +261,10 @@ catalog.ORACLES["stream_scd"] = scd_sql("merged")
 
 # --- streaming and the end-to-end run (R1, R3, R4, K8) -----------------------------------
 
-@register("stream_ingest", "SELECT event_type, count(*) AS n_rows FROM events GROUP BY event_type")
+@register("stream_ingest", "SELECT event_type, count(*) AS n_rows, count(*) FILTER (event_id % 2 = 0) AS n_archived FROM events GROUP BY event_type")
 def stream_ingest(spark, sf_dir):
-    """Two uploads are drained by two triggers, a third trigger finds nothing; consumed files go to the archive."""
+    """Two uploads are drained by two triggers, a third trigger finds nothing.  The source archives an upload's files
+    when the next batch begins, so the first upload lies in the archive then (``n_archived``)."""
     from ..streaming.ingest import stream_ingest as drain
     base = _folder(spark, "stream")
     e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
@@ -271,7 +272,9 @@ def stream_ingest(spark, sf_dir):
         if k is not None:
             e.filter(F.col("event_id") % 2 == k).write.parquet(f"{base}/landing/upload={k}")
         drain(spark, f"{base}/landing/*", e.schema, f"{base}/checkpoint", lambda df, i: df.write.mode("overwrite").parquet(f"{base}/out/batch={i}"), archive_dir=f"{base}/archive")
-    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    archived = spark.read.option("recursiveFileLookup", "true").schema(e.schema).parquet(f"{base}/archive").select("event_type", F.lit(0).alias("read"), F.lit(1).alias("kept"))
+    rows = spark.read.parquet(f"{base}/out").select("event_type", F.lit(1).alias("read"), F.lit(0).alias("kept")).unionByName(archived)
+    return rows.groupBy("event_type").agg(F.sum("read").alias("n_rows"), F.sum("kept").alias("n_archived"))
 
 
 @register("stream_replay", scd_sql("merged"))
@@ -434,12 +437,12 @@ def price_what_if(spark, sf_dir):
 # --- mining parameters (D7) --------------------------------------------------------------
 
 def pair_rules_param(spark, sf_dir, source: str = "full", group_by: str = "product_id", exclude_flagged: bool = True, exclude_categories=C.EXCLUDED_CATEGORIES,
-                     category_runs: bool = False, min_support: float = Q_SUPPORT, min_confidence: float = Q_CONF, min_lift: float = Q_LIFT):
+                     category_runs: bool = False, min_support: float = Q_SUPPORT, min_confidence: float = Q_CONF, min_lift: float = Q_LIFT, baskets: str = "baskets"):
     """Rules with the basket source (`transactions`, `fact`, `full`, `flags`), item granularity, flagged rows
-    and thresholds as parameters; `transactions` falls back to `fact` where no basket table is stored."""
+    and thresholds as parameters; `transactions` falls back to `fact` where no table ``baskets`` is stored."""
     from ..operators import quality as QL
     w = wh(spark, sf_dir)
-    if source == "transactions" and w._has("baskets"):
+    if source == "transactions" and w._has(baskets):
         lines = w.baskets
     else:
         lines = w.fact if source in ("transactions", "fact") else w.distinct_lines
@@ -455,16 +458,28 @@ def pair_rules_param(spark, sf_dir, source: str = "full", group_by: str = "produ
     return rules.select("run", "antecedents_names", "consequents_names", "support", "confidence", "lift")
 
 
-def _param_sql() -> str:
+def _param_sql(bl: str | None) -> str:
+    """The rules over the basket lines ``bl`` (receipt_no, sku); None: the stored baskets."""
     from .oracle_sql import rules_ctes
+    ctes = rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, runs=("ALL",)).strip()
+    if bl:
+        ctes = ctes[:ctes.index("bl AS (")] + bl + ctes[ctes.index("skumap AS"):]
+    return q(ctes, "SELECT run, antecedents_names, consequents_names, support, confidence, lift FROM rules WHERE cat_a NOT IN ('EXTRA', 'OTHERS') AND cat_c NOT IN ('EXTRA', 'OTHERS')")
+
+
+def _unflagged_sql() -> str:
     flags = " AND ".join(f"coalesce(CAST({m} AS DOUBLE) BETWEEN lo_{m} AND hi_{m}, TRUE)" for m in ("qty", "price", "line_total", "net_total"))
     bounds = ", ".join(f"round(quantile_cont(CAST({m} AS DOUBLE), 0.25) - 1.5 * (quantile_cont(CAST({m} AS DOUBLE), 0.75) - quantile_cont(CAST({m} AS DOUBLE), 0.25)), 6) AS lo_{m}, "
                        f"round(quantile_cont(CAST({m} AS DOUBLE), 0.75) + 1.5 * (quantile_cont(CAST({m} AS DOUBLE), 0.75) - quantile_cont(CAST({m} AS DOUBLE), 0.25)), 6) AS hi_{m}"
                        for m in ("qty", "price", "line_total", "net_total"))
-    ctes = rules_ctes(Q_SUPPORT, Q_CONF, Q_LIFT, runs=("ALL",)).strip()
-    a = ctes.index("bl AS ("), ctes.index("skumap AS")
-    bl = f"bd AS (SELECT {bounds} FROM dlines),\nbl AS (SELECT receipt_no, product_id AS sku FROM dlines, bd WHERE {flags}),\n"
-    return q(ctes[:a[0]] + bl + ctes[a[1]:], "SELECT run, antecedents_names, consequents_names, support, confidence, lift FROM rules WHERE cat_a NOT IN ('EXTRA', 'OTHERS') AND cat_c NOT IN ('EXTRA', 'OTHERS')")
+    return f"bd AS (SELECT {bounds} FROM dlines),\nbl AS (SELECT receipt_no, product_id AS sku FROM dlines, bd WHERE {flags}),\n"
+
 
+_FACT_BL = "bl AS (SELECT receipt_no, product_id AS sku FROM fact),\n"
+_SKU_BL = "bl AS (SELECT d.receipt_no, coalesce(c.parent_sku, d.product_id) AS sku FROM dlines d LEFT JOIN cur c ON c.product_id = d.product_id),\n"
 
-register("pair_rules_param", _param_sql())(lambda spark, sf_dir: pair_rules_param(spark, sf_dir))
+register("pair_rules_param", _param_sql(_unflagged_sql()))(lambda spark, sf_dir: pair_rules_param(spark, sf_dir))
+register("pair_rules_transactions", _param_sql(None))(lambda spark, sf_dir: pair_rules_param(spark, sf_dir, "transactions"))
+register("pair_rules_fallback", _param_sql(_FACT_BL))(lambda spark, sf_dir: pair_rules_param(spark, sf_dir, "transactions", baskets="no_such_table"))
+register("pair_rules_fact", _param_sql(_FACT_BL))(lambda spark, sf_dir: pair_rules_param(spark, sf_dir, "fact"))
+register("pair_rules_parent_sku", _param_sql(_SKU_BL))(lambda spark, sf_dir: pair_rules_param(spark, sf_dir, "flags", "parent_sku", exclude_flagged=False))

@@ -65,6 +65,8 @@ BAND_BITS = 3
 #: Bits of the map of texts worth shuffling (8 MB), a power of two.
 MAP_BITS = 26
 WINDOW = MIN_WORDS - SHINGLE_WORDS + 1
+#: Windows handled at once when their rarest shingles are looked for (6 MB).
+PLACE_WINDOWS = 1 << 14
 _ODD = 0xC6BC279692B5C323
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -84,6 +86,30 @@ def _sliding(v: np.ndarray, width: int, best) -> np.ndarray:
     return best(after[: n - width + 1], before[width - 1: n])
 
 
+def _tree(values: np.ndarray, spots: np.ndarray, owner: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Span (left, right) of each node of the Cartesian trees over the spots' values, one tree a text; of equal values the leftmost is above.
+
+    All nodes climb at once: one that is not yet at a smaller value goes on to where the node it has reached has got to.
+    """
+    node = np.arange(1, len(spots) + 1) + np.cumsum(np.diff(owner, prepend=owner[:1]) != 0)
+    size = int(node[-1]) + 2 if len(node) else 2
+    # a zero before and after each text is smaller than any value
+    held, place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+    held[node], place[node] = values, spots
+    ends = []
+    for step in (-1, 1):
+        at = np.arange(size)
+        at[node] += step
+        climbing = node
+        while len(climbing):
+            met = held[at[climbing]]
+            climbing = climbing[met > held[climbing] if step < 0 else met >= held[climbing]]
+            at[climbing] = at[at[climbing]]
+        ends.append(at[node])
+    left, right = ends
+    return np.where(held[left] > 0, place[left] + 1, first[owner]), np.where(held[right] > 0, place[right], last[owner]) - 1
+
+
 def compact_windows(v: np.ndarray, first: np.ndarray, last: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of all compact windows of `width` or more values.
 
@@ -103,21 +129,7 @@ def compact_windows(v: np.ndarray, first: np.ndarray, last: np.ndarray, width: i
     around = _sliding(np.concatenate([np.zeros(width - 1, np.uint64), held, np.zeros(width - 1, np.uint64)]), width, np.maximum)[:n] if n >= width else v[:0]
     spots = np.flatnonzero((around == v[: len(around)]) & (around > 0))
     owner = np.searchsorted(first, spots, "right") - 1
-    left, right = np.zeros(len(spots), np.int64), np.zeros(len(spots), np.int64)
-    values, places, heads, tails = v[spots].tolist(), spots.tolist(), first[owner].tolist(), last[owner].tolist()
-    stack: list[int] = []
-    head = -1
-    for i, x in enumerate(values):
-        if heads[i] != head:
-            for k in stack:
-                right[k] = tails[k] - 1
-            stack, head = [], heads[i]
-        while stack and values[stack[-1]] > x:
-            right[stack.pop()] = places[i] - 1
-        left[i] = places[stack[-1]] + 1 if stack else head
-        stack.append(i)
-    for k in stack:
-        right[k] = tails[k] - 1
+    left, right = _tree(v[spots], spots, owner, first, last)
     wide = right - left + 1 >= width
     return left[wide], spots[wide], right[wide]
 
@@ -278,32 +290,68 @@ def window_sizes(near: np.ndarray, width: int = WINDOW) -> set[int]:
     return {len(set(near[k: k + width].tolist())) for k in range(len(near) - width + 1)}
 
 
-def prefixes(near: np.ndarray, ranked: dict[int, int], sizes: list[int], width: int = WINDOW) -> set[tuple[int, int]]:
-    """(size, shingle): the places where a run's windows meet every window near to them.
+def places(near: np.ndarray, ends: np.ndarray, ranked: tuple[np.ndarray, np.ndarray, np.ndarray], sizes: tuple[np.ndarray, np.ndarray],
+           width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, size, shingle): the places where the windows of runs meet every window near to them.
 
-    Shingles come in the order of how many runs of the group hold them (`ranked`; those in no other run are
-    left out in the end).  Near windows of p >= q shingles share one of the first prefix_size(p, q) of the one and
-    prefix_size(q, p) of the other, which prefix_size(q, q) holds: they meet at size q.  `sizes` are those that the group has.
+    Run i has the shingles near[ends[i]: ends[i + 1]]; `ranked` are (run, shingle, how many runs of its group hold it),
+    `sizes` (run, size) those that its group has.  Shingles come in the order of these counts; those in no other run come
+    first and are left out in the end.  Near windows of p >= q shingles share one of the first prefix_size(p, q) of the one and
+    prefix_size(q, p) of the other, which prefix_size(q, q) holds: they meet at size q.
     """
-    out = set()
-    values = near.tolist()
-    order = {x: (ranked.get(x, 0), x) for x in values}
-    for k in range(len(values) - width + 1):
-        held = sorted(set(values[k: k + width]), key=order.__getitem__)
-        p = len(held)
-        for q in sizes:
-            if SIMILARITY * p <= q + 1e-9 and q <= p:
-                out.update((q, x) for x in held[: prefix_size(p, q)] if x in ranked)
-    return out
+    run = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    whole = run << 32 | near
+    known = ranked[0] << 32 | ranked[1]
+    by_shingle = np.argsort(known)
+    at = np.minimum(np.searchsorted(known, whole, sorter=by_shingle), len(known) - 1)
+    count = np.where(known[by_shingle[at]] == whole, ranked[2][by_shingle[at]], 0) if len(known) else np.zeros(len(whole), np.int64)
+    order = count << 32 | near
+    # of equal shingles a window has the first only
+    by_place = np.argsort(whole, kind="stable")
+    again = whole[by_place[1:]] == whole[by_place[:-1]]
+    before = np.full(len(whole), -1)
+    before[by_place[1:][again]] = by_place[:-1][again]
+    starts = np.flatnonzero(np.arange(len(near)) + width <= ends[1:][run])
+    most = prefix_size(width, math.ceil(SIMILARITY * width - 1e-9))
+    out = []
+    for k in range(0, len(starts), PLACE_WINDOWS):
+        start = starts[k: k + PLACE_WINDOWS, None]
+        inside = start + np.arange(width)
+        held = np.where(before[inside] < start, order[inside], np.iinfo(np.int64).max)
+        size = width - (before[inside] >= start).sum(axis=1)
+        least = np.sort(np.partition(held, most - 1, axis=1)[:, :most], axis=1)
+        of = run[start[:, 0]]
+        for q in np.unique(sizes[1]).tolist():
+            wanted = np.zeros(len(ends), bool)
+            wanted[sizes[0][sizes[1] == q]] = True
+            first = np.array([prefix_size(p, q) if SIMILARITY * p <= q + 1e-9 and q <= p else 0 for p in range(width + 1)])[size]
+            meets = (np.arange(most) < np.where(wanted[of], first, 0)[:, None]) & (least >> 32 > 0)
+            row, column = np.nonzero(meets)
+            met = np.unique(of[row] << 32 | least[row, column] & 0xFFFFFFFF)
+            out.append((met, np.full(len(met), q)))
+    if not out:
+        return (np.zeros(0, np.int64),) * 3
+    met, q = (np.concatenate(c) for c in zip(*out))
+    # a run's windows may be in two blocks
+    met, q = np.unique(np.stack([met, q]), axis=1) if len(starts) > PLACE_WINDOWS else (met, q)
+    return met >> 32, q, met & 0xFFFFFFFF
+
+
+def prefixes(near: np.ndarray, ranked: dict[int, int], sizes: list[int], width: int = WINDOW) -> set[tuple[int, int]]:
+    """(size, shingle) of a single run, from a mapping of shingles to counts."""
+    shingles, counts = np.array(list(ranked), np.int64), np.array(list(ranked.values()), np.int64)
+    found = places(near, np.array([0, len(near)]), (np.zeros(len(ranked), np.int64), shingles, counts), (np.zeros(len(sizes), np.int64), np.array(sizes)), width)
+    return set(zip(*(c.tolist() for c in found[1:])))
 
 
 def _shingles(left: DataFrame) -> DataFrame:
     """key, run, shingle: the different shingles of each run."""
     def run(batches):
         for batch in batches:
-            for key, run_, near in zip(*[c.to_pylist() for c in batch.columns]):
-                held = np.unique(np.frombuffer(near, "<u4")).view(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), key)), pa.array(np.full(len(held), run_)), pa.array(held)], ["key", "run", "shingle"])
+            held = [np.unique(np.frombuffer(near, "<u4")).view(np.int32) for near in batch.column(2).to_pylist()]
+            if held:
+                each = np.repeat(np.arange(len(held)), [len(x) for x in held])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(each)), batch.column(1).take(pa.array(each)), pa.array(np.concatenate(held))], ["key", "run", "shingle"])
     return left.select("key", "run", "near").mapInArrow(run, "key bigint, run bigint, shingle int")
 
 
@@ -319,14 +367,17 @@ def _buckets(left: DataFrame) -> DataFrame:
     """key, size, shingle, run, root: near windows of a group share a bucket."""
     def run(batches):
         for batch in batches:
-            rows = []
-            for key, run_, root, near, ranked, sizes in zip(*[c.to_pylist() for c in batch.columns]):
-                order = {x["shingle"] & 0xFFFFFFFF: x["n"] for x in ranked}
-                rows += [(key, q, x, run_, root) for q, x in prefixes(np.frombuffer(near, "<u4"), order, sizes)]
-            if rows:
-                names = ["key", "size", "shingle", "run", "root"]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+            held = batch.column(3).to_pylist()
+            near = np.frombuffer(b"".join(held), "<u4")
+            ends = np.append(0, np.cumsum([len(x) // 4 for x in held], dtype=np.int64))
+            ranked, sizes = batch.column(4), batch.column(5)
+            each = lambda lists: np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            n, shingle = (ranked.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "shingle"))
+            mine, size, met = places(near, ends, (each(ranked), shingle & 0xFFFFFFFF, n), (each(sizes), sizes.flatten().to_numpy(zero_copy_only=False)))
+            if len(mine):
+                of = pa.array(mine)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(size.astype(np.int32)), pa.array(met), batch.column(1).take(of), batch.column(2).take(of)],
+                                                 ["key", "size", "shingle", "run", "root"])
     shingles = _shingles(left)
     counts = written(shingles.groupBy("key", "shingle").agg(F.count("*").alias("n")).where("n > 1"), "passages-counts")
     ranked = shingles.join(counts.hint("merge"), ["key", "shingle"]).groupBy("run").agg(F.collect_list(F.struct("n", "shingle")).alias("ranked"))

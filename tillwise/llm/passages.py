@@ -239,21 +239,38 @@ def _windows(open_: DataFrame) -> DataFrame:
 
 
 def similar(a: np.ndarray, spot_a: int, b: np.ndarray, spot_b: int, width: int = WINDOW, similarity: float = SIMILARITY) -> tuple[int, int] | None:
-    """Starts of a window of a and a near one of b (both aligned at their spots), or None."""
+    """Starts of a window of a and the nearest one of b (both aligned at their spots; all offsets are compared), or None if none is near."""
     left = min(spot_a, spot_b)
     n = left + min(len(a) - spot_a, len(b) - spot_b)
     if n < width:
         return None
     start_a, start_b = spot_a - left, spot_b - left
-    same = np.append(0, np.cumsum(a[start_a: start_a + n] == b[start_b: start_b + n]))
-    in_place = same[width:] - same[:-width]
-    best = int(np.argmax(in_place))
-    # words put in or left out shift what follows, so places are compared as sets
-    for o in dict.fromkeys((best, 0, n - width)):
-        x, y = set(a[start_a + o: start_a + o + width].tolist()), set(b[start_b + o: start_b + o + width].tolist())
-        if len(x & y) >= similarity * len(x | y):
-            return start_a + o, start_b + o
-    return None
+    x, y = a[start_a: start_a + n], b[start_b: start_b + n]
+    held = {v: i for i, v in enumerate(y.tolist())}
+    pairs = [(i, held[v]) for i, v in enumerate(x.tolist()) if v in held]
+    if len(held) == n == len(set(x.tolist())):
+        need = math.ceil(2 * width * similarity / (1 + similarity) - 1e-9)
+        if len(pairs) < need:
+            return None
+        # a shingle counts at the offsets whose windows hold it on both sides: words put in or left out shift what follows
+        at = np.array(pairs)
+        steps = np.zeros(n + 1, np.int64)
+        lo, hi = np.maximum(at.max(axis=1) - width + 1, 0), np.minimum(at.min(axis=1), n - width)
+        np.add.at(steps, lo[lo <= hi], 1)
+        np.add.at(steps, hi[lo <= hi] + 1, -1)
+        shared = np.cumsum(steps[: n - width + 1])
+        best = int(np.argmax(shared))
+        return (start_a + best, start_b + best) if shared[best] >= need else None
+    if len(pairs) == 0:
+        return None
+    # the shingles of a window repeat: sets at each offset
+    found, most = None, 0.0
+    for o in range(n - width + 1):
+        p, q = set(x[o: o + width].tolist()), set(y[o: o + width].tolist())
+        same = len(p & q)
+        if same >= similarity * (len(p) + len(q) - same) and same / (len(p) + len(q) - same) > most:
+            found, most = (start_a + o, start_b + o), same / (len(p) + len(q) - same)
+    return found
 
 
 def _verified(pairs: DataFrame) -> DataFrame:

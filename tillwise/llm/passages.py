@@ -476,13 +476,13 @@ def _shared_by(rows: DataFrame, far: str = "tid") -> DataFrame:
 
 
 def _contents(members: DataFrame) -> DataFrame:
-    """A row per signature and content: key, content, run (a number), tid and place of its first text, far (its last text),
+    """A row per signature and content: key, content, run (a hash of both, the same in any layout of partitions), tid and place of its first text, far (its last text),
     open (the signature has other contents) and hub."""
     of = members.groupBy("key", "content").agg(F.min(F.struct("tid", "place")).alias("first"), F.max("tid").alias("far")).select("key", "content", "first.*", "far")
     ends = of.groupBy("key").agg(F.min(F.struct("tid", "content")).alias("low"), F.max(F.struct("tid", "content")).alias("high"))
     opened = F.col("low.content") != F.col("high.content")
     hub = F.col("content").isin(F.col("low.content"), F.col("high.content"))
-    return written(of.join(ends, "key").select("key", "content", "tid", "place", "far", opened.alias("open"), hub.alias("hub")).withColumn("run", F.monotonically_increasing_id()), "passages-contents")
+    return written(of.join(ends, "key").select("key", "content", "tid", "place", "far", opened.alias("open"), hub.alias("hub")).withColumn("run", F.xxhash64("key", "content")), "passages-contents")
 
 
 def _found(contents: DataFrame, rows: DataFrame) -> DataFrame:

@@ -1,18 +1,21 @@
 """Data-quality flags (D1-D7): IQR outlier flags, row removal, value log and
 the numeric-coercion report.
 
-Exact quartiles are spread out: values are counted (map-side first), a mergeable
-quantile sketch cuts each group into ranges of about equal depth, running counts
-of the ranges say in which of them each neighbour of a quartile lies, and these are
-cut again, LEVELS times in all, before the few values left are ranked.  Ranges follow
-the values' ranks, not their size, so one extreme value changes nothing.  No task holds
-a group's values.  ``exact=False`` uses the bounded ``percentile_approx`` sketch alone.
+Exact quartiles are spread out: a mergeable quantile sketch gives values close below
+and above each quartile, one count of the ranges between them says in which range
+each neighbour of a quartile lies, and only the values of these ranges, some 4 / ACCURACY
+of a group, are counted and ranked.  A value that is a bound is a range of its own, so a
+frequent one is never ranked row by row.  Ranges follow the values' ranks, not their
+size, so one extreme value changes nothing; where a sketch should err the range
+that is found is larger, the result the same.  The rows are read three times and
+never shuffled.  ``exact=False`` uses the bounded ``percentile_approx`` sketch alone.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,20 +25,22 @@ from .common import fixed_broadcast
 METRICS = ("qty", "price", "line_total", "net_total")
 
 
-#: Ranges into which a group's distinct values are cut, and how often.
-RANGES, LEVELS = 64, 2
-#: Accuracy of the sketch: a range is deeper than 1 / RANGES by 2 / ACCURACY at most.
-ACCURACY = 1024
+#: Ranges of equal depth into which values are cut without other shares.
+RANGES = 64
+#: Accuracy of the sketch: a range is deeper than its share by 2 / ACCURACY at most.
+ACCURACY = 10000
+#: Shares around the quartiles that hold them whatever the sketch's error.
+AROUND = tuple(q + d / ACCURACY for q in (0.25, 0.75) for d in (-2, 2))
 
 
-def _range_of(v: F.Column, splits: F.Column) -> F.Column:
-    """How many of the rising splits are below v, by halving."""
+def _range_of(v: F.Column, splits: F.Column, n: int) -> F.Column:
+    """How many of the n rising splits are below v, by halving."""
     def among(lo: int, hi: int) -> F.Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
         return F.when(v > splits[mid], among(mid + 1, hi)).otherwise(among(lo, mid))
-    return among(0, RANGES - 1)
+    return among(0, n)
 
 
 def _joined(df: DataFrame, few: DataFrame, keys, fixed: bool) -> DataFrame:
@@ -45,10 +50,14 @@ def _joined(df: DataFrame, few: DataFrame, keys, fixed: bool) -> DataFrame:
     return df.join(few, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).drop(*[f"__{k}" for k in keys])
 
 
-def _ranges(values: DataFrame, keys, fixed: bool) -> DataFrame:
-    """The values with the number of their range of about equal depth, among the values of the same keys."""
-    splits = values.groupBy(*keys).agg(F.percentile_approx("v", [i / RANGES for i in range(1, RANGES)], ACCURACY).alias("splits"))
-    return _joined(values, splits, keys, fixed).withColumn("bucket", _range_of(F.col("v"), F.col("splits"))).drop("splits")
+def _ranges(values: DataFrame, keys, fixed: bool, shares=tuple(i / RANGES for i in range(1, RANGES))) -> DataFrame:
+    """The values with the number of their range among the values of the same keys, by bounds at the given
+    shares; a value that is a bound has a number of its own between those of its neighbours."""
+    splits = values.groupBy(*keys).agg(F.percentile_approx("v", list(shares), ACCURACY).alias("splits"))
+    v, below = F.col("v"), F.col("__below")
+    cut = _joined(values, splits, keys, fixed).withColumn("__below", _range_of(v, F.col("splits"), len(shares)))
+    bound = F.coalesce(v == F.get("splits", below), F.lit(False))
+    return cut.withColumn("bucket", below * 2 + bound.cast("int")).drop("splits", "__below")
 
 
 def _exact_quartiles(df: DataFrame, metrics, by, log_metrics) -> DataFrame:
@@ -60,25 +69,19 @@ def _exact_quartiles(df: DataFrame, metrics, by, log_metrics) -> DataFrame:
         values.append(F.struct(F.lit(m).alias("metric"), (F.when(x > 0, F.ln(x)) if m in log_metrics else x).alias("v")))
     long = df.select(*by, F.explode(F.array(*values)).alias("x")).select(*by, "x.metric", "x.v").filter(F.col("v").isNotNull())
     group, fixed = [*by, "metric"], not by
-    held = long.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("c"))
-    keys = group
-    for level in range(LEVELS):
-        held = _ranges(held, keys, fixed)
-        # at most RANGES rows for each of the keys
-        ranges = held.groupBy(*keys, *(["at"] if level else []), "bucket").agg(F.sum("c").alias("n"))
-        running = F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        if level == 0:
-            ranges = ranges.withColumns({"below": running, "all": F.sum("n").over(Window.partitionBy(*keys))})
-            ranks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("all") - 1) * F.lit(q)).alias("at")) for q in (0.25, 0.75)]))
-            ranges = ranges.withColumn("r", ranks).select(*group, "bucket", "n", "below", "r.q", "r.at")
-        else:
-            ranges = ranges.withColumn("below", F.col("before") + running)
-        wanted = ranges.filter((F.col("below") <= F.ceil("at")) & (F.col("below") + F.col("n") > F.floor("at")))
-        wanted = wanted.select(*keys, "bucket", "below", *([] if level else ["q", "at"]))
-        held = _joined(held, wanted, [*keys, "bucket"], fixed).select(*group, "q", "at", F.col("below").alias("before"), "v", "c")
-        keys = [*group, "q", "before"]
-    below = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("before")
-    ranked = held.withColumn("below", below)
+    held = _ranges(long, group, fixed, AROUND)
+    # at most 2 * len(AROUND) + 1 rows for each of the groups
+    ranges = held.groupBy(*group, "bucket").agg(F.count(F.lit(1)).alias("n"))
+    running = F.coalesce(F.sum("n").over(Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumns({"below": running, "all": F.sum("n").over(Window.partitionBy(*group))})
+    ranks = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("all") - 1) * F.lit(q)).alias("at")) for q in (0.25, 0.75)]))
+    ranges = ranges.withColumn("r", ranks).select(*group, "bucket", "n", "below", "r.q", "r.at")
+    wanted = ranges.filter((F.col("below") <= F.ceil("at")) & (F.col("below") + F.col("n") > F.floor("at")))
+    held = _joined(held, wanted.select(*group, "bucket", "q", "at", "below"), [*group, "bucket"], fixed)
+    keys = [*group, "q", "at", "below"]
+    held = held.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = held.withColumn("below", before + F.col("below"))
     has = lambda rank: (F.col("below") <= rank) & (rank < F.col("below") + F.col("c"))
     pick = lambda rank: F.max(F.when(has(rank), F.col("v")))
     two = ranked.groupBy(*group, "q", "at").agg(pick(F.floor("at")).alias("a"), pick(F.ceil("at")).alias("b"))
@@ -130,7 +133,8 @@ def outlier_flags(df: DataFrame, metrics=METRICS, k=C.IQR_K, by=(), log_metrics=
     """One boolean flag column per metric plus ``n_flags``.  Without groups
     the bounds are one scalar subquery (a struct); with groups a join on the
     group keys (one row per group)."""
-    w = iqr_bounds_wide(df, metrics, k, by, log_metrics, exact)
+    # a row per group, kept as a caller may read the flagged rows more than once
+    w = iqr_bounds_wide(df, metrics, k, by, log_metrics, exact).persist(StorageLevel.MEMORY_AND_DISK)
     if by:
         w = w.withColumnsRenamed({c: f"__{c}" for c in by})
         j = df.join(w, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], "left")

@@ -138,15 +138,22 @@ def standardize_products(df: DataFrame, id_col: str = "product_id", name_col: st
     return j.select(*df.columns)
 
 
+def first_seen_ids(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name", seq_col: str = "seq") -> DataFrame:
+    """First-seen id of each trimmed, case-folded name, and where it was seen.  The rows
+    are counted down to one for each name and id by a hash aggregate (a number is its only
+    buffer), so no row is sorted; the id of a name is picked from those few."""
+    seen = (
+        df.filter(F.col(id_col).isNotNull() & F.col(name_col).isNotNull())
+        .groupBy(name_key(F.col(name_col)).alias("__name_key"), F.col(id_col).alias("__id")).agg(F.min(seq_col).alias("__seq"))
+    )
+    return seen.groupBy("__name_key").agg(F.min_by("__id", "__seq").alias("__canon_id"), F.min("__seq").alias(seq_col))
+
+
 def canonical_product_ids(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name",
                           seq_col: str = "seq") -> DataFrame:
     """C12 lookup: first-seen id per trimmed, case-folded name.  Partial
     aggregation makes it skew-proof (one hot product collapses map-side)."""
-    return (
-        df.filter(F.col(id_col).isNotNull() & F.col(name_col).isNotNull())
-        .groupBy(name_key(F.col(name_col)).alias("__name_key"))
-        .agg(F.min_by(F.col(id_col), F.col(seq_col)).alias("__canon_id"))
-    )
+    return first_seen_ids(df, id_col, name_col, seq_col).select("__name_key", "__canon_id")
 
 
 def canonical_product_id(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name",

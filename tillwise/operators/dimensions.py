@@ -52,13 +52,18 @@ def product_dim_current(lines: DataFrame, cost_lookup: DataFrame | None = None,
     base = lines.select("product_id", "product_name", F.col("price").cast("decimal(10,2)").alias("price"),
                         dt.alias("__dt"), F.col(seq_col).alias("__seq"))
 
+    # states of a product first: numbers are the only buffers, so the lines go through a hash aggregate and are not sorted
+    seen = F.when(F.col("__dt").isNotNull(), F.col("__seq"))
+    states = base.groupBy("product_id", "product_name", "price").agg(
+        F.max("__seq").alias("__last"), F.max_by("__dt", seen).alias("__dt"), F.max(seen).alias("__dt_last"))
+
     def last_non_null(c: str) -> F.Column:
-        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("__seq")))
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("__last")))
 
-    cur = base.groupBy("product_id").agg(
+    cur = states.groupBy("product_id").agg(
         last_non_null("product_name").alias("product_name"),
         last_non_null("price").alias("price"),
-        last_non_null("__dt").alias("last_transaction_datetime"),
+        F.max_by("__dt", "__dt_last").alias("last_transaction_datetime"),
     ).withColumns({"record_version": F.lit(1), "is_current": F.lit(True)})
     return derived_columns(cur, cost_lookup).select(*DIM_COLUMNS)
 
@@ -73,12 +78,11 @@ def product_dim_history(lines: DataFrame, cost_lookup: DataFrame | None = None,
         lines.select("product_id", "product_name", F.col("price").cast("decimal(10,2)").alias("price"),
                      dt.alias("__dt"), F.col(seq_col).alias("__seq"))
         .groupBy("product_id", "product_name", "price")
-        .agg(F.min_by(F.struct("__seq", "__dt"), F.col("__seq")).alias("__first"))
+        .agg(F.min("__seq").alias("__first"), F.min_by("__dt", "__seq").alias("last_transaction_datetime"))
     )
-    w = Window.partitionBy("product_id").orderBy(F.col("__first.__seq"))
+    w = Window.partitionBy("product_id").orderBy("__first")
     hist = states.withColumns({
         "record_version": F.row_number().over(w),
-        "last_transaction_datetime": F.col("__first.__dt"),
     }).withColumn(
         "is_current",
         F.col("record_version") == F.max("record_version").over(Window.partitionBy("product_id")),

@@ -14,3 +14,10 @@ TABLES = (
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Full-table read; projection/filters applied later reach the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Bytes of a table's files, asked of the path's own file system."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(path).getLength()

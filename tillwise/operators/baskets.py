@@ -226,12 +226,19 @@ def frequent_itemsets_fpgrowth(baskets: DataFrame, dim: DataFrame, min_support:
     containing an EXTRA/OTHERS product are dropped unless nothing would remain."""
     from pyspark.ml.fpm import FPGrowth
 
-    items = basket_items(baskets, dim).persist(StorageLevel.MEMORY_AND_DISK)
-    tx = items.groupBy("receipt_no").agg(F.collect_set("item").alias("items"))
+    items = basket_items(baskets, dim)
+    # baskets that begin with the same most frequent items meet in a task, so its trees share their nodes; the
+    # baskets are kept for the passes over them: the receipts' count, the items' counts and the trees
+    often = items.groupBy("item").agg((-F.count(F.lit(1))).alias("__often"))
+    node = F.when(F.col("item").isNotNull(), F.struct("__often", "item"))
+    tx = items.join(often, "item", "left").groupBy("receipt_no").agg(F.array_sort(F.collect_set(node)).alias("__path")) \
+        .repartitionByRange("__path").select("receipt_no", F.col("__path.item").alias("items")).persist(StorageLevel.MEMORY_AND_DISK)
+    n = tx.select(F.count("receipt_no")).first()[0]
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(tx)
-    n = items.select(F.count_distinct("receipt_no")).first()[0]
-    items.unpersist()
-    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq"))
+    # the model mines its itemsets whenever they are read: they are read here, once
+    fi = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq")).persist(StorageLevel.MEMORY_AND_DISK)
+    fi.count()
+    tx.unpersist()
     long = fi.select("items", "freq", F.posexplode("items").alias("pos", "item"))
     cats = item_categories(dim).select("item", F.col("category").isin(*C.EXCLUDED_CATEGORIES).alias("bad"))
     named = translate(long.join(cats, "item", "left"), dim, "item", "name")

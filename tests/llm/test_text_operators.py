@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +15,8 @@ import xxhash
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillwise.llm import attribution, packing, passages, quality, secrets, sharding, simhash, tokens
+from tillwise.llm import attribution, graph, packing, passages, quality, secrets, sharding, simhash, tokens
+from tillwise.session import ensure_checkpoint_dir
 from .conftest import messy_rows, prose
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -188,6 +190,29 @@ def test_repeated_passages(spark, messy, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_leave_only_what_the_result_reads(spark, messy):
+    def left():
+        root = ensure_checkpoint_dir(spark)
+        return {os.path.join(root, f) for f in os.listdir(root) if f.startswith("llm-passages")}
+    before, kept = left(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = passages.repeated_passages(messy)
+    assert {os.path.basename(f).rsplit("-", 1)[0] for f in left() - before} == {"llm-passages-copies", "llm-passages-classes", "llm-passages-merged"}
+    assert found.count() > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+
+
+def test_stars_are_components_without_a_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "_large_star", lambda edges, f=graph._large_star: rounds.append(1) or f(edges))
+    stars = spark.createDataFrame([(2, 1), (3, 1), (5, 4), (1, 1), (1, 3)], "u long, v long")
+    assert {tuple(r) for r in graph.components(stars).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)} and not rounds
+    # two hubs share a node, and a centre hangs itself
+    for edges, nodes in (([(3, 1), (3, 2)], 3), ([(2, 1), (3, 2), (4, 3), (5, 4), (6, 5)], 6)):
+        found = {tuple(r) for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+        assert found == {(n + 1, 1) for n in range(nodes)} and rounds
+    assert graph.components(stars.where("u < 0")).count() == 0
+
+
 def test_near_passages(spark):
     """Passages with one word changed in 60 are caught in most cases, unrelated ones never."""
     docs, pairs = [], []

@@ -45,6 +45,7 @@ are not read.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.llm import graph
-from tillwise.llm.common import bitmap_test, blocks, id_text, mixed, ngram_hashes, powers, span_hashes, words_of, written
+from tillwise.llm.common import (bitmap_test, blocks, dropped, dropped_table, id_text, mixed, ngram_hashes, powers, shuffles_removed, span_hashes,
+                                 words_of, written)
+from tillwise.session import shared_path
 
 SHINGLE_WORDS = 5
 MIN_WORDS = 50
@@ -176,28 +179,39 @@ def _sums(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, powers(_INVERSE, len(grams) + 1)
 
 
-def _signatures(texts: DataFrame, among: DataFrame | None = None) -> DataFrame:
+def _signatures(texts: DataFrame) -> DataFrame:
     """A row per run of a text: key, tid, place (first start, then 6 bits each: last start and spot, from the first), content;
-    with `among`, few others than those whose key is in it."""
-    test = bitmap_test(among, "key", MAP_BITS) if among is not None else None
-
+    and for a text of MIN_WORDS or more a row without key, whose place is its number of words."""
     def run(batches):
         for batch in batches:
             tid = batch.column(0).to_numpy(zero_copy_only=False)
             for i, _, data, at in blocks(batch.column(1)):
                 grams, first, last = shingles_of(data, at)
                 key, text, lo, hi, spot = runs_of(grams, first, last)
-                if test:
-                    wanted = test(key.view(np.int64))
-                    key, text, lo, hi, spot = (x[wanted] for x in (key, text, lo, hi, spot))
                 place = lo << 12 | hi - lo << 6 | spot - lo
                 sums, back = _sums(grams)
                 head = first[text] + lo
                 content = mixed((sums[head + hi - lo + WINDOW] - sums[head]) * back[head] + (place & 4095).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(tid[i + text]), pa.array(place), pa.array(content.view(np.int64))], ["key", "tid", "place", "content"])
+                whole = np.flatnonzero(last - first >= WINDOW)
+                none = pa.nulls(len(whole), pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([pa.array(key.view(np.int64)), none]),
+                    pa.array(tid[i + np.append(text, whole)]),
+                    pa.array(np.append(place, (last - first)[whole] + SHINGLE_WORDS - 1)),
+                    pa.concat_arrays([pa.array(content.view(np.int64)), none])], ["key", "tid", "place", "content"])
     return texts.select("tid", "text").mapInArrow(run, "key bigint, tid bigint, place bigint, content bigint")
 
 
+def _few_but(rows: DataFrame, among: DataFrame) -> DataFrame:
+    """Rows whose key is in `among`, and few others."""
+    test = bitmap_test(among, "key", MAP_BITS)
+
+    @F.arrow_udf(T.BooleanType())
+    def wanted(key: pa.Array) -> pa.Array:
+        return pa.array(test(key.to_numpy(zero_copy_only=False)))
+    return rows.where(wanted(F.col("key")))
+
+
 # ---- verification -------------------------------------------------------------------------
 
 def _windows(open_: DataFrame) -> DataFrame:
@@ -380,7 +394,7 @@ def _sizes(left: DataFrame) -> DataFrame:
     return left.select("key", F.explode(of(F.col("near"))).alias("size")).distinct().groupBy("key").agg(F.collect_list("size").alias("sizes"))
 
 
-def _buckets(left: DataFrame) -> DataFrame:
+def _buckets(left: DataFrame, within: str) -> DataFrame:
     """key, size, shingle, run, root: near windows of a group share a bucket."""
     def run(batches):
         for batch in batches:
@@ -396,14 +410,14 @@ def _buckets(left: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(of), pa.array(size.astype(np.int32)), pa.array(met), batch.column(1).take(of), batch.column(2).take(of)],
                                                  ["key", "size", "shingle", "run", "root"])
     shingles = _shingles(left)
-    counts = written(shingles.groupBy("key", "shingle").agg(F.count("*").alias("n")).where("n > 1"), "passages-counts")
+    counts = written(shingles.groupBy("key", "shingle").agg(F.count("*").alias("n")).where("n > 1"), "passages-counts", within)
     ranked = shingles.join(counts.hint("merge"), ["key", "shingle"]).groupBy("run").agg(F.collect_list(F.struct("n", "shingle")).alias("ranked"))
-    sized = written(_sizes(left), "passages-sizes")
+    sized = written(_sizes(left), "passages-sizes", within)
     return left.join(ranked, "run").join(sized.hint("merge"), "key").select("key", "run", "root", "near", "ranked", "sizes").mapInArrow(
         run, "key bigint, size int, shingle bigint, run bigint, root bigint")
 
 
-def _late(left: DataFrame) -> DataFrame:
+def _late(left: DataFrame, within: str) -> DataFrame:
     """Links (run, off, other) between the components that the hubs left in a group.
 
     Buckets of shared rare shingles get a star each; in those that still hold
@@ -412,19 +426,19 @@ def _late(left: DataFrame) -> DataFrame:
     of = ["key", "size", "shingle"]
     held = left.select("run", "tid", "far", "spot", "near")
     hub = held.select(*[F.col(c).alias(f"hub_{c}") for c in held.columns])
-    verified = lambda pairs, name: written(_verified(pairs.distinct().join(held, "run").join(hub, "hub_run")), name)
-    buckets = written(_buckets(left), "passages-buckets")
+    verified = lambda pairs, name: written(_verified(pairs.distinct().join(held, "run").join(hub, "hub_run")), name, within)
+    buckets = written(_buckets(left, within), "passages-buckets", within)
 
     def mixed(rows: DataFrame, name: str) -> DataFrame:
         ends = rows.groupBy(*of).agg(F.min(F.struct("root", "run")).alias("low"), F.max(F.struct("root", "run")).alias("high")).where("low.root < high.root")
-        return written(rows.join(written(ends, f"{name}-ends").hint("merge"), of), name)
+        return written(rows.join(written(ends, f"{name}-ends", within).hint("merge"), of), name, within)
 
     met = mixed(buckets, "passages-mixed")
     spoke = lambda end: met.where(F.col("root") != F.col(f"{end}.root")).select(F.greatest("run", f"{end}.run").alias("run"), F.least("run", f"{end}.run").alias("hub_run"))
     star = verified(spoke("low").unionByName(spoke("high")), "passages-spokes")
     roots = left.select("run", "root")
     joined = _edges(star).join(roots.withColumnRenamed("run", "u").withColumnRenamed("root", "a"), "u").join(roots.withColumnRenamed("run", "v").withColumnRenamed("root", "b"), "v")
-    second = written(graph.components(joined.select(F.col("a").alias("u"), F.col("b").alias("v"))), "passages-second")
+    second = written(graph.components(joined.select(F.col("a").alias("u"), F.col("b").alias("v"))), "passages-second", within)
     again = met.select(*of, "run", "root").join(second.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left")
     open_ = mixed(again.select(*of, "run", F.coalesce("last", "root").alias("root")), "passages-open").select(*of, "run", "root")
     a, b = open_.alias("a"), open_.alias("b")
@@ -433,21 +447,25 @@ def _late(left: DataFrame) -> DataFrame:
     return star.unionByName(verified(rest, "passages-rest"))
 
 
-def _near(held: DataFrame) -> DataFrame:
+def _near(held: DataFrame, within: str) -> DataFrame:
     """run, off, least: windows that are near to one of another content; least is the least text of all that are linked."""
     hubs = held.where("hub").select("key", *[F.col(c).alias(f"hub_{c}") for c in ("run", "tid", "far", "spot", "near")])
     # two hubs are compared once
     pairs = held.join(hubs, "key").where((~F.col("hub") & (F.col("run") != F.col("hub_run"))) | (F.col("run") < F.col("hub_run")))
-    links = written(_verified(pairs), "passages-star")
-    roots = written(graph.components(_edges(links)), "passages-roots")
+    links = written(_verified(pairs), "passages-star", within)
+    roots = written(graph.components(_edges(links)), "passages-roots", within)
     placed = held.select("key", "run").join(roots.withColumnRenamed("node", "run"), "run", "left").select("key", "run", F.coalesce("root", "run").alias("root"))
     # groups of three contents are settled by their hubs
-    mixed = written(placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a < b and n > 3").select("key"), "passages-unsettled")
+    mixed = written(placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a < b and n > 3").select("key"), "passages-unsettled", within)
     open_ = held.join(mixed.hint("merge"), "key").select("key", "run", "tid", "far", "spot", "near")
-    left = written(open_.join(placed.select("run", "root"), "run"), "passages-left")
+    left = written(open_.join(placed.select("run", "root"), "run"), "passages-left", within)
     if not left.isEmpty():
-        links = links.unionByName(_late(left))
-        roots = written(graph.components(_edges(links)), "passages-linked")
+        late = _late(left, within)
+        links = links.unionByName(late)
+        # the components found so far stand for their links
+        stars = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = written(graph.components(stars.unionByName(_edges(late))), "passages-linked", within)
+    dropped_table(left)
     rooted = roots.withColumnRenamed("node", "run")
     least = rooted.join(held.select("run", "tid"), "run").groupBy("root").agg(F.min("tid").alias("least"))
     return links.select("run", "off").join(rooted.join(least, "root").select("run", "least"), "run")
@@ -475,21 +493,21 @@ def _shared_by(rows: DataFrame, far: str = "tid") -> DataFrame:
     return rows.groupBy("key").agg(F.min("tid").alias("least"), F.max(far).alias("far")).where("least < far")
 
 
-def _contents(members: DataFrame) -> DataFrame:
+def _contents(members: DataFrame, within: str) -> DataFrame:
     """A row per signature and content: key, content, run (a hash of both, the same in any layout of partitions), tid and place of its first text, far (its last text),
     open (the signature has other contents) and hub."""
     of = members.groupBy("key", "content").agg(F.min(F.struct("tid", "place")).alias("first"), F.max("tid").alias("far")).select("key", "content", "first.*", "far")
     ends = of.groupBy("key").agg(F.min(F.struct("tid", "content")).alias("low"), F.max(F.struct("tid", "content")).alias("high"))
     opened = F.col("low.content") != F.col("high.content")
     hub = F.col("content").isin(F.col("low.content"), F.col("high.content"))
-    return written(of.join(ends, "key").select("key", "content", "tid", "place", "far", opened.alias("open"), hub.alias("hub")).withColumn("run", F.xxhash64("key", "content")), "passages-contents")
+    return written(of.join(ends, "key").select("key", "content", "tid", "place", "far", opened.alias("open"), hub.alias("hub")).withColumn("run", F.xxhash64("key", "content")), "passages-contents", within)
 
 
-def _found(contents: DataFrame, rows: DataFrame) -> DataFrame:
+def _found(contents: DataFrame, rows: DataFrame, within: str) -> DataFrame:
     """run, least, first, last: the repeated starts of each content and class, counted in its run."""
     windows, held = rows.where("tier = 0").select("key", "run", "off", "tid", "far"), rows.where("tier = 1").drop("tier", "off")
     exact = windows.select("key", "run", "off").join(_shared_by(windows, "far").select("key", "least"), "key").select("run", "off", "least")
-    near = _near(held)
+    near = _near(held, within)
     whole = contents.where("tid < far").select("run", F.lit(0).alias("first"), F.shiftright("place", 6).bitwiseAND(F.lit(63)).cast("int").alias("last"), F.col("tid").alias("least"))
     part = exact.unionByName(near).select("run", F.col("off").alias("first"), F.col("off").alias("last"), "least")
     return whole.unionByName(part).groupBy("run", "least").agg(F.min("first").alias("first"), F.max("last").alias("last"))
@@ -505,32 +523,46 @@ def _merged(links: DataFrame) -> DataFrame:
     return numbered.groupBy("tid", "least", "number").agg(F.min("at").cast("long").alias("start_word"), (F.max("last") + MIN_WORDS).cast("long").alias("end_word"))
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start_word, end_word, class_id: the repeated passages of every document."""
-    read = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
-    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
-    copies = written(read.select("doc_id", "tid", words.alias("n_words")), "passages-copies")
-    # texts are numbered in the order of their least document ids: small numbers shuffle well, and the least number is the class
-    classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n"), F.max("n_words").alias("n_words"))
-                      .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
+def _passages(read: DataFrame, every: DataFrame, classes: DataFrame, within: str) -> DataFrame:
+    """tid (a text's number), least, start_word, end_word: what texts share; the tables between lie in `within`."""
+    runs = every.where(F.col("key").isNotNull())
     # a written table, so that both sides come straight from a shuffle and a hot signature's part can be split
-    keys = written(_shared_by(_signatures(read)).select("key"), "passages-keys")
-    shared = _signatures(read, keys).join(keys.hint("merge"), "key")
-    members = written(shared.join(classes.select("tid", "number"), "tid").select("key", "content", F.col("number").alias("tid"), "place"), "passages-members")
-    contents = _contents(members)
+    keys = written(_shared_by(runs).select("key"), "passages-keys", within)
+    shared = _few_but(runs, keys).join(keys.hint("merge"), "key")
+    members = written(shared.join(classes.select("tid", "number"), "tid").select("key", "content", F.col("number").alias("tid"), "place"), "passages-members", within)
+    dropped_table(every)
+    contents = _contents(members, within)
     by_text = contents.where("open").groupBy("tid").agg(F.collect_list(F.struct("run", "key", "place", "far", "hub")).alias("runs"))
     # one row of each text: it travels by its document's id, so copies of a text do not meet
-    by_doc = written(by_text.withColumnRenamed("tid", "number").join(classes.select("number", "own", F.col("tid").alias("held")), "number").select("held", "own", "number", "runs"), "passages-runs")
+    by_doc = written(by_text.withColumnRenamed("tid", "number").join(classes.select("number", "own", F.col("tid").alias("held")), "number").select("held", "own", "number", "runs"), "passages-runs", within)
     wanted = read.where(_among(by_doc.select(F.col("held").alias("tid"))))
     texts = wanted.join(by_doc, wanted["doc_id"].eqNullSafe(by_doc["own"]) & (wanted["tid"] == by_doc["held"])).select(F.col("number").alias("tid"), "text", "runs")
-    found = _found(contents, written(_windows(texts), "passages-windows"))
+    windows = written(_windows(texts), "passages-windows", within)
+    dropped_table(by_doc)
+    found = _found(contents, windows, within)
     found = found.join(contents.select("run", "key", "content"), "run").select("key", "content", "first", "last", "least")
     at = F.shiftright("place", 12)
-    links = members.join(found, ["key", "content"]).select("tid", (at + F.col("first")).alias("at"), (at + F.col("last")).alias("last"), "least")
-    merged = written(_merged(links), "passages-merged")
+    return _merged(members.join(found, ["key", "content"]).select("tid", (at + F.col("first")).alias("at"), (at + F.col("last")).alias("last"), "least"))
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, start_word, end_word, class_id: the repeated passages of every document."""
+    read = id_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
+    copies = written(read.select("doc_id", "tid"), "passages-copies")
+    spark, within = docs.sparkSession, f"llm-passages-{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        # the texts are put through the windows once; later steps need a few of the rows
+        every = written(_signatures(read), "passages-signatures", within)
+        lengths = every.where(F.col("key").isNull()).groupBy("tid").agg(F.max("place").alias("n_words"))
+        # texts are numbered in the order of their least document ids: small numbers shuffle well, and the least number is the class
+        classes = written(copies.groupBy("tid").agg(F.min("doc_id").alias("own"), F.count("*").alias("n")).join(lengths, "tid", "left")
+                          .orderBy(F.asc_nulls_last("own"), "tid").withColumn("number", F.monotonically_increasing_id()), "passages-classes")
+        merged = written(_passages(read, every, classes, within), "passages-merged")
+    # what is left are the tables that the result reads
+    dropped(spark, shared_path(spark, within))
     merged = merged.select(F.col("tid").alias("number"), "start_word", "end_word", "least").join(classes.select("number", "tid"), "number").join(
         classes.select(F.col("number").alias("least"), F.col("own").alias("class_id")), "least").select("tid", "start_word", "end_word", "class_id")
-    whole = classes.where((F.col("n") > 1) & (F.col("n_words") >= MIN_WORDS)).select("tid", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("own").alias("class_id"))
+    whole = classes.where((F.col("n") > 1) & F.col("n_words").isNotNull()).select("tid", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), F.col("own").alias("class_id"))
     # a text that has copies is a passage from end to end, beside those it shares with other texts
     found = merged.unionByName(whole).distinct()
     return copies.select("doc_id", "tid").join(found, "tid").select("doc_id", "start_word", "end_word", "class_id")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import name_key, normalize_name, to_snake_case
-from .common import fixed_broadcast
 
 
 def union_align(frames: list[DataFrame]) -> DataFrame:
@@ -103,37 +102,33 @@ def numeric_sanity_filter(df: DataFrame, time_col: str = "time") -> DataFrame:
     return df.filter(F.coalesce(cond, F.lit(False)))
 
 
-def rules_table(spark) -> DataFrame:
-    """C11 rules as a lookup: (kind, key, rule_no, to_id, to_name), one row per key
-    (a key listed twice keeps its first rule).  Fixed size: a local relation."""
-    first: dict[tuple[str, str], tuple] = {}
+def rule_maps() -> tuple[F.Column, F.Column]:
+    """C11 rules as two constant maps, by id and by name: key to (rule_no, to_id, to_name)
+    (a key listed twice keeps its first rule)."""
+    by_id: dict[str, F.Column] = {}
+    by_name: dict[str, F.Column] = {}
     for no, (ids, names, to_id, to_name) in enumerate(C.STANDARDIZATION_RULES, start=1):
-        for kind, keys in (("id", ids), ("name", [n.strip().upper() for n in names])):
+        rule = F.struct(F.lit(no).alias("rule_no"), F.lit(to_id).alias("to_id"), F.lit(to_name).alias("to_name"))
+        for found, keys in ((by_id, ids), (by_name, [n.strip().upper() for n in names])):
             for k in keys:
-                first.setdefault((kind, k), (kind, k, no, to_id, to_name))
-    return spark.createDataFrame(list(first.values()), "kind string, key string, rule_no int, to_id string, to_name string")
+                found.setdefault(k, rule)
+    return tuple(F.create_map(*[x for k, rule in found.items() for x in (F.lit(k), rule)]) for found in (by_id, by_name))
 
 
 def standardize_products(df: DataFrame, id_col: str = "product_id", name_col: str = "product_name") -> DataFrame:
     """C11: rewrite id and name by the first rule whose ids contain the id or whose
-    names contain the upper-trimmed name.  Two broadcast lookups (the rule table
-    is fixed-size), no shuffle."""
-    rules = rules_table(df.sparkSession)
-    by_id = fixed_broadcast(rules.filter("kind = 'id'").select(
-        F.col("key").alias("__rid_key"), F.col("rule_no").alias("__rid_no"),
-        F.col("to_id").alias("__rid_to_id"), F.col("to_name").alias("__rid_to_name")))
-    by_name = fixed_broadcast(rules.filter("kind = 'name'").select(
-        F.col("key").alias("__rnm_key"), F.col("rule_no").alias("__rnm_no"),
-        F.col("to_id").alias("__rnm_to_id"), F.col("to_name").alias("__rnm_to_name")))
-    j = (
-        df.join(by_id, F.col(id_col).cast("string") == F.col("__rid_key"), "left")
-        .join(by_name, F.upper(F.trim(F.col(name_col).cast("string"))) == F.col("__rnm_key"), "left")
-    )
-    use_id = F.col("__rid_no").isNotNull() & (F.col("__rnm_no").isNull() | (F.col("__rid_no") <= F.col("__rnm_no")))
-    use_nm = F.col("__rnm_no").isNotNull() & ~use_id
+    names contain the upper-trimmed name.  Two lookups in constant maps (the rules are
+    fixed), no join."""
+    by_id, by_name = rule_maps()
+    j = df.withColumns({
+        "__rid": by_id[F.col(id_col).cast("string")],
+        "__rnm": by_name[F.upper(F.trim(F.col(name_col).cast("string")))],
+    })
+    use_id = F.col("__rid").isNotNull() & (F.col("__rnm").isNull() | (F.col("__rid.rule_no") <= F.col("__rnm.rule_no")))
+    use_nm = F.col("__rnm").isNotNull() & ~use_id
     j = j.withColumns({
-        id_col: F.when(use_id, F.col("__rid_to_id")).when(use_nm, F.col("__rnm_to_id")).otherwise(F.col(id_col)),
-        name_col: F.when(use_id, F.col("__rid_to_name")).when(use_nm, F.col("__rnm_to_name")).otherwise(F.col(name_col)),
+        id_col: F.when(use_id, F.col("__rid.to_id")).when(use_nm, F.col("__rnm.to_id")).otherwise(F.col(id_col)),
+        name_col: F.when(use_id, F.col("__rid.to_name")).when(use_nm, F.col("__rnm.to_name")).otherwise(F.col(name_col)),
     })
     return j.select(*df.columns)
 

@@ -14,3 +14,11 @@ def fixed_broadcast(small: DataFrame) -> DataFrame:
     anew at run time.
     """
     return F.broadcast(small)
+
+
+def few_rows(small: DataFrame) -> DataFrame:
+    """A side of a join of two small tables, which meet by a shuffle of their few rows.  Without the hint the planner
+    broadcasts one of them, and a broadcast keyed by text takes a whole memory page (up to 64 MB, by the heap) on the
+    driver and on every executor, however few its rows.
+    """
+    return small.hint("merge")

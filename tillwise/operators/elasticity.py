@@ -1,9 +1,9 @@
 """Bundle price elasticity.
 
 All bundles are processed in one plan: the bundle table (at most
-``TOP_BUNDLES`` rows, a bound fixed by construction) is broadcast and joined
-to the fact on product id, so only the lines of bundle products are shuffled,
-once, by (bundle, receipt).  The fit uses Spark's ``regr_*`` aggregates.
+``TOP_BUNDLES`` rows, a bound fixed by construction) is one value that the
+fact's lines are looked up in by product id, so only the lines of bundle products
+are shuffled, once, by (bundle, receipt).  The fit uses Spark's ``regr_*`` aggregates.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .common import few_rows
 
 
 def top_bundles(rules: DataFrame, n: int | None = C.TOP_BUNDLES) -> DataFrame:
@@ -31,8 +32,8 @@ def resolve_bundles(bundles: DataFrame, dim: DataFrame) -> DataFrame:
     a = by_name.select(F.col("product_name").alias("__na"), F.col("pid").alias("product_id_1"))
     b = by_name.select(F.col("product_name").alias("__nb"), F.col("pid").alias("product_id_2"))
     return (
-        bundles.join(a, F.col("antecedents_names") == F.col("__na"), "inner")
-        .join(b, F.col("consequents_names") == F.col("__nb"), "inner")
+        bundles.join(few_rows(a), F.col("antecedents_names") == F.col("__na"), "inner")
+        .join(few_rows(b), F.col("consequents_names") == F.col("__nb"), "inner")
         .drop("__na", "__nb")
     )
 
@@ -45,7 +46,9 @@ def bundle_receipts(fact: DataFrame, bundles: DataFrame, strict: bool = False) -
     sides = bundles.select("bundle_id", F.explode(F.array("product_id_1", "product_id_2")).alias("product_id"))
     place = F.dense_rank().over(Window.partitionBy("bundle_id").orderBy("product_id"))
     sides = sides.withColumn("__bit", F.call_function("shiftleft", F.lit(1).cast("long"), place - 1))
-    lines = fact.join(F.broadcast(sides), "product_id", "inner")
+    of = sides.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.collect_list(F.struct("bundle_id", "__bit")).alias("__in"))
+    product = of.select(F.map_from_entries(F.collect_list(F.struct("product_id", "__in")))).scalar()
+    lines = fact.select("receipt_no", "line_total", "date", "seq", F.inline(product[F.col("product_id")]))
     per = lines.groupBy("bundle_id", "receipt_no").agg(
         F.bit_count(F.bit_or("__bit")).alias("__n"),
         F.sum("line_total").alias("combined_price"),
@@ -99,7 +102,7 @@ def elasticity(rules: DataFrame, fact: DataFrame, dim: DataFrame, strict: bool =
     b = resolve_bundles(top_bundles(rules, n), dim)
     pts = price_quantity_points(fact, b, strict, price_bin)
     fit = estimate_elasticity(pts)
-    out = b.join(fit, "bundle_id", "left")
+    out = b.join(few_rows(fit), "bundle_id", "left")
     return out.select(
         "bundle_id", "category", F.col("rule_row").cast("int").alias("rule_row"),
         "product_id_1", "product_id_2",
@@ -118,7 +121,7 @@ def demand_curve(ped: DataFrame, points: DataFrame, grid: int = 200) -> DataFram
     rng = points.filter((F.col("combined_price") > 0) & (F.col("num_transactions") > 0)).groupBy("bundle_id").agg(
         F.min(F.col("combined_price").cast("double")).alias("p_min"),
         F.max(F.col("combined_price").cast("double")).alias("p_max"))
-    j = ped.select("bundle_id", "elasticity_epsilon", "intercept_logk").join(rng, "bundle_id")
+    j = ped.select("bundle_id", "elasticity_epsilon", "intercept_logk").join(few_rows(rng), "bundle_id")
     j = j.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     step = F.when(F.lit(grid) > 1, (F.col("p_max") - F.col("p_min")) / F.lit(grid - 1)).otherwise(F.lit(0.0))
     price = F.col("p_min") + F.col("i") * step
@@ -132,7 +135,7 @@ def pick_elasticity(pairs: DataFrame, ped: DataFrame) -> DataFrame:
     p = ped.select(F.array_sort(F.array("product_id_1", "product_id_2")).alias("__key"),
                    "mode", "elasticity_epsilon", "intercept_logk", "n_price_points", F.col("bundle_id").alias("ped_bundle_id"))
     j = pairs.withColumn("__key", F.array_sort(F.array("product_id_1", "product_id_2"))).join(
-        p, "__key", "left")
+        few_rows(p), "__key", "left")
     w = Window.partitionBy(*pairs.columns).orderBy(
         F.when(F.lower("mode") == "non_strict", 0).otherwise(1), F.col("ped_bundle_id"))
     return j.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r", "__key")

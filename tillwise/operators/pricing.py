@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import bundle_label, safe_float
+from .common import few_rows
 
 SKIP_INVALID = "Insufficient data or invalid elasticity (ε >= 0)"
 SKIP_MISSING = "Product(s) not found in dimension"
@@ -40,7 +41,7 @@ def bundle_economics(ped: DataFrame, dim: DataFrame) -> DataFrame:
                     F.col("cogs").alias("__cogs_b"))
     eps = safe_float(F.col("elasticity_epsilon"), 0.0)
     r2 = F.col("r2_logspace").cast("double")
-    j = ped.join(a, F.col("product_name_1") == F.col("__a"), "left").join(b, F.col("product_name_2") == F.col("__b"), "left")
+    j = ped.join(few_rows(a), F.col("product_name_1") == F.col("__a"), "left").join(few_rows(b), F.col("product_name_2") == F.col("__b"), "left")
     invalid = (F.coalesce(F.col("n_price_points"), F.lit(0)) < 2) | r2.isNull() | F.isnan(r2) | (eps >= 0)
     missing = F.col("__a").isNull() | F.col("__b").isNull()
     return j.select(

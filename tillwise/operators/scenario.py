@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from . import elasticity as EL
 from . import series as S
+from .common import few_rows
 from .forecast import holt_winters
 
 
@@ -26,14 +27,13 @@ def scenario_price(rules: DataFrame, ped: DataFrame, dim: DataFrame, recs: DataF
                                     "antecedents_names", "consequents_names"), ped)
     b = b.filter(F.col("mode").isNotNull())
     price = dim.select("product_id", F.col("price").cast("double").alias("p"))
-    # the catalogue grows with the data: the planner picks the join by its size
-    b = (b.join(price.withColumnRenamed("product_id", "product_id_1").withColumnRenamed("p", "price_a"), "product_id_1", "left")
-         .join(price.withColumnRenamed("product_id", "product_id_2").withColumnRenamed("p", "price_b"), "product_id_2", "left"))
+    b = (b.join(few_rows(price.withColumnRenamed("product_id", "product_id_1").withColumnRenamed("p", "price_a")), "product_id_1", "left")
+         .join(few_rows(price.withColumnRenamed("product_id", "product_id_2").withColumnRenamed("p", "price_b")), "product_id_2", "left"))
     eps = F.coalesce(F.nanvl(F.col("elasticity_epsilon"), F.lit(0.0)), F.lit(0.0))
     cur = F.col("price_a") + F.col("price_b")
     if recs is not None:
         r = recs.select(F.col("bundle_id").alias("__rb"), F.col("bundle_price_recommended").cast("double").alias("__rec"))
-        b = b.join(F.broadcast(r), F.col("bundle_id") == F.col("__rb"), "left")
+        b = b.join(few_rows(r), F.col("bundle_id") == F.col("__rb"), "left")
         rec = F.nanvl(F.col("__rec"), F.lit(None).cast("double"))
     else:
         rec = F.lit(None).cast("double")
@@ -55,7 +55,7 @@ def bundle_series_long(fact: DataFrame, sc: DataFrame) -> DataFrame:
     prod = S.product_series(fact, ids)
     roles = sc.select("bundle_id", F.posexplode(F.array("product_id_1", "product_id_2")).alias("pos", "product_id"))
     roles = roles.withColumn("series", F.when(F.col("pos") == 0, "antecedent").otherwise("consequent"))
-    prod = prod.join(F.broadcast(roles), "product_id").select(F.col("bundle_id").alias("key"), "series",
+    prod = prod.join(few_rows(roles), "product_id").select(F.col("bundle_id").alias("key"), "series",
                                                              "period", "units")
     return bundle.unionByName(prod)
 
@@ -72,7 +72,7 @@ def bundle_forecast(fact: DataFrame, sc: DataFrame, horizon: int = C.HORIZON) ->
     piv = fc.groupBy(F.col("key").alias("bundle_id"), "step").pivot("series", ["bundle", "antecedent", "consequent"]) \
         .agg(F.first("forecast"))
     meta = sc.select("bundle_id", "bundle_row", "category", "demand_multiplier")
-    f = idx.join(piv, ["bundle_id", "step"], "left").join(meta, "bundle_id")
+    f = idx.join(few_rows(piv), ["bundle_id", "step"], "left").join(few_rows(meta), "bundle_id")
     raw_b = F.coalesce(F.col("bundle"), F.lit(0.0))
     b_fc = F.greatest(raw_b, F.lit(0.0))
     a_fc = F.greatest(F.coalesce(F.col("antecedent"), F.lit(0.0)), F.lit(0.0))
@@ -87,12 +87,12 @@ def bundle_forecast(fact: DataFrame, sc: DataFrame, horizon: int = C.HORIZON) ->
         F.greatest(c_fc - b_fc, F.lit(0.0)).alias("consequent_units_after_cannibalization"),
     )
     actual = S.series_align(long.withColumnRenamed("key", "bundle_id"), ["bundle_id"]).join(
-        meta.drop("demand_multiplier"), "bundle_id").select(
+        few_rows(meta.drop("demand_multiplier")), "bundle_id").select(
         F.col("period").alias("date"), "bundle_id", "bundle_row", "category",
         F.col("bundle").alias("bundle_units"), F.col("antecedent").alias("antecedent_units"),
         F.col("consequent").alias("consequent_units"))
     out = actual.unionByName(fcast, allowMissingColumns=True)
-    return out.join(bad.withColumnRenamed("key", "bundle_id"), "bundle_id", "left_anti")
+    return out.join(few_rows(bad.withColumnRenamed("key", "bundle_id")), "bundle_id", "left_anti")
 
 
 def series_lengths(long: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def revenue_impact(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     """V4: revenue before (A+B at list) and after (A', B' at list + bundle at the
     new price) over the horizon, absolute and % impact."""
     f = forecast.filter(F.col("bundle_units_forecast").isNotNull()).join(
-        sc.select("bundle_id", "price_a", "price_b", "new_price"), "bundle_id")
+        few_rows(sc.select("bundle_id", "price_a", "price_b", "new_price")), "bundle_id")
     before = F.col("antecedent_units_forecast") * F.col("price_a") + F.col("consequent_units_forecast") * F.col("price_b")
     after = (F.col("antecedent_units_after_cannibalization") * F.col("price_a")
              + F.col("consequent_units_after_cannibalization") * F.col("price_b")
@@ -137,14 +137,14 @@ def break_even_by_period(forecast: DataFrame, sc: DataFrame) -> DataFrame:
     """V6: per forecast period, the revenue gap (total impact < 0: bundles needed,
     ceiling) or surplus (floor) in bundle units at the new price."""
     f = forecast.filter(F.col("bundle_units_forecast").isNotNull()).join(
-        sc.select("bundle_id", "price_a", "price_b", "new_price"), "bundle_id")
+        few_rows(sc.select("bundle_id", "price_a", "price_b", "new_price")), "bundle_id")
     diff = ((F.col("antecedent_units_after_cannibalization") * F.col("price_a")
              + F.col("consequent_units_after_cannibalization") * F.col("price_b")
              + F.col("bundle_units_adjusted_forecast") * F.col("new_price"))
             - (F.col("antecedent_units_forecast") * F.col("price_a") + F.col("consequent_units_forecast") * F.col("price_b")))
     f = f.withColumn("diff", diff)
     tot = f.groupBy("bundle_id").agg(F.sum("diff").alias("total"))
-    f = f.join(tot, "bundle_id")
+    f = f.join(few_rows(tot), "bundle_id")
     gap = F.when(F.col("diff") < 0, -F.col("diff")).otherwise(F.lit(0.0))
     sur = F.when(F.col("diff") > 0, F.col("diff")).otherwise(F.lit(0.0))
     neg = F.col("total") < 0
@@ -167,13 +167,13 @@ def bundle_summary(forecast: DataFrame, sc: DataFrame, long: DataFrame, discount
     priced = sc.select("bundle_id", "category", "antecedents_names", "consequents_names", "epsilon", "price_a", "price_b", "current_price",
                        new.alias("new_price")).withColumn(
         "multiplier", F.when((F.col("current_price") > 0) & (F.col("new_price") > 0), F.pow(F.col("new_price") / F.col("current_price"), F.col("epsilon"))).otherwise(F.lit(1.0)))
-    f = forecast.filter(F.col("bundle_units_forecast").isNotNull()).drop("category").join(priced, "bundle_id")
+    f = forecast.filter(F.col("bundle_units_forecast").isNotNull()).drop("category").join(few_rows(priced), "bundle_id")
     before = F.col("antecedent_units_forecast") * F.col("price_a") + F.col("consequent_units_forecast") * F.col("price_b")
     after = (F.col("antecedent_units_after_cannibalization") * F.col("price_a")
              + F.col("consequent_units_after_cannibalization") * F.col("price_b")
              + F.greatest(F.col("bundle_units_raw") * F.col("multiplier"), F.lit(0.0)) * F.col("new_price"))
     g = f.groupBy("bundle_id", "category", "antecedents_names", "consequents_names", "current_price", "new_price").agg(
-        F.sum(before).alias("before"), F.sum(after).alias("after")).join(series_lengths(long), "bundle_id", "left")
+        F.sum(before).alias("before"), F.sum(after).alias("after")).join(few_rows(series_lengths(long)), "bundle_id", "left")
     impact = F.col("after") - F.col("before")
     return g.select(
         "bundle_id", "category", F.col("antecedents_names").alias("product_a"), F.col("consequents_names").alias("product_b"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .common import few_rows
 
 
 def quarter_end(d: F.Column) -> F.Column:
@@ -34,7 +35,7 @@ def gap_fill(counts: DataFrame, keys, months: int = 3) -> DataFrame:
     n = (F.months_between(F.col("__p1"), F.col("__p0")) / months).cast("int")
     grid = rng.select(*keys, F.explode(F.sequence(F.lit(0), n)).alias("__i"), "__p0") \
         .select(*keys, F.last_day(F.add_months(F.col("__p0"), F.col("__i") * months)).alias("period"))
-    return grid.join(counts, [*keys, "period"], "left").select(
+    return grid.join(few_rows(counts), [*keys, "period"], "left").select(
         *keys, "period", F.coalesce(F.col("units"), F.lit(0.0)).alias("units"))
 
 
@@ -51,10 +52,10 @@ def period_counts(receipts: DataFrame, keys, months: int = 3) -> DataFrame:
 
 def product_series(fact: DataFrame, product_ids: DataFrame | None = None, months: int = 3) -> DataFrame:
     """Receipts per period for each product (optionally only the listed
-    ones), zero-filled between first and last period."""
+    ones, which are few: they are one value), zero-filled between first and last period."""
     lines = fact
     if product_ids is not None:
-        lines = fact.join(F.broadcast(product_ids.select("product_id").distinct()), "product_id", "left_semi")
+        lines = fact.filter(F.array_contains(product_ids.select(F.collect_set("product_id")).scalar(), F.col("product_id")))
     return gap_fill(period_counts(receipt_dates(lines, ["product_id"]), ["product_id"], months), ["product_id"], months)
 
 

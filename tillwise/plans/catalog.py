@@ -154,7 +154,7 @@ def bundle_rules(spark, sf_dir):
 SELECT run, antecedents_names, consequents_names, support, confidence, lift, leverage, conviction FROM rules"""))
 def pair_rules(spark, sf_dir):
     w = wh(spark, sf_dir)
-    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current)
+    ri = B.run_rows(w.baskets, w.current)
     r = B.pair_rules(ri, Q_SUPPORT, Q_CONF, Q_LIFT)
     r = B.translate(B.translate(r, w.current, "ant", "antecedents_names"), w.current, "con", "consequents_names")
     return r.select("run", "antecedents_names", "consequents_names", "support", "confidence", "lift",
@@ -215,7 +215,7 @@ def map_sku_to_product(spark, sf_dir):
 SELECT run, count(DISTINCT receipt_no) AS receipts, count(*) AS item_rows FROM ri WHERE run IN ('FOOD', 'DRINK') GROUP BY run"""))
 def mba_category_baskets(spark, sf_dir):
     w = wh(spark, sf_dir)
-    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current, runs=("FOOD", "DRINK"))
+    ri = B.run_rows(w.baskets, w.current, runs=("FOOD", "DRINK"))
     return ri.groupBy("run").agg(F.count_distinct("receipt_no").alias("receipts"), F.count(F.lit(1)).alias("item_rows"))
 
 
@@ -225,7 +225,7 @@ SELECT receipt_no, CAST(count(*) FILTER (WHERE category = 'FOOD') AS BIGINT) AS
 FROM ri WHERE run = 'MEAL' GROUP BY receipt_no"""))
 def mba_meal_baskets(spark, sf_dir):
     w = wh(spark, sf_dir)
-    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current, runs=("MEAL",))
+    ri = B.run_rows(w.baskets, w.current, runs=("MEAL",))
     return ri.groupBy("receipt_no").agg(
         F.count_if(F.col("category") == "FOOD").alias("food_items"),
         F.count_if(F.col("category") == "DRINK").alias("drink_items"))
@@ -236,7 +236,7 @@ SELECT p.run, coalesce(na.nname, p.a) AS item_a, coalesce(nb.nname, p.b) AS item
 FROM fp p LEFT JOIN names na ON na.nid = p.a LEFT JOIN names nb ON nb.nid = p.b"""))
 def pair_support(spark, sf_dir):
     w = wh(spark, sf_dir)
-    ri = B.run_items(B.basket_items(w.baskets, w.current), w.current)
+    ri = B.run_rows(w.baskets, w.current)
     _, _, pairs = B.itemset_counts(ri, Q_SUPPORT)
     p = B.translate(B.translate(pairs, w.current, "a", "item_a"), w.current, "b", "item_b")
     return p.select("run", "item_a", "item_b", F.col("n_ab").alias("receipts"), (F.col("n_ab") / F.col("n")).alias("support"))

@@ -451,7 +451,7 @@ def pair_rules_param(spark, sf_dir, source: str = "full", group_by: str = "produ
         sku = lines.join(w.current.select("product_id", "parent_sku"), "product_id", "left")
         lines = sku.select("receipt_no", (F.coalesce("parent_sku", "product_id") if group_by == "parent_sku" else F.col("product_id")).alias("sku"))
     runs = ("FOOD", "DRINK", "MEAL") if category_runs else ("ALL",)
-    ri = B.run_items(B.basket_items(lines, w.current), w.current, runs=runs)
+    ri = B.run_rows(lines, w.current, runs=runs)
     rules = B.pair_rules(ri, min_support, min_confidence, min_lift)
     rules = rules.filter(~F.col("cat_a").isin(*exclude_categories) & ~F.col("cat_c").isin(*exclude_categories))
     rules = B.translate(B.translate(rules, w.current, "ant", "antecedents_names"), w.current, "con", "consequents_names")

@@ -48,22 +48,29 @@ def receipt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain report: one row per sold line, raw product id and name."""
+def product_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue that lines take their product from: part key, raw product id and name, list price."""
+    return read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").cast(PRICE).alias("price"))
+
+
+def line_report(spark: SparkSession, sf_dir: str, products: DataFrame | None = None) -> DataFrame:
+    """Line-grain report: one row per sold line, raw product id and name (or those of ``products``)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
     )
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    p = product_report(spark, sf_dir) if products is None else products
     # part is the product catalogue: bounded by the number of distinct products,
     # so the planner's own size estimate decides broadcast vs. shuffle.
     j = li.join(p, li.l_partkey == p.p_partkey, "inner")
     line_total = F.col("l_extendedprice").cast(MONEY)
     return j.select(
         F.col("l_orderkey").alias("receipt_no"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_name"),
+        "product_id",
+        "product_name",
         F.col("l_quantity").cast("int").alias("qty"),
-        F.col("p_retailprice").cast(PRICE).alias("price"),
+        "price",
         line_total.alias("line_total"),
         F.round(line_total * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2).cast(MONEY).alias("net_total"),
         ingest_ordinal("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("seq"),

@@ -93,7 +93,10 @@ def test_products_are_cleaned_before_the_lines_take_them(spark):
     w = Warehouse(spark, SF)
     one = spark.range(1).selectExpr("CAST(id AS STRING) AS product_id", "'x' AS product_name")
     assert "Join" not in CL.standardize_products(one)._jdf.queryExecution().optimizedPlan().toString()
-    assert _broadcast_keys(w.standardized.select("product_id", "product_name")) <= {"l_partkey"}
-    old = CL.normalize_names(CL.apply_canonical_ids(CL.standardize_products(line_report(spark, SF)), w.canonical))
+    assert not _broadcast_keys(w.canonical) and not _broadcast_keys(w.products)
+    lines = CL.standardize_products(line_report(spark, SF))
+    ids = CL.canonical_product_ids(lines)
+    assert sorted(map(str, w.canonical.collect())) == sorted(map(str, ids.collect()))
+    old = CL.normalize_names(CL.apply_canonical_ids(lines, ids))
     assert w.lines.columns == old.columns
     assert w.lines.exceptAll(old).count() == 0 and old.exceptAll(w.lines).count() == 0

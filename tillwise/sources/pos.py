@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import few_rows
 from .tables import read_table
 
 MONEY = "decimal(12,2)"
@@ -55,6 +56,14 @@ def product_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast(PRICE).alias("price"))
 
 
+def first_sales(spark: SparkSession, sf_dir: str, products: DataFrame) -> DataFrame:
+    """``products`` that were sold, each with the first ingest ordinal of its lines.  The lines are counted down to one
+    for each part key first, so two tables of the catalogue's size meet."""
+    first = read_table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.min(ingest_ordinal("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")).alias("seq"))
+    return products.join(few_rows(first), F.col("p_partkey") == F.col("l_partkey"), "inner").drop("l_partkey")
+
+
 def line_report(spark: SparkSession, sf_dir: str, products: DataFrame | None = None) -> DataFrame:
     """Line-grain report: one row per sold line, raw product id and name (or those of ``products``)."""
     li = read_table(spark, sf_dir, "lineitem").select(
